@@ -129,29 +129,21 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def customer_assets(spark: SparkSession, folder: str) -> DataFrame:
     """Author sets: lists by market segment, packs by nation, follows by balance, an audience."""
     c = table(spark, folder, "customer")
+
+    def asset(kind: str, key: Column) -> Column:
+        return F.struct(F.lit(kind).alias("asset_type"), key.alias("asset_key"))
+
+    list_key = F.concat(F.lit("user_list__list_url:https://bsky.app/profile/shop/lists/"), "c_mktsegment")
+    pack_key = F.concat(
+        F.lit("starter_pack__starter_pack_url:https://bsky.app/starter-pack/shop/"), F.col("c_nationkey").cast("string")
+    )
+    follows_key = F.lit(asset_key("user_collection", {"actor_handle": "shop", "direction": "follows"}))
+    audience_key = F.lit(asset_key("magic_audience", {"audience_id": "7"}))
     sets = F.array(
-        F.struct(
-            F.lit("user_list").alias("asset_type"),
-            F.concat(F.lit("user_list__list_url:https://bsky.app/profile/shop/lists/"), "c_mktsegment").alias("asset_key"),
-        ),
-        F.struct(
-            F.lit("starter_pack"),
-            F.concat(
-                F.lit("starter_pack__starter_pack_url:https://bsky.app/starter-pack/shop/"),
-                F.col("c_nationkey").cast("string"),
-            ),
-        ),
-        F.struct(
-            F.lit("user_collection"),
-            F.when(
-                F.col("c_acctbal") > 5000,
-                F.lit(asset_key("user_collection", {"actor_handle": "shop", "direction": "follows"})),
-            ),
-        ),
-        F.struct(
-            F.lit("magic_audience"),
-            F.when(F.col("c_nationkey") < 5, F.lit(asset_key("magic_audience", {"audience_id": "7"}))),
-        ),
+        asset("user_list", list_key),
+        asset("starter_pack", pack_key),
+        asset("user_collection", F.when(F.col("c_acctbal") > 5000, follows_key)),
+        asset("magic_audience", F.when(F.col("c_nationkey") < 5, audience_key)),
     )
     return c.select(did_of(F.col("c_custkey")).alias("did"), F.inline(sets)).where("asset_key IS NOT NULL")
 
