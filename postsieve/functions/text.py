@@ -13,7 +13,7 @@ from postsieve.functions.field import Field
 
 # The boundary a listed term must have.  Terms which look like a domain or URL have
 # no left boundary.  The classes are spelled out because Java's \w also takes combining marks.
-LEFT_BOUNDARY = r"(?<![\p{L}\p{N}_\-/])(?<!\.)"
+LEFT_BOUNDARY = r"(?<![\p{L}\p{N}_\-/.])"
 RIGHT_BOUNDARY = r"(?![\p{L}\p{N}_\-])"
 
 # Unicode classes, and only "\n" ends a line.
@@ -84,8 +84,8 @@ def search_pattern(pattern: str, insensitive: bool = True) -> str:
 
     Patterns with look-around or back-references are always case-sensitive.
     """
-    flags = _BASE_FLAGS + ("iu" if insensitive and not _LOOKAROUND.search(pattern) else "")
-    return f"(?{''.join(sorted(set(flags)))}){to_java(pattern)}"
+    case = "iu" if insensitive and not _LOOKAROUND.search(pattern) else ""
+    return f"(?{_BASE_FLAGS}{case}){to_java(pattern)}"
 
 
 def terms_pattern(terms: Iterable[str], insensitive: bool = True, treat_as_regex: bool = False) -> str:
@@ -95,13 +95,13 @@ def terms_pattern(terms: Iterable[str], insensitive: bool = True, treat_as_regex
     depends on the distinct first letters and not on the length of the list.
     """
     terms = list(terms)
-    flags = _BASE_FLAGS + ("iu" if insensitive else "")
-    prefix = f"(?{''.join(sorted(set(flags)))})"
+    case = "iu" if insensitive else ""
     if treat_as_regex:
         branches = [
             f"{'' if is_domain_like(t) else LEFT_BOUNDARY}{to_java(t)}{RIGHT_BOUNDARY}" for t in terms
         ]
-        return prefix + "|".join(branches)
+        return f"(?{_BASE_FLAGS}{case})" + "|".join(branches)
+    prefix = f"(?{case})" if case else ""
     words = {t for t in terms if not is_domain_like(t)}
     domains = {t for t in terms if is_domain_like(t)}
     branches = []

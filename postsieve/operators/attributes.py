@@ -6,7 +6,7 @@ from typing import Any
 
 from pyspark.sql import functions as F
 
-from postsieve.functions import extract
+from postsieve.functions.extract import url_domain
 from postsieve.functions.compare import compare, compare_constant
 from postsieve.functions.field import has_wildcard
 from postsieve.operators.leaf import COST_ARRAY, COST_CONSTANT, COST_SCALAR, Leaf, PostView
@@ -25,7 +25,7 @@ GIF_DOMAIN = "media.tenor.com"
 
 
 def attribute_compare(view: PostView, path: str, comparator: str, value: Any) -> Leaf:
-    return Leaf(compare(view.path(path), comparator, value), COST_ARRAY if has_wildcard(path) else COST_SCALAR)
+    return Leaf(compare(view.shared_path(path), comparator, value), COST_ARRAY if has_wildcard(path) else COST_SCALAR)
 
 
 def param_compare(view: PostView, constant: Any, comparator: str, value: Any) -> Leaf:
@@ -36,9 +36,9 @@ def post_type(view: PostView, comparator: str, names: list[str]) -> Leaf:
     """``quote``, ``reply``, or ``not`` = none of the types asked about."""
     tests = []
     if "quote" in names:
-        tests.append(compare(view.path("embed.$type"), "==", EMBED_TYPES["post"]))
+        tests.append(compare(view.shared_path("embed.$type"), "==", EMBED_TYPES["post"]))
     if "reply" in names:
-        tests.append(compare(view.path("reply"), "!=", None))
+        tests.append(compare(view.shared_path("reply"), "!=", None))
     wanted = F.lit(False)
     for test in tests:
         wanted = wanted | test
@@ -57,15 +57,15 @@ def post_type(view: PostView, comparator: str, names: list[str]) -> Leaf:
 def embed_type(view: PostView, comparator: str, name: str) -> Leaf:
     if name not in EMBED_TYPES:
         raise ValueError(f"Unknown embed type '{name}'")
-    own = view.path("embed.$type")
+    own = view.shared_path("embed.$type")
     if name in ("gif", "link"):
-        is_gif = F.exists(extract.links(view.record), lambda u: extract.url_domain(u) == GIF_DOMAIN)
+        is_gif = F.exists(view.shared_entities("urls"), lambda u: url_domain(u) == GIF_DOMAIN)
         is_link = compare(own, "==", EMBED_TYPES["link"])
         if name == "gif":
             return Leaf(is_gif if comparator == "==" else ~is_gif, COST_ARRAY)
         # The negated form also leaves gifs out: it is not the complement.
         return Leaf((is_link if comparator == "==" else ~is_link) & ~is_gif, COST_ARRAY)
-    media = view.path("embed.media.$type")
+    media = view.shared_path("embed.media.$type")
     if name == "video":
         is_type = compare(own, "==", EMBED_TYPES["video"]) | compare(media, "==", EMBED_TYPES["video"])
     elif name == "image_group":

@@ -48,7 +48,7 @@ def entity_matches(view: PostView, kind: str, values: list[str], insensitive: bo
     if not need.literals:
         return Leaf(False, COST_ARRAY)
     listed = F.array(*[F.lit(v) for v in need.literals])
-    return Leaf(F.coalesce(F.arrays_overlap(view.entities(kind), listed), F.lit(False)), COST_ARRAY)
+    return Leaf(F.coalesce(F.arrays_overlap(view.shared_entities(kind), listed), F.lit(False)), COST_ARRAY)
 
 
 def entity_excludes(view: PostView, kind: str, values: list[str], insensitive: bool = True) -> Leaf:

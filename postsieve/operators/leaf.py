@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field as dc_field
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsieve.functions import extract
-from postsieve.functions.field import Field, field, resolve
+from postsieve.functions.field import Field, field, has_wildcard, resolve
 
 # Evaluation order inside a connective: cheap tests first.
 COST_CONSTANT, COST_SCALAR, COST_ARRAY, COST_REGEX, COST_SET, COST_MODEL = range(6)
@@ -107,6 +108,10 @@ class PostView:
 
     ``key`` identifies a row; joins which fan a post out (entities, images) come back on it.
     ``body`` is the root of user-given paths: the variant column of raw JSON posts, else the record.
+
+    The ``shared_*`` methods are for operators.  They return a reference to a column which
+    :meth:`with_shared` computes once per post, so that hundreds of conditions on hashtags, on the
+    post text or on one JSON path do not each derive them again.
     """
 
     schema: T.StructType
@@ -115,8 +120,8 @@ class PostView:
     body_column: str | None = None
     did_column: str = "did"
     missing_text: str = "None"
-    text_column: str | None = dc_field(default=None)
-    images_column: str | None = dc_field(default=None)
+    _shared: dict[str, Column] = dc_field(default_factory=dict, compare=False, repr=False)
+    _paths: dict[str, Field] = dc_field(default_factory=dict, compare=False, repr=False)
 
     @property
     def record(self) -> Field:
@@ -134,12 +139,38 @@ class PostView:
         return resolve(self.body, path)
 
     def all_text(self) -> Column:
-        return F.col(self.text_column) if self.text_column else extract.all_text(self.record)
+        return extract.all_text(self.record)
 
     def image_urls(self) -> Column:
-        if self.images_column:
-            return F.col(self.images_column)
         return extract.image_urls(self.record, self.did)
 
     def entities(self, kind: str) -> Column:
         return extract.ENTITY_GETTERS[kind](self.record)
+
+    def shared_path(self, path: str) -> Field:
+        """Plain struct access is left in place, where it is pruned and pushed down to the scan."""
+        if path not in self._paths:
+            found = self.path(path)
+            if has_wildcard(path) or isinstance(found.dtype, T.VariantType):
+                found = Field(self._share(column_name("path", path), lambda: found.col), found.dtype)
+            self._paths[path] = found
+        return self._paths[path]
+
+    def shared_entities(self, kind: str) -> Column:
+        return self._share(f"__entity_{kind}", lambda: self.entities(kind))
+
+    def shared_text(self) -> Column:
+        return self._share("__text", self.all_text)
+
+    def shared_image_urls(self) -> Column:
+        return self._share("__image_urls", self.image_urls)
+
+    def _share(self, name: str, build: Callable[[], Column]) -> Column:
+        if name not in self._shared:
+            self._shared[name] = build()
+        return F.col(name)
+
+    def with_shared(self, posts: DataFrame) -> DataFrame:
+        """``posts`` with the columns which compiled operators refer to."""
+        added = {n: c for n, c in self._shared.items() if n not in posts.columns}
+        return posts.withColumns(added) if added else posts

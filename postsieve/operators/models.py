@@ -67,7 +67,7 @@ def _image(view: PostView, need: ImageScoreNeed, comparator: str, threshold: Any
     """TRUE without images, FALSE when no image could be scored, else the best image decides."""
     score = F.col(need.column)
     decided = (
-        F.when(F.size(view.image_urls()) <= 0, F.lit(True))
+        F.when(F.size(view.shared_image_urls()) <= 0, F.lit(True))
         .when(score.isNull(), F.lit(False))
         .otherwise(_threshold(score, comparator, threshold))
     )

@@ -9,7 +9,7 @@ from postsieve.session import check_pattern
 
 def regex_matches(view: PostView, path: str, pattern: str, insensitive: bool = True) -> Leaf:
     java = check_pattern(text.search_pattern(pattern, insensitive))
-    return Leaf(text.matches(view.path(path), java, view.missing_text), COST_REGEX)
+    return Leaf(text.matches(view.shared_path(path), java, view.missing_text), COST_REGEX)
 
 
 def regex_negation_matches(view: PostView, path: str, pattern: str, insensitive: bool = True) -> Leaf:
@@ -20,7 +20,7 @@ def regex_any(
     view: PostView, path: str, terms: list[str], insensitive: bool = True, treat_as_regex: bool = False
 ) -> Leaf:
     java = check_pattern(text.terms_pattern(terms, insensitive, treat_as_regex))
-    return Leaf(text.matches(view.path(path), java, view.missing_text), COST_REGEX)
+    return Leaf(text.matches(view.shared_path(path), java, view.missing_text), COST_REGEX)
 
 
 def regex_none(

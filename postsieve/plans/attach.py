@@ -11,7 +11,8 @@ import functools
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +63,8 @@ class Catalog:
 def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Catalog) -> DataFrame:
     """``posts`` with one column per need (named ``need.column``)."""
     needs = [n for n in dict.fromkeys(needs) if n.column not in posts.columns]
+    _declare_shared(view, needs)
+    posts = view.with_shared(posts)
     sets = [n for n in needs if isinstance(n, SetNeed)]
     for on in dict.fromkeys(n.on for n in sets):
         posts = _attach_sets(posts, view, on, [n for n in sets if n.on == on], catalog)
@@ -75,10 +78,27 @@ def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Cat
     return posts
 
 
+def _declare_shared(view: PostView, needs: Iterable[Need]) -> None:
+    """Make the view compute what the joins below read, before any of them runs."""
+    for need in needs:
+        if isinstance(need, SetNeed) and need.on != "did":
+            view.shared_entities(need.on)
+        elif isinstance(need, TextScoreNeed):
+            view.shared_text()
+        elif isinstance(need, ImageScoreNeed):
+            view.shared_image_urls()
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
+def _literal_rows(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """Constants of the filter as a local relation, whose exact size the planner knows."""
+    columns = list(zip(*rows))
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(names, columns)}))
+
+
 def set_members(spark, needs: list[SetNeed], catalog: Catalog, lower: bool) -> DataFrame:
     """``(set_name, value)`` for all sets at once; list conditions of all feeds share one scan."""
     frames = []
@@ -88,17 +108,17 @@ def set_members(spark, needs: list[SetNeed], catalog: Catalog, lower: bool) -> D
     if assets:
         if catalog.assets is None:
             raise ValueError("The filter refers to assets, but the catalog has none.")
-        wanted = spark.createDataFrame(assets, "set_name string, asset_type string, asset_key string")
+        wanted = _literal_rows(spark, assets, "set_name", "asset_type", "asset_key")
         frames.append(
             catalog.assets.join(wanted, ["asset_type", "asset_key"]).select("set_name", F.col("did").alias("value"))
         )
     if handles:
         if catalog.handles is None:
             raise ValueError("The filter refers to handles, but the catalog has none.")
-        wanted = spark.createDataFrame(handles, "set_name string, handle string")
+        wanted = _literal_rows(spark, handles, "set_name", "handle")
         frames.append(catalog.handles.join(wanted, "handle").select("set_name", F.col("did").alias("value")))
     if literals:
-        frames.append(spark.createDataFrame(literals, "set_name string, value string"))
+        frames.append(_literal_rows(spark, literals, "set_name", "value"))
     members = _union(frames).where(F.col("value").isNotNull())
     return members.withColumn("value", F.lower("value")) if lower else members
 
@@ -110,7 +130,7 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
         by_value = members.groupBy(F.col("value").alias(_KEY)).agg(F.collect_set("set_name").alias(_MEMBER_OF))
         marked = posts.join(by_value, posts[view.did_column] == by_value[_KEY], "left").drop(_KEY)
     else:
-        values = posts.select(*view.key, F.explode(view.entities(on)).alias("value"))
+        values = posts.select(*view.key, F.explode(view.shared_entities(on)).alias("value"))
         hits = values.join(members, "value").groupBy(*view.key).agg(F.collect_set("set_name").alias(_MEMBER_OF))
         marked = posts.join(hits, list(view.key), "left")
     flags = {
@@ -122,16 +142,18 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
 def keep_members(posts: DataFrame, view: PostView, need: SetNeed, negated: bool, catalog: Catalog) -> DataFrame:
     """A membership test which must hold for every result, as a semi or anti join."""
     how = "left_anti" if negated else "left_semi"
+    _declare_shared(view, [need])
+    posts = view.with_shared(posts)
     members = set_members(posts.sparkSession, [need], catalog, lower=need.on != "did")
     if need.on == "did":
         return posts.join(members, posts[view.did_column] == members["value"], how)
-    values = posts.select(*view.key, F.explode(view.entities(need.on)).alias("value"))
+    values = posts.select(*view.key, F.explode(view.shared_entities(need.on)).alias("value"))
     hits = values.join(members, "value", "left_semi").select(*view.key)
     return posts.join(hits, list(view.key), how)
 
 
 def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Catalog) -> DataFrame:
-    text = F.coalesce(view.all_text(), F.lit(""))
+    text = F.coalesce(view.shared_text(), F.lit(""))
     if need.empty_text:
         text = F.when(text == "", F.lit(need.empty_text)).otherwise(text)
     keyed = posts.withColumn(_KEY, score_key(need.model, text, need.suffix))
@@ -143,7 +165,7 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
 
 
 def _attach_image_scores(posts, view: PostView, need: ImageScoreNeed, catalog: Catalog) -> DataFrame:
-    images = posts.select(*view.key, F.explode(view.image_urls()).alias("input"))
+    images = posts.select(*view.key, F.explode(view.shared_image_urls()).alias("input"))
     images = images.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
     scorer = catalog.scorers.get(need.model)
     inputs = images.select("input_key", "input") if scorer else None

@@ -16,7 +16,7 @@ from postsieve.plans.tree import Node, as_column, compile_tree, operators_of, re
 
 def _evaluated(posts: DataFrame, tree: Node, view: PostView, catalog: Catalog):
     """Posts with each distinct leaf as a column, and the (result, score) columns of a node."""
-    posts = attach(posts, view, tree.needs, catalog)
+    posts = attach(view.with_shared(posts), view, tree.needs, catalog)
     result_of: dict[str, str] = {}
     columns: dict[str, Column] = {}
     for node in tree.leaves():

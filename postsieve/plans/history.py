@@ -142,7 +142,8 @@ def _with_match_flag(posts, condition, view, catalog, registry) -> DataFrame:
 
     tree = compile_tree(condition, view, registry)
     if not tree.needs:
-        return posts.withColumn("__matched", as_column(render(tree)))
+        flagged = view.with_shared(posts).withColumn("__matched", as_column(render(tree)))
+        return flagged.select(*posts.columns, "__matched")
     hits = filter_posts(posts, condition, view, catalog, registry).select(*view.key, F.lit(True).alias("__hit"))
     joined = posts.join(hits, list(view.key), "left")
     return joined.withColumn("__matched", F.coalesce("__hit", F.lit(False))).drop("__hit")

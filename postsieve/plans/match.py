@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import traceback
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -17,13 +16,14 @@ from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog, attach, keep_members
 from postsieve.plans.tree import (
     Node,
-    Predicate,
     as_column,
+    as_sql,
     compile_tree,
     environment,
     is_operable,
     rehydrate,
     render,
+    render_sql,
     with_models_as,
 )
 
@@ -47,6 +47,7 @@ def filter_posts(
     """
     tree = compile_tree(condition, view, registry)
     columns = posts.columns
+    posts = view.with_shared(posts)
     remaining: list[Node] = []
     joins: list[Node] = []
     for node in sorted(_conjuncts(tree), key=lambda n: n.cost):
@@ -59,7 +60,7 @@ def filter_posts(
     for node in joins:
         posts = keep_members(posts, view, node.leaf.membership, node.leaf.negated, catalog)
     if not remaining:
-        return posts
+        return posts.select(*columns)
     rest = remaining[0] if len(remaining) == 1 else Node({}, "0", "and", tuple(remaining))
     set_needs = [n for n in _needs_below(rest, COST_MODEL)]
     if rest.cost < COST_MODEL:
@@ -109,6 +110,7 @@ def compile_feeds(
     Null manifests are skipped.  A feed with an unknown operator runs but matches nothing.
     """
     feeds = []
+    built: dict = {}
     for algorithm_id, manifest in manifests.items():
         if not manifest:
             continue
@@ -117,7 +119,7 @@ def compile_feeds(
             if not is_operable(full, registry):
                 feeds.append(Feed(algorithm_id, None, environment(full, registry), operable=False))
                 continue
-            tree = compile_tree(full["filter"], view, registry)
+            tree = compile_tree(full["filter"], view, registry, built=built)
             feeds.append(Feed(algorithm_id, tree, environment(full, registry)))
         except Exception as error:  # noqa: BLE001 - reported in the feed's response
             details = {
@@ -146,68 +148,58 @@ def match_feeds(
     cheap = {i: t for i, t in trees.items() if t.cost < COST_MODEL}
     costly = {i: t for i, t in trees.items() if t.cost >= COST_MODEL}
     columns = posts.columns
-    set_needs = [n for t in trees.values() for n in _needs_below(t, COST_MODEL)]
-    posts = attach(posts, view, set_needs, catalog)
-    shared, value_of = _shared_leaves(trees.values())
-    posts = posts.withColumns(shared) if shared else posts
+    posts = view.with_shared(posts)
+    posts = attach(posts, view, [n for t in trees.values() for n in _needs_below(t, COST_MODEL)], catalog)
+    leaves = _NamedLeaves(trees.values())
+    posts = posts.withColumns(leaves.plain) if leaves.plain else posts
 
-    decided = {i: render(t, value_of) for i, t in cheap.items()}
-    decided.update({i: render(t, _model_free(value_of, False)) for i, t in costly.items()})
+    decided = {i: render_sql(t, leaves.value) for i, t in cheap.items()}
+    decided.update({i: render_sql(t, leaves.bound(False)) for i, t in costly.items()})
     result = _explode_matches(posts, decided, columns)
     if not costly:
         return result
     open_for = {
-        i: as_column(render(t, _model_free(value_of, True))) & ~as_column(decided[i])
-        for i, t in costly.items()
+        i: f"({as_sql(render_sql(t, leaves.bound(True)))} AND NOT {as_sql(decided[i])})" for i, t in costly.items()
     }
-    undecided = posts.where(_any(open_for.values()))
-    needs = [n for t in costly.values() for n in t.needs]
-    scored = attach(undecided, view, needs, catalog)
-    full = {i: open_for[i] & as_column(render(t, value_of)) for i, t in costly.items()}
+    undecided = posts.where(F.expr(" OR ".join(open_for.values())))
+    scored = attach(undecided, view, [n for t in costly.values() for n in t.needs], catalog)
+    scored = scored.withColumns(leaves.model) if leaves.model else scored
+    full = {i: f"({open_for[i]} AND {as_sql(render_sql(t, leaves.value))})" for i, t in costly.items()}
     return result.unionByName(_explode_matches(scored, full, columns))
 
 
-def _shared_leaves(trees: Iterable[Node]):
-    """Columns for leaves which occur more than once, and a leaf-value function using them."""
-    leaves = [n for t in trees for n in t.leaves()]
-    uses = Counter(n.key for n in leaves)
-    first = {n.key: n for n in reversed(leaves)}
-    shared: dict[str, Column] = {}
-    names: dict[str, str] = {}
-    for key, count in uses.items():
-        leaf = first[key].leaf
-        if count > 1 and leaf.cost < COST_MODEL and not isinstance(leaf.predicate, bool):
-            names[key] = f"__leaf_{len(names)}"
-            shared[names[key]] = leaf.predicate
-
-    def value_of(node: Node) -> Predicate:
-        name = names.get(node.key)
-        return F.col(name) if name else node.leaf.predicate
-
-    return shared, value_of
+class _NamedLeaves:
+    """Every distinct leaf of some trees as a named boolean column.
 
+    A leaf used by many feeds is evaluated once.  One used by a single feed is folded back into
+    that feed's expression by the optimizer, and there is skipped when the feed is already decided.
+    """
 
-def _model_free(value_of, bound: bool):
-    return lambda n: bound if n.leaf.cost == COST_MODEL else value_of(n)
+    def __init__(self, trees: Iterable[Node]):
+        self._names: dict[str, str] = {}
+        self.plain: dict[str, Column] = {}
+        self.model: dict[str, Column] = {}
+        for node in (n for t in trees for n in t.leaves()):
+            if node.key in self._names or isinstance(node.leaf.predicate, bool):
+                continue
+            name = self._names[node.key] = f"__leaf_{len(self._names)}"
+            (self.model if node.leaf.cost == COST_MODEL else self.plain)[name] = node.leaf.predicate
 
+    def value(self, node: Node) -> str | bool:
+        return self._names.get(node.key, node.leaf.predicate)
 
-def _any(predicates: Iterable[Predicate]) -> Column:
-    """OR over many predicates, as a balanced tree so that the plan stays shallow."""
-    level = [as_column(p) for p in predicates]
-    while len(level) > 1:
-        level = [
-            level[i] | level[i + 1] if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)
-        ]
-    return level[0] if level else F.lit(False)
+    def bound(self, model_value: bool):
+        return lambda node: model_value if node.leaf.cost == COST_MODEL else self.value(node)
 
 
-def _explode_matches(posts: DataFrame, predicates: dict[int, Predicate], columns: list[str]) -> DataFrame:
-    live = [(i, p) for i, p in predicates.items() if p is not False]
-    ids = [F.when(as_column(p), F.lit(i).cast("long")) for i, p in live]
-    arrays = [F.array(*ids[k : k + FEEDS_PER_ARRAY]) for k in range(0, len(ids), FEEDS_PER_ARRAY)]
-    if not arrays:
+def _explode_matches(posts: DataFrame, predicates: dict[int, str | bool], columns: list[str]) -> DataFrame:
+    """One row per post and feed whose predicate (SQL over leaf columns) holds."""
+    ids = [f"CASE WHEN {as_sql(p)} THEN {int(i)}L END" for i, p in predicates.items() if p is not False]
+    chunks = [ids[k : k + FEEDS_PER_ARRAY] for k in range(0, len(ids), FEEDS_PER_ARRAY)]
+    if not chunks:
         return posts.select(*columns, F.lit(None).cast("long").alias("algorithm_id")).where(F.lit(False))
-    matched = F.array_compact(arrays[0] if len(arrays) == 1 else F.concat(*arrays))
+    arrays = [F.expr(f"array_compact(array({', '.join(chunk)}))") for chunk in chunks]
+    matched = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
     return posts.select(*columns, F.explode(matched).alias("algorithm_id"))
 
 

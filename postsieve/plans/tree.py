@@ -99,16 +99,23 @@ class Node:
         return json.dumps(self.condition, sort_keys=True, ensure_ascii=False)
 
 
-def compile_tree(condition: Any, view: PostView, registry: Registry, path: str = "0") -> Node:
-    if isinstance(condition, dict):
-        for connective in ("and", "or"):
-            if connective in condition:
-                children = tuple(
-                    compile_tree(c, view, registry, f"{path}.{i}") for i, c in enumerate(condition[connective])
-                )
-                return Node(condition, path, connective, children)
-        return Node(condition, path, leaf=registry.build(condition, view))
-    raise ValueError("Invalid condition structure.")
+def compile_tree(
+    condition: Any, view: PostView, registry: Registry, path: str = "0", built: dict[str, Leaf] | None = None
+) -> Node:
+    """``built`` collects leaves by their condition, so that equal ones are built once."""
+    if not isinstance(condition, dict):
+        raise ValueError("Invalid condition structure.")
+    built = {} if built is None else built
+    for connective in ("and", "or"):
+        if connective in condition:
+            children = tuple(
+                compile_tree(c, view, registry, f"{path}.{i}", built) for i, c in enumerate(condition[connective])
+            )
+            return Node(condition, path, connective, children)
+    node = Node(condition, path)
+    if node.key not in built:
+        built[node.key] = registry.build(condition, view)
+    return Node(condition, path, leaf=built[node.key])
 
 
 def render(node: Node, leaf_value: Callable[[Node], Predicate] | None = None) -> Predicate:
@@ -132,6 +139,28 @@ def render(node: Node, leaf_value: Callable[[Node], Predicate] | None = None) ->
     return functools.reduce((lambda a, b: a | b) if absorbing else (lambda a, b: a & b), parts)
 
 
+def render_sql(node: Node, leaf_value: Callable[[Node], str | bool]) -> str | bool:
+    """Like :func:`render` over leaves that are named columns, as SQL text.
+
+    A plan for a thousand feeds is thousands of AND/OR nodes; as text they are handed to Spark in a
+    few calls instead of one call per node.
+    """
+    if node.leaf is not None:
+        return leaf_value(node)
+    absorbing = node.connective == "or"
+    parts = []
+    for child in sorted(node.children, key=lambda c: c.cost):
+        value = render_sql(child, leaf_value)
+        if isinstance(value, bool):
+            if value is absorbing:
+                return absorbing
+            continue
+        parts.append(value)
+    if not parts:
+        return not absorbing
+    return parts[0] if len(parts) == 1 else "(" + f" {node.connective.upper()} ".join(parts) + ")"
+
+
 def with_models_as(value: bool) -> Callable[[Node], Predicate]:
     """Leaf values with every model leaf replaced by a constant.
 
@@ -141,5 +170,9 @@ def with_models_as(value: bool) -> Callable[[Node], Predicate]:
     return lambda n: value if n.leaf.cost == COST_MODEL else n.leaf.predicate
 
 
+def as_sql(predicate: str | bool) -> str:
+    return str(predicate).lower() if isinstance(predicate, bool) else predicate
+
+
 def as_column(predicate: Predicate) -> Column:
     return F.lit(predicate) if isinstance(predicate, bool) else predicate

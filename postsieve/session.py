@@ -18,6 +18,9 @@ SETTINGS = {
     # faster as split projections than as one such method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every column costs more than building the column, which
+    # shows once a plan holds thousands of conditions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -18,6 +18,15 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(renamed.get(k, k), v) for k, v in fields.items()])
 
 
+def _ddl(dtype: T.DataType) -> str:
+    """Type text with every field name quoted."""
+    if isinstance(dtype, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name}`: {_ddl(f.dataType)}" for f in dtype.fields) + ">"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{_ddl(dtype.elementType)}>"
+    return dtype.simpleString()
+
+
 _LINK_REF = _struct(ref=_struct(link_=_STRING))
 
 # The parts of the post schema the built-in operators read.
@@ -42,11 +51,6 @@ RECORD_TYPE = _struct(
         ),
     ),
 )
-EVENT_TYPE = _struct(
-    did=_STRING,
-    time_us=T.LongType(),
-    commit=_struct(operation=_STRING, collection=_STRING, rkey=_STRING, cid=_STRING, record=RECORD_TYPE),
-)
 # Message size limit and the two accepted spellings of a creation time (the fraction
 # is optional).
 MAX_CHARS = 100_000
@@ -60,8 +64,13 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "raw")
 
 
-def is_object(raw: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
+def _decoded(events: DataFrame, raw: str) -> DataFrame:
+    """``events`` with the JSON of ``raw`` as variant ``__json`` (NULL if it cannot be decoded).
+
+    The value comes out of a generator, so filters on it stay above and the text is parsed once per
+    row instead of once per condition.
+    """
+    return events.select("*", F.inline(F.array(F.struct(F.try_parse_json(raw).alias("__json")))))
 
 
 def quarantine(events: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -73,15 +82,18 @@ def quarantine(events: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFram
 def parse_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     """Envelope columns, typed ``record``, ``body`` (variant, for arbitrary paths) and ``raw``."""
     others = [c for c in events.columns if c != raw]
-    parsed = events.select(
+
+    def at(path: str, dtype: str) -> Column:
+        return F.try_variant_get("__json", path, dtype)
+
+    return _decoded(events, raw).select(
         *others,
+        at("$.did", "string").alias("did"),
+        at("$.time_us", "bigint").alias("time_us"),
+        *[at(f"$.commit.{name}", "string").alias(name) for name in ("operation", "collection", "rkey", "cid")],
+        at("$.commit.record", _ddl(RECORD_TYPE)).alias("record"),
+        at("$.commit.record", "variant").alias("body"),
         F.col(raw).alias("raw"),
-        F.from_json(F.col(raw), EVENT_TYPE).alias("e"),
-        F.try_variant_get(F.try_parse_json(raw), "$.commit.record", "variant").alias("body"),
-    )
-    return parsed.select(
-        *others, "e.did", "e.time_us", "e.commit.operation", "e.commit.collection", "e.commit.rkey",
-        "e.commit.cid", "e.commit.record", "body", "raw",
     )
 
 
@@ -99,22 +111,22 @@ def validate_events(
     absent.  The correction is made in the ``raw`` JSON text.
     """
     now = F.current_timestamp() if now is None else now
-    v = F.try_parse_json(raw)
-
-    def has_shape(path: str, *, absent_ok: bool = True) -> Column:
-        found = F.try_variant_get(v, path, "variant")
-        return F.when(found.isNull(), F.lit(absent_ok)).otherwise(
-            F.schema_of_variant(found).startswith("OBJECT")
-        )
-
-    created = F.try_variant_get(v, "$.commit.record.createdAt", "variant")
-    created_text = F.try_variant_get(created, "$", "string")
-    readable = F.when(
-        created_text.isNull() | created_text.isin("", "0", "0.0", "false"), F.lit(True)
-    ).otherwise(F.schema_of_variant(created) == "STRING")
-    kept = events.where(F.length(raw) <= max_chars).where(
-        has_shape("$", absent_ok=False) & has_shape("$.commit") & has_shape("$.commit.record") & readable
+
+    def is_object(path: str) -> Column:
+        """An object, or nothing at all, at ``path``."""
+        found = F.try_variant_get("__json", path, "variant")
+        return found.isNull() | F.schema_of_variant(found).startswith("OBJECT")
+
+    created = F.try_variant_get("__json", "$.commit.record.createdAt", "variant")
+    created_text = F.try_variant_get("__json", "$.commit.record.createdAt", "string")
+    # Anything that counts as empty is left as it is; other non-strings are malformed.
+    readable = (
+        created_text.isNull()
+        | created_text.isin("", "0", "0.0", "false")
+        | (F.schema_of_variant(created) == "STRING")
     )
+    decoded = _decoded(events.where(F.length(raw) <= max_chars), raw).where(F.col("__json").isNotNull())
+    kept = decoded.where(is_object("$") & is_object("$.commit") & is_object("$.commit.record") & readable)
     at = F.try_to_timestamp(created_text, F.lit(CREATED_AT_FORMAT))
     is_wrong = created_text.isNotNull() & (created_text != "") & (at.isNull() | (at > now))
     corrected = F.date_format(now, CREATED_AT_OUTPUT)
@@ -122,7 +134,7 @@ def validate_events(
     for gap in ("", " "):
         label = f'"createdAt":{gap}"'
         fixed = F.replace(fixed, F.concat(F.lit(label), created_text, F.lit('"')), F.concat(F.lit(label), corrected, F.lit('"')))
-    return kept.withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw)))
+    return kept.withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw))).drop("__json")
 
 
 def split_operations(posts: DataFrame) -> tuple[DataFrame, DataFrame]:

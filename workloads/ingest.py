@@ -63,10 +63,10 @@ def validate_events(spark: SparkSession, folder: str) -> DataFrame:
     broken = (
         F.when(F.col("event_id") % 3 == 0, F.substring("raw", 1, 40))
         .when(F.col("event_id") % 3 == 1, F.lit('{"commit": [1, 2]}'))
-        .otherwise(F.concat(F.substring_index("raw", "}", 1), F.lit(',"pad":"'), F.repeat(F.lit("x"), 100_000), F.lit('"}}}')))
+        .otherwise(F.concat(F.substring_index("raw", "}", 1), F.lit(',"pad":"'), F.repeat(F.lit("x"), 1_000), F.lit('"}}}')))
     )
     messages = raw.withColumn("raw", F.when(is_purchase, broken).otherwise(F.col("raw")))
-    valid = P.parse_events(P.validate_events(messages, F.lit(_NOW).cast("timestamp")))
+    valid = P.parse_events(P.validate_events(messages, F.lit(_NOW).cast("timestamp"), max_chars=1_000))
     return valid.select("event_id", F.col("record.createdAt").alias("created"))
 
 

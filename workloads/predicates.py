@@ -252,9 +252,8 @@ def _flags(posts: DataFrame, key: str, conditions: dict[str, dict]) -> DataFrame
     from postsieve.operators.builtin import DEFAULT_REGISTRY
 
     v = B.view(posts, key)
-    return posts.select(
-        key, *[DEFAULT_REGISTRY.build(c, v).predicate.cast("int").alias(name) for name, c in conditions.items()]
-    )
+    flags = {name: DEFAULT_REGISTRY.build(c, v).predicate.cast("int") for name, c in conditions.items()}
+    return v.with_shared(posts).select(key, *[flag.alias(name) for name, flag in flags.items()])
 
 
 @query(
