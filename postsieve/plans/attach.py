@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,9 @@ def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Cat
     sets = [n for n in needs if isinstance(n, SetNeed)]
     for on in dict.fromkeys(n.on for n in sets):
         posts = _attach_sets(posts, view, on, [n for n in sets if n.on == on], catalog)
+    # All keys are computed before the first join, so that no text has to travel through one.
+    keys = {_key_of(n): _input_key(view, n) for n in needs if isinstance(n, (TextScoreNeed, SimilarityNeed))}
+    posts = posts.withColumns(keys) if keys else posts
     for need in needs:
         if isinstance(need, TextScoreNeed):
             posts = _attach_text_scores(posts, view, need, catalog)
@@ -75,7 +78,24 @@ def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Cat
             posts = _attach_image_scores(posts, view, need, catalog)
         elif isinstance(need, SimilarityNeed):
             posts = _attach_similarity(posts, view, need, catalog)
-    return posts
+    return posts.drop(*keys)
+
+
+def _key_of(need: Need) -> str:
+    return need.column + "_key"
+
+
+def _input_text(view: PostView, need: TextScoreNeed | SimilarityNeed) -> Column:
+    if isinstance(need, SimilarityNeed):
+        attribute = view.record.child(need.attribute)
+        return F.lit("") if attribute.is_missing else F.coalesce(attribute.col.cast("string"), F.lit(""))
+    text = F.coalesce(view.shared_text(), F.lit(""))
+    return F.when(text == "", F.lit(need.empty_text)).otherwise(text) if need.empty_text else text
+
+
+def _input_key(view: PostView, need: TextScoreNeed | SimilarityNeed) -> Column:
+    suffix = need.suffix if isinstance(need, TextScoreNeed) else ""
+    return score_key(need.model, _input_text(view, need), suffix)
 
 
 def _declare_shared(view: PostView, needs: Iterable[Need]) -> None:
@@ -153,15 +173,12 @@ def keep_members(posts: DataFrame, view: PostView, need: SetNeed, negated: bool,
 
 
 def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Catalog) -> DataFrame:
-    text = F.coalesce(view.shared_text(), F.lit(""))
-    if need.empty_text:
-        text = F.when(text == "", F.lit(need.empty_text)).otherwise(text)
-    keyed = posts.withColumn(_KEY, score_key(need.model, text, need.suffix))
+    key = _key_of(need)
     scorer = catalog.scorers.get(need.model)
-    inputs = keyed.select(F.col(_KEY).alias("input_key"), text.alias("input")) if scorer else None
-    scores = complete_scores(posts.sparkSession, need.model, catalog.scores, TEXT_RESULT, inputs, scorer)
-    found = scores.select(F.col("input_key").alias(_KEY), F.col("scores").alias(need.column))
-    return keyed.join(found, _KEY, "left").drop(_KEY)
+    inputs = posts.select(F.col(key).alias("input_key"), _input_text(view, need).alias("input")) if scorer else None
+    scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer)
+    found = scores.select(F.col("input_key").alias(key), F.col("scores").alias(need.column))
+    return posts.join(found, key, "left")
 
 
 def _attach_image_scores(posts, view: PostView, need: ImageScoreNeed, catalog: Catalog) -> DataFrame:
@@ -169,7 +186,7 @@ def _attach_image_scores(posts, view: PostView, need: ImageScoreNeed, catalog: C
     images = images.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
     scorer = catalog.scorers.get(need.model)
     inputs = images.select("input_key", "input") if scorer else None
-    scores = complete_scores(posts.sparkSession, need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
+    scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
     best = max_image_score(images.join(scores, "input_key"), view.key, need)
     return posts.join(best, list(view.key), "left")
 
@@ -182,19 +199,19 @@ def max_image_score(scored_images: DataFrame, key: tuple[str, ...], need: ImageS
 
 
 def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Catalog) -> DataFrame:
-    attribute = view.record.child(need.attribute)
-    text = F.lit("") if attribute.is_missing else F.coalesce(attribute.col.cast("string"), F.lit(""))
-    keyed = posts.withColumn(_KEY, score_key(need.model, text))
-    anchor_key = score_key(need.model, F.lit(need.anchor))
-    spark = posts.sparkSession
+    key = _key_of(need)
     scorer = catalog.scorers.get(need.model)
-    inputs = None
+    anchor_key = score_key(need.model, F.lit(need.anchor))
+    inputs = anchor_input = None
     if scorer:
-        anchor = spark.range(1).select(anchor_key.alias("input_key"), F.lit(need.anchor).alias("input"))
-        inputs = keyed.select(F.col(_KEY).alias("input_key"), text.alias("input")).unionByName(anchor)
-    stored = complete_scores(spark, need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer)
-    anchor_vector = stored.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding")).scalar()
-    found = stored.select(F.col("input_key").alias(_KEY), "embedding")
-    joined = keyed.join(found, _KEY, "left").withColumn("__anchor", anchor_vector)
+        inputs = posts.select(F.col(key).alias("input_key"), _input_text(view, need).alias("input"))
+        anchor = posts.sparkSession.range(1)
+        anchor_input = anchor.select(anchor_key.alias("input_key"), F.lit(need.anchor).alias("input"))
+    # The anchor has a plan of its own: finding one vector must not score all texts.
+    anchors = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, anchor_input, scorer)
+    anchor_vector = anchors.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding")).scalar()
+    stored = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer)
+    found = stored.select(F.col("input_key").alias(key), "embedding")
+    joined = posts.join(found, key, "left").withColumn("__anchor", anchor_vector)
     similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor")), F.lit(0.0))
-    return joined.withColumn(need.column, similarity).drop(_KEY, "embedding", "__anchor")
+    return joined.withColumn(need.column, similarity).drop("embedding", "__anchor")

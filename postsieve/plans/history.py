@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postsieve.operators.builtin import DEFAULT_REGISTRY
@@ -13,6 +14,7 @@ from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog
 from postsieve.plans.match import filter_posts
 from postsieve.plans.positions import with_positions, with_running_totals
+from postsieve.plans.tree import as_column, compile_tree, render
 
 SLICE_US = 60_000_000
 DAY_US = 24 * 3_600 * 1_000_000
@@ -90,12 +92,14 @@ def crawl_batches(posts: DataFrame, matched: Column, crawl: Crawl, key: tuple[st
     slices = narrow.groupBy("slice_no").agg(
         F.count(F.lit(1)).alias("records"), F.count_if("matched").alias("matches")
     )
-    totals = with_running_totals(slices, "slice_no", {"all_records": "records", "all_matches": "matches"})
+    n_slices = -(-(crawl.end_us - crawl.start_us) // crawl.slice_us)
+    totals = with_running_totals(
+        slices, "slice_no", {"all_records": "records", "all_matches": "matches"}, max_rows=n_slices
+    )
     # The batch which reaches the limit ends less than one batch after the slice which reaches it.
-    enough = F.min(F.when(F.col("all_matches") >= crawl.max_matches, F.col("all_records")))
-    horizon = totals.agg(
-        (F.coalesce(enough, F.max("all_records")) + crawl.batch_size).alias("records")
-    ).scalar()
+    everywhere = W.partitionBy(F.lit(0))
+    enough = F.min(F.when(F.col("all_matches") >= crawl.max_matches, F.col("all_records"))).over(everywhere)
+    horizon = F.coalesce(enough, F.max("all_records").over(everywhere)) + crawl.batch_size
     last_slice = (
         totals.withColumn("horizon", horizon)
         .where(F.col("all_records") - F.col("records") < F.col("horizon"))
@@ -123,23 +127,20 @@ def backtest_progress(posts: DataFrame, matched: Column, crawl: Crawl, key: tupl
     return crawl_progress(crawl_batches(posts, matched, crawl, key), crawl.max_matches)
 
 
-def crawl_matches(posts: DataFrame, matched: Column, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
-    """Matching posts of the batches a crawl goes through, with their ``batch_no``.
+def crawl_matches(posts: DataFrame, batches: DataFrame, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
+    """Matching posts of the ``batches`` a crawl goes through, with their ``batch_no``.
 
     Fewer than ``max_matches`` come before the last batch and at most ``batch_size`` from it, so
     the matched keys are a proven small table and posts are not shuffled to pick them up.
     """
-    batches = crawl_batches(posts, matched, crawl, key)
     last = crawl_progress(batches, crawl.max_matches).agg(F.max("batch_no")).scalar()
     hits = batches.where("matched").where(F.col("batch_no") <= last).select(*key, "batch_no")
-    return posts.join(F.broadcast(hits), list(key))
+    inside = replay_range(posts, crawl.start_us, crawl.end_us, include_start=False)
+    return inside.join(F.broadcast(hits), list(key))
 
 
 def _with_match_flag(posts, condition, view, catalog, registry) -> DataFrame:
-    """Posts with ``__matched``; a filter which needs joins is evaluated once on keys."""
-    from postsieve.plans.match import compile_tree, render
-    from postsieve.plans.tree import as_column
-
+    """Posts with ``__matched``; a filter which needs joins is evaluated on its own and joined by key."""
     tree = compile_tree(condition, view, registry)
     if not tree.needs:
         flagged = view.with_shared(posts).withColumn("__matched", as_column(render(tree)))
@@ -160,8 +161,7 @@ def run_backtest(
     """(progress per batch, matching posts) of one filter over history."""
     flagged = _with_match_flag(posts, condition, view, catalog, registry)
     batches = crawl_batches(flagged, F.col("__matched"), crawl, view.key)
-    progress = crawl_progress(batches, crawl.max_matches)
-    return progress, crawl_matches(flagged, F.col("__matched"), crawl, view.key).drop("__matched")
+    return crawl_progress(batches, crawl.max_matches), crawl_matches(posts, batches, crawl, view.key)
 
 
 def run_backfill(
@@ -173,5 +173,4 @@ def run_backfill(
     registry: Registry = DEFAULT_REGISTRY,
 ) -> DataFrame:
     """Matching posts of a backfill crawl (see ``sources.sinks.write_matches`` to store them)."""
-    flagged = _with_match_flag(posts, condition, view, catalog, registry)
-    return crawl_matches(flagged, F.col("__matched"), crawl, view.key).drop("__matched")
+    return run_backtest(posts, condition, view, crawl, catalog, registry)[1]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from postsieve.plans.match import Feed
 
@@ -39,9 +41,12 @@ def window_counts(events: DataFrame, time: Column, width: str) -> DataFrame:
     )
 
 
-def feed_table(spark, feeds: Iterable[Feed]) -> DataFrame:
-    rows = [(f.algorithm_id, f.environment, f.error) for f in feeds]
-    return spark.createDataFrame(rows, FEED_TYPE)
+def feed_table(spark: SparkSession, feeds: Iterable[Feed]) -> DataFrame:
+    """Feeds as a local relation: as many rows as there are compiled feeds."""
+    rows = [
+        {"algorithm_id": f.algorithm_id, "compute_environment": f.environment, "error": f.error} for f in feeds
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=to_arrow_schema(FEED_TYPE)))
 
 
 def responses(
@@ -52,20 +57,24 @@ def responses(
 ) -> DataFrame:
     """One row per batch and feed with its ``matches``; a feed without any match has one empty row.
 
-    ``matches`` holds ``algorithm_id``, the batch column and the match columns.  Batches are of
-    limited length by construction, hence so is every collected array, however popular a feed is.
+    ``matches`` holds ``algorithm_id``, the batch column and the match columns; ``feeds`` comes from
+    :func:`feed_table`, whose size is that of the plan itself and which is therefore broadcast.
+    Batches are of limited length by construction, hence so is every collected array, and the
+    batches of a popular feed stay spread out.
     """
     payload = [c for c in matches.columns if c not in ("algorithm_id", batch)]
-    grouped = matches.groupBy("algorithm_id", batch).agg(F.collect_list(F.struct(*payload)).alias("found"))
-    empty = F.array().cast(grouped.schema["found"].dataType)
-    return feeds.join(grouped, "algorithm_id", "left").select(
+    grouped = matches.groupBy("algorithm_id", batch).agg(F.collect_list(F.struct(*payload)).alias("matches"))
+    answered = grouped.join(F.broadcast(feeds), "algorithm_id")
+    silent = feeds.join(matches.select("algorithm_id").distinct(), "algorithm_id", "left_anti")
+    empty = F.array().cast(grouped.schema["matches"].dataType)
+    silent = silent.withColumns({batch: F.lit(None).cast(grouped.schema[batch].dataType), "matches": empty})
+    at = F.current_timestamp() if compute_time is None else compute_time
+    return answered.unionByName(silent).select(
         "algorithm_id",
-        F.coalesce(compute_time if compute_time is not None else F.lit(None), F.current_timestamp()).alias(
-            "compute_time"
-        ),
+        at.alias("compute_time"),
         F.expr("uuid()").alias("uuid"),
         "compute_environment",
         batch,
-        F.coalesce("found", empty).alias("matches"),
+        "matches",
         "error",
     )

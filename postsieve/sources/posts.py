@@ -56,6 +56,7 @@ RECORD_TYPE = _struct(
 MAX_CHARS = 100_000
 POST_COLLECTION = "app.bsky.feed.post"
 CREATED_AT_FORMAT = "yyyy-M-d'T'H:m:s[.SSSSSS]'Z'"
+CREATED_AT_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z$"
 CREATED_AT_OUTPUT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -67,10 +68,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def _decoded(events: DataFrame, raw: str) -> DataFrame:
     """``events`` with the JSON of ``raw`` as variant ``__json`` (NULL if it cannot be decoded).
 
-    The value comes out of a generator, so filters on it stay above and the text is parsed once per
-    row instead of once per condition.
     """
-    return events.select("*", F.inline(F.array(F.struct(F.try_parse_json(raw).alias("__json")))))
+    return _once(events, F.try_parse_json(raw).alias("__json"))
+
+
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Add costly columns that are computed once per row.
+
+    They come out of a generator: filters on them stay above it, instead of being pushed below and
+    computing them again for every condition.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
 def quarantine(events: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
@@ -117,24 +125,30 @@ def validate_events(
         found = F.try_variant_get("__json", path, "variant")
         return found.isNull() | F.schema_of_variant(found).startswith("OBJECT")
 
-    created = F.try_variant_get("__json", "$.commit.record.createdAt", "variant")
-    created_text = F.try_variant_get("__json", "$.commit.record.createdAt", "string")
+    decoded = _decoded(events.where(F.length(raw) <= max_chars), raw).where(F.col("__json").isNotNull())
+    found = F.try_variant_get("__json", "$.commit.record.createdAt", "variant")
+    text = F.try_variant_get("__json", "$.commit.record.createdAt", "string")
+    read = _once(decoded, found.alias("__found"), text.alias("__created"))
+    created = F.col("__created")
+    # A creation time was found, so the levels above it are objects.
+    shaped = F.col("__found").isNotNull() | (is_object("$") & is_object("$.commit") & is_object("$.commit.record"))
     # Anything that counts as empty is left as it is; other non-strings are malformed.
     readable = (
-        created_text.isNull()
-        | created_text.isin("", "0", "0.0", "false")
-        | (F.schema_of_variant(created) == "STRING")
+        created.isNull() | created.isin("", "0", "0.0", "false") | (F.schema_of_variant("__found") == "STRING")
     )
-    decoded = _decoded(events.where(F.length(raw) <= max_chars), raw).where(F.col("__json").isNotNull())
-    kept = decoded.where(is_object("$") & is_object("$.commit") & is_object("$.commit.record") & readable)
-    at = F.try_to_timestamp(created_text, F.lit(CREATED_AT_FORMAT))
-    is_wrong = created_text.isNotNull() & (created_text != "") & (at.isNull() | (at > now))
+    # The pattern keeps the date parser, whose failures are slow, away from most unreadable times.
+    at = F.when(created.rlike(CREATED_AT_PATTERN), F.try_to_timestamp(created, F.lit(CREATED_AT_FORMAT)))
+    is_wrong = created.isNotNull() & (created != "") & F.coalesce(at > now, F.lit(True))
     corrected = F.date_format(now, CREATED_AT_OUTPUT)
     fixed = F.col(raw)
     for gap in ("", " "):
         label = f'"createdAt":{gap}"'
-        fixed = F.replace(fixed, F.concat(F.lit(label), created_text, F.lit('"')), F.concat(F.lit(label), corrected, F.lit('"')))
-    return kept.withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw))).drop("__json")
+        fixed = F.replace(fixed, F.concat(F.lit(label), created, F.lit('"')), F.concat(F.lit(label), corrected, F.lit('"')))
+    return (
+        read.where(shaped & readable)
+        .withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw)))
+        .drop("__json", "__found", "__created")
+    )
 
 
 def split_operations(posts: DataFrame) -> tuple[DataFrame, DataFrame]:

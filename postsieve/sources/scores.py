@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,7 +54,6 @@ def score_inputs(inputs: DataFrame, scorer: Scorer, result: T.StructField) -> Da
 
 
 def complete_scores(
-    spark: SparkSession,
     model: str,
     stored: DataFrame | None,
     result: T.StructField,
@@ -71,3 +71,30 @@ def complete_scores(
         return known
     fresh = score_inputs(missing_inputs(inputs, known), scorer, result)
     return fresh if known is None else known.unionByName(fresh)
+
+
+def store_missing_scores(
+    path: str, model: str, inputs: DataFrame, scorer: Scorer, result: T.StructField
+) -> DataFrame:
+    """Score what the table at ``path`` lacks, append it there, and return the table.
+
+    The table is partitioned by model.  Storing results first means that neither a lost executor
+    nor a second reader makes the model run again.
+    """
+    spark = inputs.sparkSession
+    stored = read_scores(spark, path, result)
+    fresh = score_inputs(missing_inputs(inputs, stored.where(F.col("model") == model)), scorer, result)
+    fresh.withColumn("model", F.lit(model)).write.partitionBy("model").mode("append").parquet(path)
+    return read_scores(spark, path, result)
+
+
+def read_scores(spark: SparkSession, path: str, result: T.StructField) -> DataFrame:
+    """A stored score table; an absent or empty one reads as no rows."""
+    key, model = T.StructField("input_key", T.StringType()), T.StructField("model", T.StringType())
+    schema = T.StructType([key, result, model])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -43,7 +43,8 @@ def raw_events(events: DataFrame) -> DataFrame:
         record.alias("record"),
     )
     message = F.struct(B.did_of(F.col("user_id")).alias("did"), F.unix_micros(ts).alias("time_us"), commit.alias("commit"))
-    return events.select("event_id", F.to_json(message).alias("raw"))
+    # Out of a generator, so that the text is made once and then used like a stored column.
+    return events.select("event_id", F.inline(F.array(F.struct(F.to_json(message).alias("raw")))))
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,7 +66,8 @@ def validate_events(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_id") % 3 == 1, F.lit('{"commit": [1, 2]}'))
         .otherwise(F.concat(F.substring_index("raw", "}", 1), F.lit(',"pad":"'), F.repeat(F.lit("x"), 1_000), F.lit('"}}}')))
     )
-    messages = raw.withColumn("raw", F.when(is_purchase, broken).otherwise(F.col("raw")))
+    sent = F.when(is_purchase, broken).otherwise(F.col("raw"))
+    messages = raw.select("event_id", F.inline(F.array(F.struct(sent.alias("raw")))))
     valid = P.parse_events(P.validate_events(messages, F.lit(_NOW).cast("timestamp"), max_chars=1_000))
     return valid.select("event_id", F.col("record.createdAt").alias("created"))
 
