@@ -44,21 +44,22 @@ def to_java(pattern: str) -> str:
     """Respell the parts of a Python/RE2 pattern which Java reads differently."""
     names: dict[str, str] = {}
     out: list[str] = []
-    depth = 0  # inside [...]
+    in_class = False
     at_class_start = False
     for token in _TOKEN.finditer(pattern):
-        kind, text = token.lastgroup, token.group()
-        kind = next(k for k in ("escape", "group", "backref", "posix", "quantifier", "char") if token.group(k) is not None)
+        text = token.group()
+        kind = next(k for k in ("escape", "group", "backref", "posix", "quantifier", "char") if token[k] is not None)
         if kind == "escape":
             out.append(r"\z" if text == r"\Z" else text)
             at_class_start = False
-        elif depth:
+        elif in_class:
             if kind == "posix":
                 out.append(rf"\{'P' if token['neg'] else 'p'}{{{_POSIX.get(token['cls'], token['cls'])}}}")
+                at_class_start = False
             else:
                 for char in text:
                     if char == "]" and not at_class_start:
-                        depth = 0
+                        in_class = False
                     out.append("\\" + char if char in "[&" or (char == "]" and at_class_start) else char)
                     at_class_start = at_class_start and char == "^"
         elif kind == "group":
@@ -66,12 +67,10 @@ def to_java(pattern: str) -> str:
         elif kind == "backref":
             out.append(rf"\k<{names.get(token['ref'], token['ref'])}>")
         elif kind == "char" and text == "[":
-            depth, at_class_start = 1, True
+            in_class = at_class_start = True
+            out.append(text)
+        elif kind == "posix":  # outside a class it is an ordinary class itself
             out.append(text)
-        elif kind == "posix":  # "[:" outside a class opens an ordinary class
-            depth, at_class_start = 1, False
-            out.append("[" + "".join("\\" + c if c in "[&" else c for c in text[1:-1]) + "]")
-            depth = 0
         elif kind == "char" and text == "{":
             out.append(r"\{")
         else:

@@ -1,7 +1,7 @@
 """Joins which bring set membership, model scores and similarities to the posts that need them.
 
-Posts are never multiplied: every side joined here is unique on its join key.  Such joins are left
-to the adaptive planner, which broadcasts a side only when its measured size is small and otherwise
+Posts are never multiplied: every side joined here is unique on its join key.  Nothing is broadcast
+by hint; the adaptive planner does so when the measured size of a side is small, and otherwise
 splits the partitions of a hot author or a hot text.
 """
 
@@ -98,6 +98,18 @@ def _input_key(view: PostView, need: TextScoreNeed | SimilarityNeed) -> Column:
     return score_key(need.model, _input_text(view, need), suffix)
 
 
+def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join with a table that is unique on the string column ``key``.
+
+    A third of the rows may share one key.  The adaptive planner splits such a partition, but only
+    if both sides were shuffled for this very join; a table which has just been grouped by ``key``
+    would be read in place.  A checksum of the key as second join key asks for that shuffle.
+    """
+    spread = "__spread"
+    left = rows.withColumn(spread, F.crc32(key))
+    return left.join(table.withColumn(spread, F.crc32(key)), [key, spread], "left").drop(spread)
+
+
 def _declare_shared(view: PostView, needs: Iterable[Need]) -> None:
     """Make the view compute what the joins below read, before any of them runs."""
     for need in needs:
@@ -148,7 +160,7 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
     if on == "did":
         # At most one array element per condition of the filter, however large the sets are.
         by_value = members.groupBy(F.col("value").alias(_KEY)).agg(F.collect_set("set_name").alias(_MEMBER_OF))
-        marked = posts.join(by_value, posts[view.did_column] == by_value[_KEY], "left").drop(_KEY)
+        marked = lookup(posts.withColumn(_KEY, view.did), by_value, _KEY).drop(_KEY)
     else:
         values = posts.select(*view.key, F.explode(view.shared_entities(on)).alias("value"))
         hits = values.join(members, "value").groupBy(*view.key).agg(F.collect_set("set_name").alias(_MEMBER_OF))
@@ -178,7 +190,7 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
     inputs = posts.select(F.col(key).alias("input_key"), _input_text(view, need).alias("input")) if scorer else None
     scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer)
     found = scores.select(F.col("input_key").alias(key), F.col("scores").alias(need.column))
-    return posts.join(found, key, "left")
+    return lookup(posts, found, key)
 
 
 def _attach_image_scores(posts, view: PostView, need: ImageScoreNeed, catalog: Catalog) -> DataFrame:
@@ -212,6 +224,6 @@ def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Cat
     anchor_vector = anchors.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding")).scalar()
     stored = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer)
     found = stored.select(F.col("input_key").alias(key), "embedding")
-    joined = posts.join(found, key, "left").withColumn("__anchor", anchor_vector)
+    joined = lookup(posts, found, key).withColumn("__anchor", anchor_vector)
     similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor")), F.lit(0.0))
     return joined.withColumn(need.column, similarity).drop("embedding", "__anchor")

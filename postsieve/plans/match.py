@@ -90,10 +90,11 @@ def _needs_below(node: Node, cost: int) -> list:
 
 @dataclass(frozen=True)
 class Feed:
-    """A feed ready to run, or the reason why it is not."""
+    """A feed ready to run, or the reason why it is not.  Feeds compiled together share a view."""
 
     algorithm_id: int
     tree: Node | None
+    view: PostView
     environment: str = "cpu"
     operable: bool = True
     error: dict | None = None
@@ -117,10 +118,10 @@ def compile_feeds(
         try:
             full = rehydrate(manifest, conditions)
             if not is_operable(full, registry):
-                feeds.append(Feed(algorithm_id, None, environment(full, registry), operable=False))
+                feeds.append(Feed(algorithm_id, None, view, environment(full, registry), operable=False))
                 continue
             tree = compile_tree(full["filter"], view, registry, built=built)
-            feeds.append(Feed(algorithm_id, tree, environment(full, registry)))
+            feeds.append(Feed(algorithm_id, tree, view, environment(full, registry)))
         except Exception as error:  # noqa: BLE001 - reported in the feed's response
             details = {
                 "error_type": type(error).__name__,
@@ -128,16 +129,11 @@ def compile_feeds(
                 "error_stack_trace": traceback.format_exception(error),
                 "algorithm_id": algorithm_id,
             }
-            feeds.append(Feed(algorithm_id, None, "none", operable=False, error=details))
+            feeds.append(Feed(algorithm_id, None, view, "none", operable=False, error=details))
     return feeds
 
 
-def match_feeds(
-    posts: DataFrame,
-    feeds: Iterable[Feed],
-    view: PostView,
-    catalog: Catalog = Catalog(),
-) -> DataFrame:
+def match_feeds(posts: DataFrame, feeds: list[Feed], catalog: Catalog = Catalog()) -> DataFrame:
     """``posts`` columns plus ``algorithm_id``: one row per post and feed it matches.
 
     All feeds share one pass.  A condition used by several feeds is evaluated once, as a boolean
@@ -148,6 +144,9 @@ def match_feeds(
     cheap = {i: t for i, t in trees.items() if t.cost < COST_MODEL}
     costly = {i: t for i, t in trees.items() if t.cost >= COST_MODEL}
     columns = posts.columns
+    if not trees:
+        return posts.select(*columns, F.lit(None).cast("long").alias("algorithm_id")).where(F.lit(False))
+    view = feeds[0].view
     posts = view.with_shared(posts)
     posts = attach(posts, view, [n for t in trees.values() for n in _needs_below(t, COST_MODEL)], catalog)
     leaves = _NamedLeaves(trees.values())

@@ -76,7 +76,7 @@ def process_batch(
     creates, deletes = P.split_operations(events)
     view = P.post_view(creates)
     compiled = compile_feeds(feeds.manifests, feeds.conditions, view, registry)
-    matched = match_feeds(creates, compiled, view, catalog)
+    matched = match_feeds(creates, compiled, catalog)
     return project_matches(matched, view, "algorithm_id"), deletes
 
 

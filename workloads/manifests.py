@@ -93,7 +93,7 @@ def _feeds_and_matches(spark: SparkSession, folder: str):
     view = B.document_view(posts)
     feeds = compile_feeds(MANIFESTS, CONDITIONS, view)
     catalog = Catalog(scores=B.rule_scores(spark, folder, L.SENTIMENT))
-    return feeds, match_feeds(posts, feeds, view, catalog), view
+    return feeds, match_feeds(posts, feeds, catalog), view
 
 
 @query("multi_manifest", _MATCHES)
