@@ -30,7 +30,9 @@ def score_key(model: str, text: Column, suffix: str = "") -> Column:
     parts = [F.lit(model + ":"), F.coalesce(text, F.lit(""))]
     if suffix:
         parts.append(F.lit(":" + suffix))
-    return F.sha2(F.concat(*parts), 256)
+    # The outer coalesce never applies, but tells the planner that a key is never NULL; otherwise a
+    # join would hash every text once more just to test for that.
+    return F.coalesce(F.sha2(F.concat(*parts), 256), F.lit(""))
 
 
 def image_key(model: str, url: Column, category: str) -> Column:

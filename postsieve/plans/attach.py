@@ -60,9 +60,28 @@ class Catalog:
         return replace(self, **tables)
 
 
+def check_needs(needs: Iterable[Need], catalog: Catalog) -> None:
+    """Raise ``ValueError`` if the catalog lacks what a filter refers to."""
+    for need in needs:
+        if isinstance(need, SetNeed):
+            if need.assets and catalog.assets is None:
+                raise ValueError("The filter refers to assets, but the catalog has none.")
+            if need.handles and catalog.handles is None:
+                raise ValueError("The filter refers to handles, but the catalog has none.")
+            continue
+        stored = {
+            TextScoreNeed: catalog.scores,
+            ImageScoreNeed: catalog.image_scores,
+            SimilarityNeed: catalog.embeddings,
+        }[type(need)]
+        if stored is None and need.model not in catalog.scorers:
+            raise ValueError(f"No stored results and no scorer for model '{need.model}'")
+
+
 def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Catalog) -> DataFrame:
     """``posts`` with one column per need (named ``need.column``)."""
     needs = [n for n in dict.fromkeys(needs) if n.column not in posts.columns]
+    check_needs(needs, catalog)
     _declare_shared(view, needs)
     posts = view.with_shared(posts)
     sets = [n for n in needs if isinstance(n, SetNeed)]
@@ -138,15 +157,11 @@ def set_members(spark, needs: list[SetNeed], catalog: Catalog, lower: bool) -> D
     handles = [(n.column, h) for n in needs for h in n.handles]
     literals = [(n.column, v) for n in needs for v in n.literals]
     if assets:
-        if catalog.assets is None:
-            raise ValueError("The filter refers to assets, but the catalog has none.")
         wanted = _literal_rows(spark, assets, "set_name", "asset_type", "asset_key")
         frames.append(
             catalog.assets.join(wanted, ["asset_type", "asset_key"]).select("set_name", F.col("did").alias("value"))
         )
     if handles:
-        if catalog.handles is None:
-            raise ValueError("The filter refers to handles, but the catalog has none.")
         wanted = _literal_rows(spark, handles, "set_name", "handle")
         frames.append(catalog.handles.join(wanted, "handle").select("set_name", F.col("did").alias("value")))
     if literals:
@@ -174,6 +189,7 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
 def keep_members(posts: DataFrame, view: PostView, need: SetNeed, negated: bool, catalog: Catalog) -> DataFrame:
     """A membership test which must hold for every result, as a semi or anti join."""
     how = "left_anti" if negated else "left_semi"
+    check_needs([need], catalog)
     _declare_shared(view, [need])
     posts = view.with_shared(posts)
     members = set_members(posts.sparkSession, [need], catalog, lower=need.on != "did")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import traceback
 from collections.abc import Iterable
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from postsieve.operators.builtin import DEFAULT_REGISTRY
 from postsieve.operators.leaf import COST_MODEL, PostView
 from postsieve.operators.registry import Registry
-from postsieve.plans.attach import Catalog, attach, keep_members
+from postsieve.plans.attach import Catalog, attach, check_needs, keep_members
 from postsieve.plans.tree import (
     Node,
     as_column,
@@ -29,6 +30,8 @@ from postsieve.plans.tree import (
 
 # How many feeds share one array expression; more go into further arrays of the same pass.
 FEEDS_PER_ARRAY = 100
+# Fixed value: how many feeds are taken together at most.
+FEEDS_PER_PASS = 1000
 
 
 def filter_posts(
@@ -105,10 +108,12 @@ def compile_feeds(
     conditions: dict[int, dict],
     view: PostView,
     registry: Registry = DEFAULT_REGISTRY,
+    catalog: Catalog | None = None,
 ) -> list[Feed]:
     """Compile every manifest on its own; a broken one never affects the others.
 
-    Null manifests are skipped.  A feed with an unknown operator runs but matches nothing.
+    Null manifests are skipped.  A feed with an unknown operator runs but matches nothing.  Given
+    the ``catalog``, a feed which needs a table that is not there counts as broken.
     """
     feeds = []
     built: dict = {}
@@ -121,6 +126,8 @@ def compile_feeds(
                 feeds.append(Feed(algorithm_id, None, view, environment(full, registry), operable=False))
                 continue
             tree = compile_tree(full["filter"], view, registry, built=built)
+            if catalog is not None:
+                check_needs(tree.needs, catalog)
             feeds.append(Feed(algorithm_id, tree, view, environment(full, registry)))
         except Exception as error:  # noqa: BLE001 - reported in the feed's response
             details = {
@@ -133,20 +140,27 @@ def compile_feeds(
     return feeds
 
 
-def match_feeds(posts: DataFrame, feeds: list[Feed], catalog: Catalog = Catalog()) -> DataFrame:
+def match_feeds(
+    posts: DataFrame, feeds: list[Feed], catalog: Catalog = Catalog(), feeds_per_pass: int = FEEDS_PER_PASS
+) -> DataFrame:
     """``posts`` columns plus ``algorithm_id``: one row per post and feed it matches.
 
-    All feeds share one pass.  A condition used by several feeds is evaluated once, as a boolean
+    Up to ``feeds_per_pass`` feeds share one pass; beyond that the plan would outgrow the driver.  A condition used by several feeds is evaluated once, as a boolean
     column.  Feeds with model leaves contribute their model-free lower bound to that pass; a second
     pass scores only the posts which some such feed leaves undecided.
     """
-    trees = {f.algorithm_id: f.tree for f in feeds if f.tree is not None}
+    live = [f for f in feeds if f.tree is not None]
+    if len(live) > feeds_per_pass:
+        starts = range(0, len(live), feeds_per_pass)
+        passes = [match_feeds(posts, live[i : i + feeds_per_pass], catalog, feeds_per_pass) for i in starts]
+        return functools.reduce(DataFrame.unionByName, passes)
+    trees = {f.algorithm_id: f.tree for f in live}
     cheap = {i: t for i, t in trees.items() if t.cost < COST_MODEL}
     costly = {i: t for i, t in trees.items() if t.cost >= COST_MODEL}
     columns = posts.columns
     if not trees:
         return posts.select(*columns, F.lit(None).cast("long").alias("algorithm_id")).where(F.lit(False))
-    view = feeds[0].view
+    view = live[0].view
     posts = view.with_shared(posts)
     posts = attach(posts, view, [n for t in trees.values() for n in _needs_below(t, COST_MODEL)], catalog)
     leaves = _NamedLeaves(trees.values())

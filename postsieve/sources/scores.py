@@ -60,14 +60,15 @@ def complete_scores(
     inputs: DataFrame | None = None,
     scorer: Scorer | None = None,
 ) -> DataFrame:
-    """Results of ``model`` by ``input_key``: those stored, and new ones for inputs without."""
+    """Results of ``model`` by ``input_key``: those stored, and new ones for inputs without.
+
+    At least one of ``stored`` and ``scorer`` (with its ``inputs``) must be given.
+    """
     if stored is None:
         known = None
     else:
         known = stored.where(F.col("model") == model).select("input_key", result.name)
     if scorer is None or inputs is None:
-        if known is None:
-            raise ValueError(f"No stored results and no scorer for model '{model}'")
         return known
     fresh = score_inputs(missing_inputs(inputs, known), scorer, result)
     return fresh if known is None else known.unionByName(fresh)

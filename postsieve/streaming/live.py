@@ -75,7 +75,7 @@ def process_batch(
     """(matches, deletes) of a batch of parsed events: the same function for streams and tables."""
     creates, deletes = P.split_operations(events)
     view = P.post_view(creates)
-    compiled = compile_feeds(feeds.manifests, feeds.conditions, view, registry)
+    compiled = compile_feeds(feeds.manifests, feeds.conditions, view, registry, catalog)
     matched = match_feeds(creates, compiled, catalog)
     return project_matches(matched, view, "algorithm_id"), deletes
 
