@@ -227,5 +227,10 @@ def clean_schema(value: Field, omit: frozenset[str] = frozenset()) -> Field:
         if omit:
             entries = F.filter(entries, lambda e: ~e["key"].isin(sorted(omit)))
         inner = clean_schema(Field(F.lit(None), dtype.valueType), omit)
+        keys = F.transform(entries, lambda e: e["key"])
+        # Of entries whose keys have become equal, the last one stays.
+        entries = F.filter(
+            entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
+        )
         return Field(F.map_from_entries(entries), T.MapType(T.StringType(), inner.dtype))
     return value

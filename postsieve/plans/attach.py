@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsieve.functions.keys import image_key, score_key
-from postsieve.functions.vectors import cosine
+from postsieve.functions.vectors import cosine, norm
 from postsieve.operators.leaf import (
     ImageScoreNeed,
     Need,
@@ -84,6 +84,9 @@ def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Cat
     check_needs(needs, catalog)
     _declare_shared(view, needs)
     posts = view.with_shared(posts)
+    images = [n for n in needs if isinstance(n, ImageScoreNeed)]
+    if images:
+        posts = _attach_image_scores(posts, view, images, catalog)
     sets = [n for n in needs if isinstance(n, SetNeed)]
     for on in dict.fromkeys(n.on for n in sets):
         posts = _attach_sets(posts, view, on, [n for n in sets if n.on == on], catalog)
@@ -93,8 +96,6 @@ def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Cat
     for need in needs:
         if isinstance(need, TextScoreNeed):
             posts = _attach_text_scores(posts, view, need, catalog)
-        elif isinstance(need, ImageScoreNeed):
-            posts = _attach_image_scores(posts, view, need, catalog)
         elif isinstance(need, SimilarityNeed):
             posts = _attach_similarity(posts, view, need, catalog)
     return posts.drop(*keys)
@@ -209,14 +210,20 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
     return lookup(posts, found, key)
 
 
-def _attach_image_scores(posts, view: PostView, need: ImageScoreNeed, catalog: Catalog) -> DataFrame:
-    images = posts.select(*view.key, F.explode(view.shared_image_urls()).alias("input"))
-    images = images.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
-    scorer = catalog.scorers.get(need.model)
-    inputs = images.select("input_key", "input") if scorer else None
-    scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
-    best = max_image_score(images.join(scores, "input_key"), view.key, need)
-    return posts.join(best, list(view.key), "left")
+def _attach_image_scores(posts, view: PostView, needs: list[ImageScoreNeed], catalog: Catalog) -> DataFrame:
+    """Posts without images, most of them as a rule, take no part in the joins and shuffles."""
+    has_images = F.size(view.shared_image_urls()) > 0
+    plain = posts.where(~has_images).withColumns({n.column: F.lit(None).cast("double") for n in needs})
+    pictured = posts.where(has_images)
+    urls = pictured.select(*view.key, F.explode(view.shared_image_urls()).alias("input"))
+    for need in needs:
+        images = urls.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
+        scorer = catalog.scorers.get(need.model)
+        inputs = images.select("input_key", "input") if scorer else None
+        scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
+        scored = lookup(images, scores, "input_key")
+        pictured = pictured.join(max_image_score(scored, view.key, need), list(view.key), "left")
+    return plain.unionByName(pictured)
 
 
 def max_image_score(scored_images: DataFrame, key: tuple[str, ...], need: ImageScoreNeed) -> DataFrame:
@@ -237,9 +244,10 @@ def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Cat
         anchor_input = anchor.select(anchor_key.alias("input_key"), F.lit(need.anchor).alias("input"))
     # The anchor has a plan of its own: finding one vector must not score all texts.
     anchors = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, anchor_input, scorer)
-    anchor_vector = anchors.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding")).scalar()
+    one = anchors.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding").alias("v"))
+    anchor_vector = one.select(F.struct("v", norm(F.col("v")).alias("norm"))).scalar()
     stored = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer)
     found = stored.select(F.col("input_key").alias(key), "embedding")
     joined = lookup(posts, found, key).withColumn("__anchor", anchor_vector)
-    similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor")), F.lit(0.0))
+    similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor.v"), F.col("__anchor.norm")), F.lit(0.0))
     return joined.withColumn(need.column, similarity).drop("embedding", "__anchor")

@@ -120,7 +120,7 @@ def test_asset_keys(spark):
 def test_clean_schema(spark):
     df = spark.sql(
         """select named_struct('a~b', 1, 'keep/it', array(named_struct('x:y', 2, 'drop', 3)),
-                               'm(1)', map('k 1', named_struct('p(q)', 4), 'drop', null), 'drop', 5) as n"""
+                               'm(1)', map('k:1', named_struct('p(q)', 3), 'k 1', named_struct('p(q)', 4), 'drop', null), 'drop', 5) as n"""
     )
     cleaned = extract.clean_schema(Field(F.col("n"), df.schema["n"].dataType), frozenset({"drop"}))
     row = df.select(cleaned.col.alias("n")).first().n.asDict(recursive=True)
