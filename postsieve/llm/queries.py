@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from postsieve.llm.common import QUERIES, ORACLES, corpus_query, read_table, shared_folder
+from postsieve.llm.decontamination import contaminated
+from postsieve.llm.language import identify, train
+from postsieve.llm.mixing import mix
 from postsieve.llm.simhash import near_duplicates
 from postsieve.llm.token_files import read_token_files, write_token_files
 
@@ -22,3 +27,52 @@ def op1_token_files(spark, folder):
 @corpus_query("op9_simhash")
 def op9_simhash(spark, folder):
     return near_duplicates(read_table(spark, folder, "documents"), radius=4, width=4, seed=42)
+
+
+@corpus_query("op6_language")
+def op6_language(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    return identify(docs, train(docs))
+
+
+@corpus_query("op2_decontaminate")
+def op2_decontaminate(spark, folder):
+    return contaminated(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+MIX_SQL = """
+WITH sizes AS (
+  SELECT source, sum(coalesce(length(text), 0) + 1)::BIGINT AS chars FROM documents GROUP BY source
+), rated AS (
+  SELECT source, (SELECT sum(chars) FROM sizes)::BIGINT
+         * (1.0::DOUBLE / (SELECT count(*) FROM sizes)) / chars AS rate FROM sizes
+), parted AS (
+  SELECT source, rate, greatest(ceil(rate / 8), 1)::BIGINT AS parts FROM rated
+), terms AS (
+  SELECT source, k, sum(exp(k * ln(rate / parts) - rate / parts - lgamma(k + 1)))
+         OVER (PARTITION BY source ORDER BY k) AS upto
+  FROM parted, (SELECT unnest(range(0, 64)) AS k)
+), numbers AS (
+  SELECT d.doc_id, d.source, part,
+         ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, '') || ':' || part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM documents d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, parts + 1)) AS r(part)
+), counted AS (
+  SELECT n.doc_id, n.source, count(t.k) AS copies
+  FROM numbers n JOIN terms t ON n.source IS NOT DISTINCT FROM t.source AND t.upto <= n.u
+  GROUP BY n.doc_id, n.source
+)
+SELECT d.doc_id, d.source, copy, copies, length(d.text) AS n_chars, md5(d.text) AS text_md5,
+       md5('17:place:' || coalesce(d.doc_id::VARCHAR, '') || ':' || copy) AS place
+FROM documents d
+JOIN counted c ON c.doc_id IS NOT DISTINCT FROM d.doc_id AND c.source IS NOT DISTINCT FROM d.source,
+     unnest(range(1, copies + 1)) AS r(copy)
+"""
+
+
+@corpus_query("op10_mix", MIX_SQL)
+def op10_mix(spark, folder):
+    rows = mix(read_table(spark, folder, "documents"), seed=17)
+    return rows.select(
+        "doc.doc_id", "doc.source", "copy", "copies",
+        F.length("doc.text").cast("long").alias("n_chars"), F.md5(F.col("doc.text").cast("binary")).alias("text_md5"), "place",
+    )
