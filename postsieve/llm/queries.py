@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from postsieve.llm.common import QUERIES, ORACLES, corpus_query, read_table, shared_folder
 from postsieve.llm.decontamination import contaminated
 from postsieve.llm.language import identify, train
+from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
 from postsieve.llm.simhash import near_duplicates
+from postsieve.llm.substrings import remove_repeats
 from postsieve.llm.token_files import read_token_files, write_token_files
 
 __all__ = ["QUERIES", "ORACLES"]
@@ -76,3 +78,34 @@ def op10_mix(spark, folder):
         "doc.doc_id", "doc.source", "copy", "copies",
         F.length("doc.text").cast("long").alias("n_chars"), F.md5(F.col("doc.text").cast("binary")).alias("text_md5"), "place",
     )
+
+
+@corpus_query("op3_substrings")
+def op3_substrings(spark, folder):
+    rows = remove_repeats(read_table(spark, folder, "documents"), width=13)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    sha = F.sha2(F.col("kept").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", removed.alias("n_removed"), sha.alias("kept_sha256"))
+
+
+LINES_SQL = """
+WITH lines AS (
+  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS whole,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+), keyed AS (
+  SELECT doc_id, source, pos, whole, trim(whole, ' ' || chr(9) || chr(13)) AS line FROM lines
+), common AS (
+  SELECT line FROM keyed WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5
+)
+SELECT doc_id, any_value(source) AS source, count(*) AS n_lines,
+       count(*) FILTER (line IN (SELECT line FROM common)) AS n_removed,
+       md5(coalesce(string_agg(whole, chr(10) ORDER BY pos) FILTER (line NOT IN (SELECT line FROM common)), '')) AS kept_md5
+FROM keyed GROUP BY doc_id
+"""
+
+
+@corpus_query("op8_lines", LINES_SQL)
+def op8_lines(spark, folder):
+    rows = remove_boilerplate(read_table(spark, folder, "documents"), sites=5)
+    removed, kept = F.size("removed").cast("long"), F.md5(F.col("text").cast("binary"))
+    return rows.select("doc_id", "source", "n_lines", removed.alias("n_removed"), kept.alias("kept_md5"))
