@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from postsieve.llm.common import QUERIES, ORACLES, corpus_query, read_table, shared_folder
 from postsieve.llm.decontamination import contaminated
+from postsieve.llm.embedding_links import link_vectors
 from postsieve.llm.language import identify, train
 from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
@@ -109,3 +110,8 @@ def op8_lines(spark, folder):
     rows = remove_boilerplate(read_table(spark, folder, "documents"), sites=5)
     removed, kept = F.size("removed").cast("long"), F.md5(F.col("text").cast("binary"))
     return rows.select("doc_id", "source", "n_lines", removed.alias("n_removed"), kept.alias("kept_md5"))
+
+
+@corpus_query("op4_embedding_links")
+def op4_embedding_links(spark, folder):
+    return link_vectors(read_table(spark, folder, "embeddings"), least=0.95)
