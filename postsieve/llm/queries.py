@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from postsieve.llm import html_text, secret_scan
 from postsieve.llm.common import QUERIES, ORACLES, corpus_query, read_table, shared_folder
 from postsieve.llm.decontamination import contaminated
 from postsieve.llm.embedding_links import link_vectors
+from postsieve.llm.html_text import main_text
 from postsieve.llm.language import identify, train
 from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
@@ -115,3 +117,19 @@ def op8_lines(spark, folder):
 @corpus_query("op4_embedding_links")
 def op4_embedding_links(spark, folder):
     return link_vectors(read_table(spark, folder, "embeddings"), least=0.95)
+
+
+@corpus_query("op7_html")
+def op7_html(spark, folder):
+    pages = read_table(spark, folder, "pages")
+    rows = main_text(pages, html_text.train(pages))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@corpus_query("op5_secrets")
+def op5_secrets(spark, folder):
+    rows = secret_scan.scan(read_table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "pos", "name", F.length("candidate").cast("long").alias("n_chars"),
+        F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"), "probability",
+    )
