@@ -1,0 +1,378 @@
+"""Corpus operators against brute force, and on rows with nothing, too much or the same twice."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from postsieve.llm import decontamination, embedding_links, html_text, language, line_spread, mixing, secret_scan
+from postsieve.llm import simhash, substrings, token_files
+from postsieve.llm.graph import components
+
+tokenizers = pytest.importorskip("public_tokenizers")
+KIND = "doc_id long, text string, lang string, source string, n_chars long, fp string, component string, chunk int, key int, copies string, place int, sums int, `rate` int"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    base = [words(rng, rng.randint(0, 80)) for _ in range(40)]
+    shared = words(rng, 30)
+    base += [f"{words(rng, 9)} {shared}\n{words(rng, 4)}" for _ in range(6)]
+    base += [base[3], base[3], base[5].upper(), base[7] + " more", "", None, " \t\n", "1234 !!", "Ünïcödé ñ", "x"]
+    base.append(words(rng, 30_000))
+    return base
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [
+        (i, t, ("en", "fr", None)[i % 3], None if i % 11 == 0 else f"src{i % 4 if i % 2 else 0}", len(t or ""))
+        for i, t in enumerate(texts)
+    ]
+    rows += [rows[4], rows[4], (None, texts[4], "en", "src1", 3), (None, None, None, None, None)]
+    return spark.createDataFrame([(*r, "f", "c", 1, 2, "k", 3, 4, 5) for r in rows], KIND)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], KIND)
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_token_files(spark, docs, empty, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(docs, f"file://{tmp_path}/a", path, 1)
+    got = token_files.read_token_files(spark, f"file://{tmp_path}/a").orderBy("start").collect()
+    rows = docs.select("doc_id", "text").collect()
+    assert [r["doc_id"] for r in got] == sorted([r["doc_id"] for r in rows], key=lambda k: (k is not None, k))
+    plain, start = Tokenizer.from_file(path), 0
+    ids = {}
+    for r in rows:
+        own = [*plain.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        ids.setdefault(r["doc_id"], []).append((len(own), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own))))
+    for r in got:
+        assert r["start"] == start and (r["n_tokens"], r["ids_crc32"]) in ids[r["doc_id"]]
+        start += r["n_tokens"]
+    one = next(r for r in got if r["doc_id"] == 3)
+    read = token_files.read_document(f"file://{tmp_path}/a", one["start"], one["n_tokens"])
+    assert read == [*plain.encode(rows[3]["text"], add_special_tokens=False).ids, 1]
+    token_files.write_token_files(empty, f"file://{tmp_path}/b", path, 1, order_by_id=False)
+    assert token_files.read_token_files(spark, f"file://{tmp_path}/b").count() == 0
+
+
+def test_odd_pieces():
+    encoder = token_files.WordEncoder(tokenizers.path("word_bpe_49k.json"))
+    assert encoder.by_word
+    for text in ["It's DON'T é x\x1cy", "<|endoftext|> a<|startoftext|>b", "日本語 テキスト　ok", "ΣΑΣ Σ", "a​b 😀😀"]:
+        got = b"".join(encoder.encode(text))
+        assert got == encoder.pack(encoder.tokenizer.encode(text, add_special_tokens=False).ids), text
+
+
+def test_language(spark, docs, empty):
+    model = language.train(docs)
+    got = language.identify(docs, model).collect()
+    assert len(got) == docs.count()
+    by_id = {r["doc_id"]: r for r in got}
+    for r in docs.collect():
+        if not language.has_letter(r["text"]):
+            found = [g for g in got if g["doc_id"] == r["doc_id"]]
+            assert any(g["lang_pred"] == "und" and g["score"] == 0 for g in found)
+    assert all(0 <= r["score"] <= 1 for r in got) and by_id[0]["held_out"] == (zlib.crc32(b"0") % 5 == 0)
+    assert language.train(empty) is None and language.identify(empty, None).count() == 0
+    assert {r["lang_pred"] for r in language.identify(docs, None).collect()} == {"und"}
+    kept = language.keep_identified(docs, model)
+    assert kept.columns == docs.columns and "日本" not in [r["text"] for r in kept.collect()]
+    foreign = spark.createDataFrame([(1, "日本語テキスト", None, None, 7, "f", "c", 1, 2, "k", 3, 4, 5)], KIND)
+    assert language.keep_identified(foreign, model).count() == 0
+
+
+def test_language_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    found = language.identify(table, language.train(table)).where("held_out").join(table, "doc_id")
+    assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.97
+
+
+@pytest.mark.parametrize("group", [2048, 8])
+def test_simhash(docs, empty, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)  # small groups: several tables, parts of groups
+    got = simhash.near_duplicates(docs, radius=4).collect()
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    import xxhash
+
+    def plain(text):
+        w = split(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        grams = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+        hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    prints = [plain(r["text"]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def top(x):
+        return x if parent[x] == x else top(parent[x])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= 4:
+                parent[top(i)] = top(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r["doc_id"] is not None:
+            least[top(i)] = min(least.get(top(i), r["doc_id"]), r["doc_id"])
+    expected = sorted((str(r["doc_id"]), f"{prints[i]:016x}", str(least.get(top(i)))) for i, r in enumerate(rows))
+    assert sorted((str(g[0]), g[1], str(g[2])) for g in got) == expected
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect() if r["doc_id"] is not None]
+    assert sorted(ids) == sorted(set(least.values()))
+
+
+def test_close_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**63, 300).astype(np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 64, (300, 6)).astype(np.uint64)) * (rng.random((300, 6)) < 0.7)
+    b = np.concatenate([a ^ np.bitwise_xor.reduce(flips.astype(np.uint64), axis=1), a[:70]])
+    for radius in range(7):
+        i, j = simhash.close_pairs(a, b, radius)
+        expected = np.argwhere(np.bitwise_count(a[:, None] ^ b[None, :]) <= radius)
+        assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, expected.tolist()))
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
+    edges += [(500, k) for k in range(501, 560)]
+    parent = {}
+
+    def top(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        parent[b] = a
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: top(x) for x in parent if top(x) != x}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [8_000_000, 300])
+def test_substrings(docs, empty, monkeypatch, chunk):
+    monkeypatch.setattr(substrings, "CHUNK", chunk)
+    monkeypatch.setattr(substrings, "BUCKET", 1000)
+    got = substrings.remove_repeats(docs.repartition(3), 13).collect()
+    rows = [(r["doc_id"], split(r["text"])) for r in docs.collect()]
+    first = {}
+    order = lambda k: float("inf") if k is None else k
+    for key, w in rows:
+        for i in range(len(w) - 12):
+            gram = tuple(w[i : i + 13])
+            first[gram] = min(first.get(gram, float("inf")), order(key))
+    expected = []
+    for key, w in rows:
+        gone = [False] * len(w)
+        for i in range(len(w) - 12):
+            if first[tuple(w[i : i + 13])] < order(key):
+                gone[i : i + 13] = [True] * 13
+        expected.append((str(key), len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    found = [(str(r["doc_id"]), r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), r["kept"]) for r in got]
+    assert sorted(found) == sorted(expected) and any(e[2] for e in expected)
+    assert substrings.remove_repeats(empty).count() == 0
+
+
+def test_decontamination(spark, docs, empty):
+    rng = random.Random(9)
+    items = [(k, words(rng, 30)) for k in range(5)] + [(5, None), (6, ""), (None, words(rng, 25)), (7, "the")]
+    bench = spark.createDataFrame([(*i, 1.0) for i in items], "item_id long, text string, score double")
+    assert decontamination.contaminated(docs, bench).count() == 0
+    edited = items[1][1].split()
+    edited[7], edited[15] = "changed", "also"
+    del edited[22]
+    planted = [
+        (1000, f"{words(rng, 50)} {items[0][1].upper()}, {words(rng, 20)}"),
+        (1001, " ".join(edited)),
+        (None, f"{words(rng, 40_000)} {items[2][1]} {words(rng, 9)} {items[7][1]}"),
+        (1002, " ".join(items[3][1].split()[:8]) + " " + words(rng, 60)),
+    ]
+    more = spark.createDataFrame([(*p, *[None] * 11) for p in planted], KIND)
+    got = decontamination.contaminated(docs.unionByName(more), bench).collect()
+    assert sorted((str(r["doc_id"]), str(r["item_id"])) for r in got) == [("1000", "0"), ("1001", "1"), ("None", "2"), ("None", "None")]
+    exact = next(r for r in got if r["doc_id"] == 1000)
+    assert (exact["score"], exact["first_word"], exact["n_words"]) == (1.0, 50, 30)
+    kept = decontamination.keep_clean(docs.unionByName(more), bench)
+    assert kept.count() == docs.count() + 1 and kept.columns == docs.columns
+    assert decontamination.contaminated(empty, bench).count() == 0
+    assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_align():
+    import numpy as np
+
+    def plain(item, passage):
+        h = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+        for i, a in enumerate(item, 1):
+            for j, b in enumerate(passage, 1):
+                h[i][j] = max(0, h[i - 1][j - 1] + (1 if a == b >= 0 else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+        return max(map(max, h))
+
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        item, passage = rng.integers(0, 5, rng.integers(1, 20)), rng.integers(-1, 5, rng.integers(1, 40))
+        assert decontamination.align(item, passage)[0] == plain(item, passage)
+
+
+def test_mixing(spark, docs, empty):
+    rows = mixing.mix(docs, size=30.0, seed=3).collect()
+    again = mixing.mix(docs.repartition(5), size=30.0, seed=3).collect()
+    assert sorted(str(r) for r in rows) == sorted(str(r) for r in again)
+    sizes = {}
+    for r in rows:
+        sizes[r["doc"]["source"]] = sizes.get(r["doc"]["source"], 0) + len(r["doc"]["text"] or "") + 1
+    assert set(sizes) == {None, "src0", "src1", "src3"}
+    rates = mixing.rates(docs, size=30.0).collect()
+    for r in rates:  # the distribution is the Poisson one
+        mean = r["rate"] / r["parts"]
+        masses = [b - a for a, b in zip([0.0, *r["sums"]], r["sums"])]
+        assert abs(sum(k * m for k, m in enumerate(masses)) - mean) < 1e-9 and abs(r["sums"][-1] - 1) < 1e-12
+    weights = spark.createDataFrame([("src0", 3.0), ("src1", None), (None, 1.0)], "source string, weight double")
+    kept = {r["source"] for r in mixing.mixed(docs, weights, 50.0).select("source").distinct().collect()}
+    assert kept == {"src0", None}
+    assert mixing.mixed(empty).count() == 0 and mixing.mixed(docs).columns == docs.columns
+
+
+def test_embeddings(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(150, 16))
+    near = base[:60] + 0.08 * rng.normal(size=(60, 16))
+    hot = base[0] + 0.05 * rng.normal(size=(80, 16))
+    x = np.concatenate([base, near, hot, base[:5], base[:5] * 3]).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    odd = [None, [], [0.0] * 16, [None] * 16, [float("nan")] * 16, [float("inf")] * 16, [1.0] * 5]
+    rows += [(900 + k, v, 1) for k, v in enumerate(odd)] + [(7, base[7].tolist(), 1), (None, base[9].tolist(), 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, component int")
+    valid = [(k, np.array(v, np.float32).astype(float)) for k, v, _ in rows if v and len(v) == 16 and None not in v and np.isfinite(v).all() and any(v)]
+    m = np.array([v for _, v in valid])
+    cos = m @ m.T / np.outer(np.linalg.norm(m, axis=1), np.linalg.norm(m, axis=1)) >= 0.95
+    np.fill_diagonal(cos, False)
+    label = np.arange(len(m))
+    while True:
+        new = np.minimum(label, np.where(cos, label[None, :], len(m)).min(axis=1))
+        if (new == label).all():
+            break
+        label = new
+    names = {r: min(k for (k, _), g in zip(valid, label) if g == r and k is not None) for r in set(label)}
+    expected = [(str(k), int(cos[i].sum()), names[label[i]], k == names[label[i]]) for i, (k, _) in enumerate(valid)]
+    expected += [(str(900 + k), 0, 900 + k, True) for k in range(len(odd))]
+    for part in (4096, 20):
+        monkeypatch.setattr(embedding_links, "PART", part)
+        got = [(str(r[0]), r[1], r[2], r[3]) for r in embedding_links.link_vectors(table).collect()]
+        assert sorted(got) == sorted(expected)
+    assert embedding_links.link_vectors(table.limit(0)).count() == 0
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site</header>
+<div class="cookie-notice">We use cookies</div><nav><ul><li><a href="/">Home</a><li><a href=/b>B</a></ul></nav>
+<article><h1>A &amp; B</h1><p>First &lt;para&gt; with <b>bold</b>,<br>and&nbsp;more. <!-- no --><p>Second   one.
+<div class=advert>Buy now</div><form><label>Mail</label></form></article><script>if (a < b) "</p>"</script>
+<section class="comments"><p>Nice article, thanks a lot.</p></section><aside>Related</aside><footer>&copy; me</footer></body></html>"""
+
+
+def test_html(spark):
+    rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (3, "u", "", "x"), (4, "u", "<p>Plain words, a whole sentence.", "x")]
+    rows += [(None, "u", PAGE, "x"), (5, "u", "<div " * 50 + "<<a>>" + "<article>" + "word " * 50_000, "x"), (1, "u", PAGE, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_text.main_text(pages, html_text.train(pages)).collect()
+    texts = {}
+    for r in got:
+        texts.setdefault(r["page_id"], []).append(r["text"])
+    main = "A & B\n\nFirst <para> with bold, and more.\n\nSecond one."
+    assert texts[1] == [main, main] and texts[None] == [main] and texts[2] == texts[3] == [""]
+    assert "word word" in texts[5][0]
+    assert html_text.main_text(pages.limit(0), [0.0] * 8).count() == 0 and len(html_text.train(pages.limit(0))) == 8
+
+
+def test_minimum_cut():
+    """The cut found has the least cost of all labellings."""
+    import itertools
+
+    rng = random.Random(7)
+    for _ in range(60):
+        n = rng.randint(1, 7)
+        cost = [rng.uniform(-2, 2) for _ in range(n)]
+        near = [{} for _ in range(n)]
+        for a, b in itertools.combinations(range(n), 2):
+            if rng.random() < 0.5:
+                near[a][b] = near[b][a] = rng.uniform(0, 1.5)
+
+        def price(side):
+            apart = sum(c for a in range(n) for b, c in near[a].items() if a < b and (a in side) != (b in side))
+            return apart + sum(-min(0, cost[k]) if k in side else max(0, cost[k]) for k in range(n))
+
+        best = min(price(set(s)) for k in range(n + 1) for s in itertools.combinations(range(n), k))
+        assert abs(price(html_text.source_side(list(range(n)), cost, near)) - best) < 1e-9
+
+
+def test_lines(spark, docs, empty):
+    rows = [(i, f"own {i}\nPrivacy policy \nboth\n\n", None, f"s{i % 6}") for i in range(12)]
+    rows += [(20, "Privacy policy", None, None), (21, None, None, "s1"), (22, "", None, "s1"), (None, "x\nPrivacy policy", None, "s2")]
+    rows += [rows[0]] + [(30 + i, "four", None, f"s{i % 4}") for i in range(40)]
+    frame = spark.createDataFrame([(*r, *[None] * 9) for r in rows], KIND)
+    got = {}
+    for r in line_spread.remove_boilerplate(frame, 5).collect():
+        got.setdefault(r["doc_id"], []).append((r["n_lines"], r["removed"], r["text"]))
+    assert got[0] == [(5, [1, 2], "own 0\n\n")] * 2 and got[20] == [(1, [0], "")] and got[31] == [(1, [], "four")]
+    assert got[21] == got[22] == [(1, [], "")] and got[None] == [(2, [1], "x")]
+    assert line_spread.remove_boilerplate(empty).count() == 0 and line_spread.remove_boilerplate(docs).count() == docs.count()
+
+
+def test_secrets(spark, docs, empty):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        key = hashlib.sha1(str(i).encode()).hexdigest()
+        text = [f'set token = "{key}" here', f"mail a.b{i}@host{i}.example.com now", f"card 40418949746{i:05d} paid", "x" * 20][i % 4]
+        rows.append((i, f"{words(rng, 10)} {text} {words(rng, 5)}"))
+    frame = docs.unionByName(spark.createDataFrame([(*r, *[None] * 11) for r in rows], KIND))
+    got = secret_scan.scan(frame)
+    assert {r["doc_id"] for r in got.collect() if r["name"] == "token"} == set(range(0, 60, 4))
+    assert got.where("name = ''").count() == 0
+    assert secret_scan.scan(empty).count() == 0
+
+
+def test_pipeline(spark):
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    frame, kept = table, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, folder)
+        assert frame.columns == table.columns
+        kept.append(frame.count())
+    whole = corpus_pipeline.run(spark, folder).collect()
+    assert len(whole) == kept[-1] and kept[0] > kept[1] >= kept[2]
+    start = 0
+    for r in sorted(whole, key=lambda r: r["start"]):
+        assert r["start"] == start
+        start += r["n_tokens"]
