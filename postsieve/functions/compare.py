@@ -168,6 +168,9 @@ def _one_of(value: Field, listed: list) -> Column:
     """Membership in a list; a missing value belongs only if ``''`` is listed."""
     texts = sorted({t for t in listed if isinstance(t, str)})
     numbers = sorted({float(t) for t in listed if isinstance(t, (int, float)) and t == t})
+    # Whole numbers stay whole: beyond 2^53 neighbours share one float.
+    whole = {int(t) for t in listed if isinstance(t, int) or (isinstance(t, float) and t.is_integer())}
+    whole = sorted(n for n in whole if -(2**63) <= n < 2**63)
     blank_listed = "" in texts
     if value.is_missing:
         return F.lit(blank_listed)
@@ -177,15 +180,18 @@ def _one_of(value: Field, listed: list) -> Column:
     elif isinstance(dtype, T.BooleanType):
         absent, inside = col.isNull(), _isin(col.cast("double"), numbers)
     elif isinstance(dtype, T.IntegralType):
-        absent, inside = col.isNull(), _isin(col, [int(n) for n in numbers if n.is_integer()])
+        absent, inside = col.isNull(), _isin(col, whole)
     elif isinstance(dtype, T.NumericType):
         absent, inside = col.isNull(), _isin(col, numbers)
     elif isinstance(dtype, T.VariantType):
         as_text = F.try_variant_get(col, "$", "string")
         as_number = F.try_variant_get(col, "$", "double")
         absent = as_text.isNull()
+        exact = F.schema_of_variant(col).startswith("BIGINT")
+        as_whole = F.when(exact, F.try_variant_get(col, "$", "bigint"))
+        is_number = F.when(exact, _isin(as_whole, whole)).otherwise(_isin(as_number, numbers))
         inside = F.coalesce(
-            F.when(_is_variant_text(col), _isin(as_text, texts)).otherwise(_isin(as_number, numbers)),
+            F.when(_is_variant_text(col), _isin(as_text, texts)).otherwise(is_number),
             F.lit(False),
         )
     else:

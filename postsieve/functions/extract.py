@@ -107,11 +107,6 @@ def links(record: Field) -> Column:
     )
 
 
-def html_links(html: Column) -> Column:
-    """Link targets of a raw web page."""
-    return F.coalesce(F.regexp_extract_all(html, F.lit('href="([^"]+)"'), 1), _no_strings())
-
-
 def url_domain(url: Column) -> Column:
     """Lower-cased network location without a leading ``www.``; ``''`` without a scheme or ``//``."""
     location = F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)", 1)

@@ -29,13 +29,41 @@ CONTENT_MODERATION = TextModel(
     },
 )
 
-# Every emotion is shown with a capital first letter.
-_EMOTIONS = """admiration amusement anger annoyance approval caring confusion curiosity desire
-disappointment disapproval disgust embarrassment excitement fear gratitude grief joy love
-nervousness optimism pride realization relief remorse sadness surprise neutral""".split()
-EMOTION_SENTIMENT = TextModel("SamLowe/roberta-base-go_emotions", {e: e.capitalize() for e in _EMOTIONS})
+EMOTION_SENTIMENT = TextModel(
+    "SamLowe/roberta-base-go_emotions",
+    {
+        "admiration": "Admiration",
+        "amusement": "Amusement",
+        "anger": "Anger",
+        "annoyance": "Annoyance",
+        "approval": "Approval",
+        "caring": "Caring",
+        "confusion": "Confusion",
+        "curiosity": "Curiosity",
+        "desire": "Desire",
+        "disappointment": "Disappointment",
+        "disapproval": "Disapproval",
+        "disgust": "Disgust",
+        "embarrassment": "Embarrassment",
+        "excitement": "Excitement",
+        "fear": "Fear",
+        "gratitude": "Gratitude",
+        "grief": "Grief",
+        "joy": "Joy",
+        "love": "Love",
+        "nervousness": "Nervousness",
+        "optimism": "Optimism",
+        "pride": "Pride",
+        "realization": "Realization",
+        "relief": "Relief",
+        "remorse": "Remorse",
+        "sadness": "Sadness",
+        "surprise": "Surprise",
+        "neutral": "Neutral",
+    },
+)
 
-_POLARITY = {p: p.capitalize() for p in ("positive", "negative", "neutral")}
+_POLARITY = {"positive": "Positive", "negative": "Negative", "neutral": "Neutral"}
 FINANCIAL_SENTIMENT = TextModel("ProsusAI/finbert", _POLARITY)
 SENTIMENT = TextModel("cardiffnlp/twitter-xlm-roberta-base-sentiment-multilingual", _POLARITY)
 

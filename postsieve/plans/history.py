@@ -19,8 +19,6 @@ from postsieve.plans.tree import as_column, compile_tree, render
 
 SLICE_US = 60_000_000
 DAY_US = 24 * 3_600 * 1_000_000
-# Operating limits of the history jobs.
-MAX_HISTORY_CHARS = 100_000
 BACKTEST_BATCH = 1000
 BACKFILL_BATCH = 2000
 MAX_MATCHES = 500
@@ -35,11 +33,11 @@ def replay_range(
     posts: DataFrame,
     start_us: int,
     end_us: int,
-    max_chars: int | None = MAX_HISTORY_CHARS,
+    max_chars: int | None = None,
     include_start: bool = True,
     date_column: str | None = None,
 ) -> DataFrame:
-    """Created posts of a time range which are shorter than ``max_chars`` as raw JSON.
+    """Created posts of a time range, of at most ``max_chars`` characters of raw JSON if given.
 
     Nothing when the range is empty.  The bounds are plain comparisons and reach the scan; with a
     ``date_column`` (the UTC date a table of posts is partitioned by) they also prune partitions.
@@ -54,7 +52,7 @@ def replay_range(
     if "operation" in posts.columns:
         kept = kept.where(F.col("operation") == "create")
     if max_chars is not None and "raw" in posts.columns:
-        kept = kept.where(F.length("raw") < max_chars)
+        kept = kept.where(F.length("raw") <= max_chars)
     return kept
 
 
@@ -83,9 +81,10 @@ class Crawl:
     # The number of newest slices looked at first; see narrow_crawl.
     first_look: int = 60
     date_column: str | None = None
+    max_chars: int | None = None
 
     def window(self, posts: DataFrame) -> DataFrame:
-        return replay_range(posts, self.start_us, self.end_us, include_start=False, date_column=self.date_column)
+        return replay_range(posts, self.start_us, self.end_us, self.max_chars, False, self.date_column)
 
 
 def narrow_crawl(posts: DataFrame, matched: Column, crawl: Crawl, growth: int = 4) -> Crawl:

@@ -17,41 +17,59 @@ from postsieve.operators.registry import Registry
 Predicate = Column | bool
 
 
-def rehydrate(manifest: dict | None, conditions: dict[int, dict]) -> dict:
-    """Replace the condition ids of ``manifest["filter"]`` by their conditions.
+BRANCHES = ("and", "or")
+# Messages by which callers know what is wrong with a manifest.
+UNKNOWN_CONDITION = "Condition ID {} not found in condition_map."
+MALFORMED = "Unexpected condition format: {}"
+
+
+def stored_condition(conditions: dict[int, dict], number: int) -> dict:
+    """The tree a stored condition stands for: its parameters if it is a component, else one leaf."""
+    row = conditions.get(number) or None
+    if row is None:
+        raise ValueError(UNKNOWN_CONDITION.format(number))
+    parameters = row["condition_parameters"]
+    return parameters if row.get("algorithm_component_id") else {row.get("operator_name"): parameters}
+
+
+def resolve_ids(tree: Any, conditions: dict[int, dict]) -> Any:
+    """``tree`` with stored conditions in place of their ids, wherever a branch or list has them."""
+    match tree:
+        case bool():
+            raise ValueError(MALFORMED.format(tree))
+        case int():
+            return stored_condition(conditions, tree)
+        case list():
+            return [resolve_ids(part, conditions) for part in tree]
+        case dict():
+            grown = {name: resolve_ids(list(tree[name]), conditions) for name in BRANCHES if name in tree}
+            return tree | grown
+    raise ValueError(MALFORMED.format(tree))
 
-    A condition with an ``algorithm_component_id`` stands for its parameters as they are (a
-    subtree); any other becomes ``{operator_name: parameters}``.  Inline conditions stay.
-    """
-    if not manifest:
-        return {}
-
-    def fill(node: Any) -> Any:
-        if isinstance(node, int) and not isinstance(node, bool):
-            found = conditions.get(node)
-            if not found:
-                raise ValueError(f"Condition ID {node} not found in condition_map.")
-            if found.get("algorithm_component_id"):
-                return found["condition_parameters"]
-            return {found.get("operator_name"): found["condition_parameters"]}
-        if isinstance(node, list):
-            return [fill(child) for child in node]
-        if isinstance(node, dict):
-            return {k: [fill(child) for child in v] if k in ("and", "or") else v for k, v in node.items()}
-        raise ValueError(f"Unexpected condition format: {node}")
-
-    return {k: fill(v) if k == "filter" else v for k, v in manifest.items()}
+
+def rehydrate(manifest: dict | None, conditions: dict[int, dict]) -> dict:
+    """A manifest whose filter holds whole conditions; inline ones stay.  ``{}`` for no manifest."""
+    whole = dict(manifest or {})
+    if "filter" in whole:
+        whole["filter"] = resolve_ids(whole["filter"], conditions)
+    return whole
 
 
 def extract_conditions(condition: Any) -> list[dict]:
     """The leaves of a tree in order, each as ``{operator: params}``."""
-    if isinstance(condition, list):
-        return [leaf for item in condition for leaf in extract_conditions(item)]
-    if not isinstance(condition, dict):
-        return []
-    leaves = []
-    for key, value in condition.items():
-        leaves += extract_conditions(value) if key in ("and", "or") else [{key: value}]
+    leaves, open_parts = [], [condition]
+    while open_parts:
+        part = open_parts.pop()
+        if isinstance(part, tuple):
+            name, inside = part
+            if name in BRANCHES:
+                open_parts.append(inside)
+            else:
+                leaves.append({name: inside})
+        elif isinstance(part, list):
+            open_parts.extend(part[::-1])
+        elif isinstance(part, dict):
+            open_parts.extend(list(part.items())[::-1])
     return leaves
 
 

@@ -30,15 +30,23 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A local folder where driver and executors are one process; a cluster must name a shared one."""
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
+    return tempfile.mkdtemp(prefix="postsieve-")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the reliable folder the cluster names.
 
-    ``spark.checkpoint.dir`` decides where; only when it is unset (tests) a folder is made here.
+    ``spark.checkpoint.dir`` decides where; only without a cluster (tests) a folder is made here.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="postsieve-checkpoint-"))
+        context.setCheckpointDir(named or _own_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -65,9 +73,9 @@ def check_pattern(java_pattern: str) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach, for results one query hands to the next.
 
-    It lies below ``spark.checkpoint.dir``; only without that setting (tests) is it a local one.
+    It lies below ``spark.checkpoint.dir``; only without a cluster (tests) is it a local one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        base = tempfile.mkdtemp(prefix="postsieve-")
+        base = _own_folder(spark)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -52,8 +52,6 @@ RECORD_TYPE = _struct(
     ),
 )
 # Message size limit and the two accepted spellings of a creation time (the fraction
-# is optional).
-MAX_CHARS = 100_000
 POST_COLLECTION = "app.bsky.feed.post"
 CREATED_AT_FORMAT = "yyyy-M-d'T'H:m:s[.SSSSSS]'Z'"
 CREATED_AT_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z$"
@@ -87,6 +85,11 @@ def quarantine(events: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFram
     return events.where(decodable), events.where(~decodable)
 
 
+def oversize(events: DataFrame, max_chars: int, raw: str = "raw") -> DataFrame:
+    """What a limit of ``max_chars`` removes, with ``reason``, for the quarantine."""
+    return events.where(F.length(raw) > max_chars).withColumn("reason", F.lit(f"longer than {max_chars} characters"))
+
+
 def parse_events(events: DataFrame, raw: str = "raw") -> DataFrame:
     """Envelope columns, typed ``record``, ``body`` (variant, for arbitrary paths) and ``raw``."""
     others = [c for c in events.columns if c != raw]
@@ -111,9 +114,9 @@ def post_view(posts: DataFrame, key: tuple[str, ...] = ("did", "rkey")) -> PostV
 
 
 def validate_events(
-    events: DataFrame, now: Column | None = None, raw: str = "raw", max_chars: int = MAX_CHARS
+    events: DataFrame, now: Column | None = None, raw: str = "raw", max_chars: int | None = None
 ) -> DataFrame:
-    """Drop oversize and malformed events; correct creation times.
+    """Drop malformed events, and those over ``max_chars`` if given; correct creation times.
 
     A creation time which cannot be read or lies after ``now`` becomes ``now``; an absent one stays
     absent.  The correction is made in the ``raw`` JSON text.
@@ -125,7 +128,9 @@ def validate_events(
         found = F.try_variant_get("__json", path, "variant")
         return found.isNull() | F.schema_of_variant(found).startswith("OBJECT")
 
-    decoded = _decoded(events.where(F.length(raw) <= max_chars), raw).where(F.col("__json").isNotNull())
+    if max_chars is not None:
+        events = events.where(F.length(raw) <= max_chars)
+    decoded = _decoded(events, raw).where(F.col("__json").isNotNull())
     found = F.try_variant_get("__json", "$.commit.record.createdAt", "variant")
     text = F.try_variant_get("__json", "$.commit.record.createdAt", "string")
     read = _once(decoded, found.alias("__found"), text.alias("__created"))
@@ -165,7 +170,3 @@ def apply_deletes(stored: DataFrame, deletes: DataFrame, key: tuple[str, ...] =
     """Stored rows whose post has not been deleted."""
     return stored.join(deletes.select(*key), list(key), "left_anti")
 
-
-def created_at(posts: DataFrame) -> Column:
-    found = resolve(field(posts.schema, "record"), "createdAt")
-    return F.try_to_timestamp(found.col, F.lit(CREATED_AT_FORMAT))

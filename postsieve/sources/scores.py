@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postsieve.operators.labels import TEXT_OPERATORS
+from postsieve.operators.models import rename_labels
+
+#: Display labels of the text models.
+LABELS = {text_model.model: text_model.labels for text_model in TEXT_OPERATORS.values()}
+
 
 @dataclass(frozen=True)
 class Scorer:
@@ -53,6 +59,14 @@ def score_inputs(inputs: DataFrame, scorer: Scorer, result: T.StructField) -> Da
     return inputs.select("input_key", "input").mapInPandas(run, schema)
 
 
+def display_labels(fresh: DataFrame, model: str, result: T.StructField) -> DataFrame:
+    """Scores by the names under which feeds ask for them, if ``model`` has such names."""
+    names = LABELS.get(model)
+    if not names or not isinstance(result.dataType, T.MapType):
+        return fresh
+    return fresh.withColumn(result.name, rename_labels(F.col(result.name), names))
+
+
 def complete_scores(
     model: str,
     stored: DataFrame | None,
@@ -62,15 +76,18 @@ def complete_scores(
 ) -> DataFrame:
     """Results of ``model`` by ``input_key``: those stored, and new ones for inputs without.
 
-    At least one of ``stored`` and ``scorer`` (with its ``inputs``) must be given.
+    One row an input: a key that was stored twice (by two batches, or by a retried write) counts
+    once.  New results of a text model get its display labels.  At least one of ``stored`` and
+    ``scorer`` (with its ``inputs``) must be given.
     """
     if stored is None:
         known = None
     else:
         known = stored.where(F.col("model") == model).select("input_key", result.name)
+        known = known.dropDuplicates(["input_key"])
     if scorer is None or inputs is None:
         return known
-    fresh = score_inputs(missing_inputs(inputs, known), scorer, result)
+    fresh = display_labels(score_inputs(missing_inputs(inputs, known), scorer, result), model, result)
     return fresh if known is None else known.unionByName(fresh)
 
 
@@ -85,6 +102,7 @@ def store_missing_scores(
     spark = inputs.sparkSession
     stored = read_scores(spark, path, result)
     fresh = score_inputs(missing_inputs(inputs, stored.where(F.col("model") == model)), scorer, result)
+    fresh = display_labels(fresh, model, result)
     fresh.withColumn("model", F.lit(model)).write.partitionBy("model").mode("append").parquet(path)
     return read_scores(spark, path, result)
 

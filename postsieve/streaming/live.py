@@ -14,7 +14,7 @@ from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog
 from postsieve.plans.match import compile_feeds, match_feeds, project_matches
 from postsieve.sources import posts as P
-from postsieve.sources.sinks import write_deletes, write_matches
+from postsieve.sources.sinks import EVENT_KEY, read_keys, write_deletes, write_keys, write_matches
 
 # Fixed value: a batch is flushed at least this often.
 FLUSH_INTERVAL = "30 seconds"
@@ -33,14 +33,12 @@ def event_stream(
     path: str,
     max_files_per_trigger: int = 1000,
     collection: str | None = None,
-    max_chars: int = P.MAX_CHARS,
-    dedup_delay: str | None = "1 hour",
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """Validated and parsed events from a folder of JSON-lines files.
+    """Validated and parsed events from a folder of JSON-lines files, however late they are.
 
-    A replay after a restart re-reads events; they are dropped by (did, rkey, operation) as long as
-    they are no older than ``dedup_delay``.  Other sources (for instance Kafka) plug in by passing
-    their own streaming frame with a ``raw`` column to :func:`prepare_stream`.
+    Other sources (for instance Kafka) plug in by passing their own streaming frame with a ``raw``
+    column to :func:`prepare_stream`.  Replayed events are recognised by :func:`run_live`.
     """
     raw = (
         spark.readStream.format("text")
@@ -48,22 +46,26 @@ def event_stream(
         .load(path)
         .withColumnRenamed("value", "raw")
     )
-    return prepare_stream(raw, collection, max_chars, dedup_delay)
+    return prepare_stream(raw, collection, max_chars)
 
 
-def prepare_stream(
-    raw: DataFrame, collection: str | None = None, max_chars: int = P.MAX_CHARS, dedup_delay: str | None = "1 hour"
-) -> DataFrame:
+def prepare_stream(raw: DataFrame, collection: str | None = None, max_chars: int | None = None) -> DataFrame:
     events = P.parse_events(P.validate_events(raw, max_chars=max_chars))
-    if collection is not None:
-        events = events.where(F.col("collection") == collection)
-    if dedup_delay is None:
-        return events
-    # Variants cannot be keys of the state store, but they may ride along: only keys are stored.
-    timed = events.withColumn("event_time", F.timestamp_micros("time_us"))
-    return timed.withWatermark("event_time", dedup_delay).dropDuplicatesWithinWatermark(
-        ["did", "rkey", "operation"]
-    )
+    return events if collection is None else events.where(F.col("collection") == collection)
+
+
+def fresh_events(batch: DataFrame, keys_path: str, batch_id: int) -> DataFrame:
+    """The events of a batch that no other batch has stored, each once.
+
+    A replayed event has its time again, so only the keys stored for the dates of the batch are
+    read.  Events without an author or key can't be recognised and all pass.
+    """
+    dated = batch.withColumn("event_date", F.to_date(F.timestamp_micros("time_us")))
+    known = F.col("did").isNotNull() & F.col("rkey").isNotNull()
+    once = dated.where(known).dropDuplicates([*EVENT_KEY, "event_date"])
+    stored = read_keys(batch.sparkSession, keys_path).where(F.col("batch_id") != batch_id)
+    fresh = once.join(stored, [*EVENT_KEY, "event_date"], "left_anti")
+    return fresh.unionByName(dated.where(~known))
 
 
 def process_batch(
@@ -92,16 +94,20 @@ def run_live(
 ) -> StreamingQuery:
     """Start the live job.  ``load_feeds`` is asked once per micro-batch, so edits take effect.
 
-    Both outputs replace the partition of their batch, so a batch that runs twice is stored once.
-    The parsed batch is kept in memory (spilling to disk) while its two outputs are written.
+    All outputs replace the partition of their batch, so a batch that runs twice is stored once.
+    The keys of processed events are stored beside the stream's state, by event date; an event that
+    is read again in a later batch is left out, and none is left out for being late.  The parsed
+    batch is kept in memory (spilling to disk) while its outputs are written.
     """
+    keys_path = f"{checkpoint_location.rstrip('/')}-keys"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = fresh_events(batch, keys_path, batch_id).persist()
         try:
             matches, deletes = process_batch(batch, load_feeds(), catalog, registry)
             write_matches(matches, matches_path, batch_id)
             write_deletes(deletes, deletes_path, batch_id)
+            write_keys(batch, keys_path, batch_id)
         finally:
             batch.unpersist()
 

@@ -259,6 +259,31 @@ def test_store_missing_scores(spark, tmp_path):
     assert missing_inputs(inputs, table).count() == 0
 
 
+def test_scores_stored_twice_count_once(spark):
+    df = posts(spark, [{"text": "a"}, {"text": "b"}])
+    model = L.SENTIMENT.model
+    once = stored_scores(spark, model, {"a": {"Positive": 1.0}, "b": {"Positive": 0.0}})
+    cat = Catalog(scores=once.unionByName(once))
+    assert ids(filter_posts(df, {"sentiment_analysis": ["Positive", ">", 0.5]}, view(df), cat)) == [0]
+
+
+def test_raw_labels_of_a_scorer_get_display_names(spark):
+    df = posts(spark, [{"text": "bad"}, {"text": "fine"}])
+
+    def predict(texts):
+        return texts.map(lambda t: {"toxic": 0.9 if t == "bad" else 0.1, "identity_hate": 0.0})
+
+    cat = Catalog(scorers={L.TOXICITY.model: Scorer(predict)})
+    assert ids(filter_posts(df, {"toxicity_analysis": ["Toxic", ">", 0.5]}, view(df), cat)) == [0]
+
+
+def test_whole_numbers_beyond_doubles(spark):
+    big = 2**53 + 1
+    df = posts(spark, [{"n": big}, {"n": big - 1}])
+    assert ids(filter_posts(df, {"attribute_compare": ["n", "in", [big]]}, view(df))) == [0]
+    assert ids(filter_posts(df, {"attribute_compare": ["n", "not_in", [big]]}, view(df))) == [1]
+
+
 def test_without_stored_scores_or_scorer(spark):
     df = posts(spark, [{"text": "a"}])
     with pytest.raises(ValueError, match="No stored results and no scorer"):

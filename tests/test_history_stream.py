@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def test_validation(spark):
         post(None): None.__class__,
     }
     messages = list(cases) + ['{"did":"d","commit":{"operation":"delete","rkey":"1"}}', '{"commit":{"record":{"createdAt":"bad","a":"bad"}}}']
-    got = {r.i: json.loads(r.raw) for r in P.validate_events(raw(spark, messages), now()).collect()}
+    got = {r.i: json.loads(r.raw) for r in P.validate_events(raw(spark, messages), now(), max_chars=100_000).collect()}
     for i, want in enumerate(cases.values()):
         if want is None:
             assert i not in got, messages[i][:80]
@@ -65,9 +66,11 @@ def test_validation(spark):
 def test_size_limits(spark):
     exact = "x" * (100_000 - len(event({"text": ""})))
     rows = raw(spark, [event({"text": exact}), event({"text": exact + "x"})])
-    assert [r.i for r in P.validate_events(rows, now()).collect()] == [0]  # live: 100 000 still fits
+    assert [r.i for r in P.validate_events(rows, now(), max_chars=100_000).collect()] == [0]
     parsed = P.parse_events(rows)
-    assert replay_range(parsed, -1, 10**9).count() == 0  # history: it does not
+    # The same limit means the same in history, and without one nothing is dropped.
+    assert replay_range(parsed, -1, 10**9, max_chars=100_000).count() == 1
+    assert replay_range(parsed, -1, 10**9).count() == P.validate_events(rows, now()).count() == 2
 
 
 def test_operations_and_deletes(spark):
@@ -219,6 +222,37 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert [r.rkey for r in spark.read.parquet(f"{out}/d").collect()] == ["7"]
 
 
+def test_late_and_far_future_events_are_kept(spark, tmp_path):
+    """Files newest first, one of them years ahead, give what one batch gives."""
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+
+    def run():
+        job = run_live(event_stream(spark, str(source)), lambda: FEEDS, f"{out}/m", f"{out}/d", f"{out}/c", available_now=True)
+        job.awaitTermination()
+
+    def at(n, hours):
+        return re.sub(r'"time_us": ?[0-9]+', f'"time_us": {1_700_000_000_000_000 + hours * 3_600_000_000}', messages()[n])
+
+    hours = {11: 100_000, 10: 30, 9: 20, 8: 5, 6: 1, 5: 0}
+    for n, hour in hours.items():
+        (source / f"{n}.json").write_text(at(n, hour))
+        run()
+    (source / "again.json").write_text("\n".join(at(n, hour) for n, hour in hours.items()))
+    run()
+    stored = spark.read.parquet(f"{out}/m")
+    found = sorted((r.algorithm_id, int(r.uri.rsplit("/", 1)[1])) for r in stored.collect())
+    assert found == sorted(m for m in expected_matches() if m[1] in hours)
+
+
+def test_size_limit_only_where_asked(spark):
+    long = event({"n": 1, "text": "x" * 200_000}, 1)
+    frame = raw(spark, [long])
+    assert P.validate_events(frame, now()).count() == 1
+    assert P.validate_events(frame, now(), max_chars=1000).count() == 0
+    assert P.oversize(frame, 1000).select("reason").first()[0] == "longer than 1000 characters"
+
+
 def test_match_sink_replaces_a_repeated_batch(spark, tmp_path):
     path = str(tmp_path / "m")
     batch = spark.createDataFrame([(1, "a"), (2, "b")], "algorithm_id long, uri string")

@@ -10,7 +10,7 @@ from postsieve.functions.field import field, resolve
 from postsieve.plans.history import Crawl, backtest_progress, replay_range, reverse_slices, run_backfill, run_backtest
 from postsieve.session import shared_folder
 from postsieve.sources import posts as P
-from postsieve.streaming.live import FeedSet, prepare_stream, run_live
+from postsieve.streaming.live import FeedSet, event_stream, prepare_stream, run_live
 from workloads import bindings as B
 from workloads.registry import query
 
@@ -187,16 +187,33 @@ def backfill_matches(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- stream
 
 
-@query(
-    "stream_ingest",
-    """SELECT event_id::VARCHAR AS rkey, 1::BIGINT AS algorithm_id FROM events WHERE event_type NOT IN ('error', 'signup') AND value > 15
-       UNION ALL SELECT event_id::VARCHAR, 2 FROM events WHERE event_type = 'click'""",
-)
+_STREAM_SQL = """SELECT event_id::VARCHAR AS rkey, 1::BIGINT AS algorithm_id FROM events WHERE event_type NOT IN ('error', 'signup') AND value > 15
+       UNION ALL SELECT event_id::VARCHAR, 2 FROM events WHERE event_type = 'click'"""
+
+
+@query("stream_ingest", _STREAM_SQL)
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The live job over the events table as a stream: validate, parse, deduplicate, match, store."""
     schema = B.table(spark, folder, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     events = prepare_stream(raw_events(source).drop("event_id"))
+    return _streamed(spark, events, shared_folder(spark, "stream"))
+
+
+@query("stream_late_events", _STREAM_SQL)
+def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events in files of their own for each week, the newest first and each file twice."""
+    out = shared_folder(spark, "late")
+    events = B.table(spark, folder, "events")
+    week = F.date_trunc("week", "ts")
+    weeks = [r["week"] for r in events.select(week.alias("week")).distinct().orderBy(F.desc("week")).collect()]
+    for k, start in enumerate([*weeks, *weeks]):
+        messages = raw_events(events.where(week == F.lit(start).cast("timestamp_ntz"))).select("raw")
+        messages.repartition(2).write.text(f"{out}/in/{k:03d}")
+    return _streamed(spark, event_stream(spark, f"{out}/in/*", max_files_per_trigger=4), out)
+
+
+def _streamed(spark: SparkSession, events: DataFrame, out: str) -> DataFrame:
     feeds = FeedSet(
         {
             1: {"filter": {"attribute_compare": ["value", ">", 15]}},
@@ -204,7 +221,6 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
         },
         {},
     )
-    out = shared_folder(spark, "stream")
     job = run_live(events, lambda: feeds, f"{out}/matches", f"{out}/deletes", f"{out}/state", available_now=True)
     job.awaitTermination()
     return spark.read.parquet(f"{out}/matches").select(
