@@ -11,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postsieve.llm.common import checkpoint
+
 #: Rates above are split into equal parts, each with a number of its own; sums of Poisson numbers
 #: are Poisson, and exp(-rate) stays far from 0.
 PART = 8.0
 #: Terms of the distribution; the rest is below 1e-30 for a mean of 8.
 TERMS = 64
+#: Rates of so many sources (512 bytes each) are broadcast; more are joined by a shuffle, whose hot
+#: partitions the adaptive planner splits.
+SOURCES = 20_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -68,7 +73,9 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, size: float = 1.0, se
     text; NULL sources are a source of their own; NULL texts have no characters.  Sources without
     weight go, as their target says; an empty table gives no rows.
     """
-    rated = rates(docs, weights, size).withColumnRenamed("source", "__source")
+    rated = checkpoint(rates(docs, weights, size).withColumnRenamed("source", "__source"))
+    if rated.count() <= SOURCES:
+        rated = F.broadcast(rated)
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
         F.coalesce(docs["doc_id"].cast("string"), F.lit("")).alias("key"),
