@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from postsieve.llm.common import checkpoint, typed, written
 
 #: Bytes of words in a chunk; a longer document is a chunk of its own.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
 #: Hashes in a bucket, about.
 BUCKET = 1_500_000
 _BASE = 0x9E3779B97F4A7C15
@@ -83,7 +83,7 @@ class Chunk:
         self.words = [t.split() for t in texts]
         lengths = np.array([len(w) for w in self.words])
         self.edges = np.concatenate([[0], np.cumsum(lengths)])
-        if len(_HASHES) > 600_000:
+        if len(_HASHES) > 400_000:
             _HASHES.clear()
         look = _HASHES.__getitem__
         hashes = np.fromiter((look(w) for words in self.words for w in words), np.uint64, int(self.edges[-1]))
