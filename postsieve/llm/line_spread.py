@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postsieve.llm.common import checkpoint
+
 #: 2^12 registers: a standard error of 1.6 %; ``MARGIN`` is six of them and one site more.
 REGISTERS = 12
 MARGIN = 0.1
+#: Keys (a long and an integer) of so many lines are broadcast; more are joined by a shuffle.
+KEYS = 500_000
 
 
 def stripped(line: Column) -> Column:
@@ -38,11 +42,24 @@ def boilerplate(docs: DataFrame, sites: int) -> DataFrame:
     counted = seen.groupBy("h", "n").agg(F.hll_sketch_agg("site", F.lit(REGISTERS)).alias("sketch"))
     counted = counted.select("h", "n", F.hll_sketch_estimate("sketch").alias("about"))
     low, high = sites * (1 - MARGIN) - 1, sites * (1 + MARGIN) + 1
-    sure = counted.where(F.col("about") > high).select("h", "n")
-    near = counted.where(F.col("about").between(low, high)).select("h", "n")
-    exact = seen.join(near, ["h", "n"], "left_semi").distinct()
-    exact = exact.groupBy("h", "n").agg(F.count("*").alias("c")).where(F.col("c") >= sites)
-    return sure.unionByName(exact.select("h", "n"))
+    spread = checkpoint(counted.where(F.col("about") >= low))
+    sure = spread.where(F.col("about") > high).select("h", "n")
+    near = spread.where(F.col("about") <= high).select("h", "n")
+    exact = with_keys(seen, near, one_each=True).groupBy("h", "n").agg(F.count("*").alias("c"))
+    return checkpoint(sure.unionByName(exact.where(F.col("c") >= sites).select("h", "n")))
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, one_each: bool = False) -> DataFrame:
+    """The ``rows`` whose line is among ``keys`` (stored, unique); each once if ``one_each``.
+
+    Few keys are broadcast, by their counted number, and rows are not shuffled.  Many are joined by
+    a shuffle: there equal rows collapse in each task before it, or the adaptive planner splits the
+    partition of a line that a third of the rows share.
+    """
+    if keys.count() <= KEYS:
+        kept = rows.join(F.broadcast(keys), ["h", "n"], "left_semi")
+        return kept.distinct() if one_each else kept
+    return (rows.distinct() if one_each else rows).join(keys, ["h", "n"], "left_semi")
 
 
 def remove_boilerplate(docs: DataFrame, sites: int = 5) -> DataFrame:
@@ -54,7 +71,7 @@ def remove_boilerplate(docs: DataFrame, sites: int = 5) -> DataFrame:
     length.  Repeated rows have the same lines removed; an empty table gives no rows.
     """
     found = lines(docs).select("doc_id", "text_key", "pos", "h", "n")
-    found = found.join(boilerplate(docs, sites), ["h", "n"], "left_semi")
+    found = with_keys(found, boilerplate(docs, sites))
     # A set of positions in one text, however often the row is repeated.
     found = found.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
     found = found.withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key")

@@ -335,7 +335,9 @@ def test_minimum_cut():
         assert abs(price(html_text.source_side(list(range(n)), cost, near)) - best) < 1e-9
 
 
-def test_lines(spark, docs, empty):
+@pytest.mark.parametrize("keys", [line_spread.KEYS, 0])
+def test_lines(spark, docs, empty, keys, monkeypatch):
+    monkeypatch.setattr(line_spread, "KEYS", keys)  # 0: joined by a shuffle
     rows = [(i, f"own {i}\nPrivacy policy \nboth\n\n", None, f"s{i % 6}") for i in range(12)]
     rows += [(20, "Privacy policy", None, None), (21, None, None, "s1"), (22, "", None, "s1"), (None, "x\nPrivacy policy", None, "s2")]
     rows += [rows[0]] + [(30 + i, "four", None, f"s{i % 4}") for i in range(40)]
