@@ -118,16 +118,29 @@ def _input_key(view: PostView, need: TextScoreNeed | SimilarityNeed) -> Column:
     return score_key(need.model, _input_text(view, need), suffix)
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join with a table that is unique on the string column ``key``.
+def lookup(
+    rows: DataFrame, table: DataFrame, key: str, how: str = "left", spread_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Join (``left``, ``left_semi``, ``left_anti``) with a table that is unique on the string ``key``.
 
     A third of the rows may share one key.  The adaptive planner splits such a partition, but only
     if both sides were shuffled for this very join; a table which has just been grouped by ``key``
-    would be read in place.  A checksum of the key as second join key asks for that shuffle.
+    would be read in place.  A checksum of the key as second join key asks for that shuffle.  Rows
+    without a key match nothing and are dealt out by their columns ``spread_by``.
     """
     spread = "__spread"
-    left = rows.withColumn(spread, F.crc32(key))
-    return left.join(table.withColumn(spread, F.crc32(key)), [key, spread], "left").drop(spread)
+    own = F.coalesce(F.crc32(key), F.xxhash64(*spread_by)) if spread_by else F.crc32(key)
+    left = rows.withColumn(spread, own)
+    return left.join(table.withColumn(spread, F.crc32(key)), [key, spread], how).drop(spread)
+
+
+def _list_key(values: Column) -> Column:
+    """Equal for equal lists of strings; NULL for an empty one.
+
+    What is found out about a list holds for every row that has it.  So fanned-out values come back
+    by their list and not by the key of a post, which edits and replays repeat and which may be NULL.
+    """
+    return F.when(F.size(values) > 0, F.sha2(F.to_json(values), 256))
 
 
 def _declare_shared(view: PostView, needs: Iterable[Need]) -> None:
@@ -171,6 +184,12 @@ def set_members(spark, needs: list[SetNeed], catalog: Catalog, lower: bool) -> D
     return members.withColumn("value", F.lower("value")) if lower else members
 
 
+def _listed(posts: DataFrame, values: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """``posts`` with the key of their list, and the elements ``name`` of every distinct list."""
+    keyed = posts.withColumn(_KEY, _list_key(values))
+    return keyed, keyed.select(_KEY, F.explode(values).alias(name)).distinct()
+
+
 def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog: Catalog) -> DataFrame:
     members = set_members(posts.sparkSession, needs, catalog, lower=on != "did")
     if on == "did":
@@ -178,9 +197,9 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
         by_value = members.groupBy(F.col("value").alias(_KEY)).agg(F.collect_set("set_name").alias(_MEMBER_OF))
         marked = lookup(posts.withColumn(_KEY, view.did), by_value, _KEY).drop(_KEY)
     else:
-        values = posts.select(*view.key, F.explode(view.shared_entities(on)).alias("value"))
-        hits = values.join(members, "value").groupBy(*view.key).agg(F.collect_set("set_name").alias(_MEMBER_OF))
-        marked = posts.join(hits, list(view.key), "left")
+        keyed, values = _listed(posts, view.shared_entities(on), "value")
+        hits = values.join(members, "value").groupBy(_KEY).agg(F.collect_set("set_name").alias(_MEMBER_OF))
+        marked = lookup(keyed, hits, _KEY, spread_by=view.key).drop(_KEY)
     flags = {
         n.column: F.coalesce(F.array_contains(_MEMBER_OF, n.column), F.lit(False)) for n in needs
     }
@@ -196,9 +215,9 @@ def keep_members(posts: DataFrame, view: PostView, need: SetNeed, negated: bool,
     members = set_members(posts.sparkSession, [need], catalog, lower=need.on != "did")
     if need.on == "did":
         return posts.join(members, posts[view.did_column] == members["value"], how)
-    values = posts.select(*view.key, F.explode(view.shared_entities(need.on)).alias("value"))
-    hits = values.join(members, "value", "left_semi").select(*view.key)
-    return posts.join(hits, list(view.key), how)
+    keyed, values = _listed(posts, view.shared_entities(need.on), "value")
+    hits = values.join(members, "value", "left_semi").select(_KEY).distinct()
+    return lookup(keyed, hits, _KEY, how, spread_by=view.key).drop(_KEY)
 
 
 def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Catalog) -> DataFrame:
@@ -211,23 +230,23 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
 
 
 def _attach_image_scores(posts, view: PostView, needs: list[ImageScoreNeed], catalog: Catalog) -> DataFrame:
-    """Posts without images, most of them as a rule, take no part in the joins and shuffles."""
-    has_images = F.size(view.shared_image_urls()) > 0
-    plain = posts.where(~has_images).withColumns({n.column: F.lit(None).cast("double") for n in needs})
-    pictured = posts.where(has_images)
-    urls = pictured.select(*view.key, F.explode(view.shared_image_urls()).alias("input"))
+    """The best score of each distinct list of images, for all needs in one look-up."""
+    keyed, urls = _listed(posts, view.shared_image_urls(), "input")
+    best = []
     for need in needs:
         images = urls.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
         scorer = catalog.scorers.get(need.model)
         inputs = images.select("input_key", "input") if scorer else None
         scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
-        scored = lookup(images, scores, "input_key")
-        pictured = pictured.join(max_image_score(scored, view.key, need), list(view.key), "left")
-    return plain.unionByName(pictured)
+        found = max_image_score(lookup(images, scores, "input_key"), (_KEY,), need)
+        others = [F.lit(None).cast("double").alias(n.column) for n in needs if n is not need]
+        best.append(found.select("*", *others))
+    columns = [F.max(n.column).alias(n.column) for n in needs]
+    return lookup(keyed, _union(best).groupBy(_KEY).agg(*columns), _KEY, spread_by=view.key).drop(_KEY)
 
 
 def max_image_score(scored_images: DataFrame, key: tuple[str, ...], need: ImageScoreNeed) -> DataFrame:
-    """Highest probability per post; partial maxima are taken before anything is shuffled."""
+    """Highest probability per ``key``; partial maxima are taken before anything is shuffled."""
     return scored_images.groupBy(*key).agg(
         F.max(F.get("probs", F.lit(need.position))).alias(need.column)
     )

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postsieve.operators.builtin import DEFAULT_REGISTRY
 from postsieve.operators.leaf import PostView
 from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog
-from postsieve.plans.match import filter_posts
+from postsieve.plans.match import flag_posts
 from postsieve.plans.positions import with_positions, with_running_totals
-from postsieve.plans.tree import as_column, compile_tree, render
+from postsieve.session import checkpoint
 
 SLICE_US = 60_000_000
 DAY_US = 24 * 3_600 * 1_000_000
@@ -23,6 +23,14 @@ BACKTEST_BATCH = 1000
 BACKFILL_BATCH = 2000
 MAX_MATCHES = 500
 
+#: Adds the boolean column MATCHED to posts; a plain condition stands for itself.
+MATCHED = "__matched"
+Flag = Column | Callable[[DataFrame], DataFrame]
+
+
+def flagged(posts: DataFrame, matched: Flag) -> DataFrame:
+    return posts.withColumn(MATCHED, matched) if isinstance(matched, Column) else matched(posts)
+
 
 def default_range(now_us: int) -> tuple[int, int]:
     """The last day up to a minute ago."""
@@ -87,7 +95,7 @@ class Crawl:
         return replay_range(posts, self.start_us, self.end_us, self.max_chars, False, self.date_column)
 
 
-def narrow_crawl(posts: DataFrame, matched: Column, crawl: Crawl, growth: int = 4) -> Crawl:
+def narrow_crawl(posts: DataFrame, matched: Flag, crawl: Crawl, growth: int = 4) -> Crawl:
     """Move the start of a crawl forward to where it certainly has come to its end.
 
     Counts are taken over the newest ``first_look`` slices and, while the limit is not reached, over
@@ -98,8 +106,8 @@ def narrow_crawl(posts: DataFrame, matched: Column, crawl: Crawl, growth: int =
     wanted = None  # records the window must hold, once the limit has been reached
     while crawl.end_us - span > crawl.start_us:
         shorter = replace(crawl, start_us=crawl.end_us - span)
-        seen = shorter.window(posts).agg(
-            F.count(F.lit(1)).alias("records"), F.count_if(matched).alias("matches")
+        seen = flagged(shorter.window(posts), matched).agg(
+            F.count(F.lit(1)).alias("records"), F.count_if(MATCHED).alias("matches")
         ).first()
         if wanted is None and seen.matches >= crawl.max_matches:
             wanted = seen.records + crawl.batch_size
@@ -109,38 +117,40 @@ def narrow_crawl(posts: DataFrame, matched: Column, crawl: Crawl, growth: int =
     return crawl
 
 
-def crawl_batches(posts: DataFrame, matched: Column, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
+def crawl_batches(
+    posts: DataFrame, matched: Flag, crawl: Crawl, key: tuple[str, ...], whole: bool = False
+) -> DataFrame:
     """Key, ``matched`` and ``batch_no`` of the posts a crawl may have to look at.
 
-    Per-slice counts show how far back the crawl has to go; only the posts of those slices are
-    ranked.  A crawl that finds its matches in the newest slices never sorts the rest of history.
+    Only posts of the crawl's window are filtered; an answer that takes joins is worked out once and
+    stored.  Per-slice counts show how far back the crawl has to go; only the posts of those slices
+    are ranked.  A crawl that finds its matches in the newest slices never sorts the rest of history.
+    With ``whole``, matching posts carry their row along as ``post``, others NULL.
     """
-    narrow = crawl.window(posts).select(
+    narrow = flagged(crawl.window(posts), matched).select(
         slice_number(F.col("time_us"), crawl.end_us, crawl.slice_us).alias("slice_no"),
         "time_us",
         *key,
-        matched.alias("matched"),
+        F.col(MATCHED).alias("matched"),
+        *([F.when(F.col(MATCHED), F.struct(*posts.columns)).alias("post")] if whole else []),
     )
+    if not isinstance(matched, Column):
+        narrow = checkpoint(narrow)
     slices = narrow.groupBy("slice_no").agg(
         F.count(F.lit(1)).alias("records"), F.count_if("matched").alias("matches")
     )
-    n_slices = -(-(crawl.end_us - crawl.start_us) // crawl.slice_us)
-    totals = with_running_totals(
-        slices, "slice_no", {"all_records": "records", "all_matches": "matches"}, max_rows=n_slices
+    # One row per slice.
+    totals = checkpoint(
+        with_running_totals(slices, "slice_no", {"all_records": "records", "all_matches": "matches"})
     )
     # The batch which reaches the limit ends less than one batch after the slice which reaches it.
-    everywhere = W.partitionBy(F.lit(0))
-    enough = F.min(F.when(F.col("all_matches") >= crawl.max_matches, F.col("all_records"))).over(everywhere)
-    horizon = F.coalesce(enough, F.max("all_records").over(everywhere)) + crawl.batch_size
-    last_slice = (
-        totals.withColumn("horizon", horizon)
-        .where(F.col("all_records") - F.col("records") < F.col("horizon"))
-        .agg(F.max("slice_no"))
-        .scalar()
-    )
-    reached = narrow.where(F.col("slice_no") <= last_slice)
-    ranked = with_positions(reached, "slice_no", "time_us", *key)
-    return ranked.select(*key, "matched", F.floor(F.col("position") / crawl.batch_size).alias("batch_no"))
+    enough = F.min(F.when(F.col("all_matches") >= crawl.max_matches, F.col("all_records")))
+    horizon = totals.agg((F.coalesce(enough, F.max("all_records")) + crawl.batch_size).alias("n")).first().n
+    needed = totals.where(F.col("all_records") - F.col("records") < F.lit(horizon))
+    reached = narrow.where(F.col("slice_no") <= F.lit(needed.agg(F.max("slice_no").alias("n")).first().n))
+    ranked = with_positions(reached, "slice_no", "time_us", *key, "matched")
+    batch = F.floor(F.col("position") / crawl.batch_size).alias("batch_no")
+    return ranked.select(*key, "matched", batch, *(["post"] if whole else []))
 
 
 def crawl_progress(batches: DataFrame, max_matches: int = MAX_MATCHES) -> DataFrame:
@@ -155,30 +165,17 @@ def crawl_progress(batches: DataFrame, max_matches: int = MAX_MATCHES) -> DataFr
     return totals.where(F.col("match_count") - F.col("batch_matches") < max_matches)
 
 
-def backtest_progress(posts: DataFrame, matched: Column, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
+def backtest_progress(posts: DataFrame, matched: Flag, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
     return crawl_progress(crawl_batches(posts, matched, crawl, key), crawl.max_matches)
 
 
-def crawl_matches(posts: DataFrame, batches: DataFrame, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
-    """Matching posts of the ``batches`` a crawl goes through, with their ``batch_no``.
+def crawl_matches(batches: DataFrame, crawl: Crawl) -> DataFrame:
+    """Matching posts of the ``batches`` (``whole``) a crawl goes through, with their ``batch_no``.
 
-    Fewer than ``max_matches`` come before the last batch and at most ``batch_size`` from it, so
-    the matched keys are a proven small table and posts are not shuffled to pick them up.
+    Rows were carried along, so posts that repeat a key, or have none, are reported once each.
     """
     last = crawl_progress(batches, crawl.max_matches).agg(F.max("batch_no")).scalar()
-    hits = batches.where("matched").where(F.col("batch_no") <= last).select(*key, "batch_no")
-    return crawl.window(posts).join(F.broadcast(hits), list(key))
-
-
-def _with_match_flag(posts, condition, view, catalog, registry) -> DataFrame:
-    """Posts with ``__matched``; a filter which needs joins is evaluated on its own and joined by key."""
-    tree = compile_tree(condition, view, registry)
-    if not tree.needs:
-        flagged = view.with_shared(posts).withColumn("__matched", as_column(render(tree)))
-        return flagged.select(*posts.columns, "__matched")
-    hits = filter_posts(posts, condition, view, catalog, registry).select(*view.key, F.lit(True).alias("__hit"))
-    joined = posts.join(hits, list(view.key), "left")
-    return joined.withColumn("__matched", F.coalesce("__hit", F.lit(False))).drop("__hit")
+    return batches.where("matched").where(F.col("batch_no") <= last).select("post.*", "batch_no")
 
 
 def run_backtest(
@@ -190,10 +187,13 @@ def run_backtest(
     registry: Registry = DEFAULT_REGISTRY,
 ) -> tuple[DataFrame, DataFrame]:
     """(progress per batch, matching posts) of one filter over history."""
-    flagged = _with_match_flag(posts, condition, view, catalog, registry)
-    crawl = narrow_crawl(flagged, F.col("__matched"), crawl)
-    batches = crawl_batches(flagged, F.col("__matched"), crawl, view.key)
-    return crawl_progress(batches, crawl.max_matches), crawl_matches(posts, batches, crawl, view.key)
+
+    def matched(window: DataFrame) -> DataFrame:
+        return flag_posts(window, condition, view, catalog, registry, MATCHED)
+
+    crawl = narrow_crawl(posts, matched, crawl)
+    batches = crawl_batches(posts, matched, crawl, view.key, whole=True)
+    return crawl_progress(batches, crawl.max_matches), crawl_matches(batches, crawl)
 
 
 def run_backfill(

@@ -81,6 +81,30 @@ def filter_posts(
     return posts.where(as_column(lower)).select(*columns).unionByName(matched)
 
 
+def flag_posts(
+    posts: DataFrame,
+    condition: dict,
+    view: PostView,
+    catalog: Catalog = Catalog(),
+    registry: Registry = DEFAULT_REGISTRY,
+    name: str = "matched",
+) -> DataFrame:
+    """All ``posts``, each once, with the answer of ``condition`` as boolean column ``name``.
+
+    Models see only the posts which the rest of the tree leaves undecided.
+    """
+    tree = compile_tree(condition, view, registry)
+    columns = posts.columns
+    posts = attach(view.with_shared(posts), view, _needs_below(tree, COST_MODEL), catalog)
+    if tree.cost < COST_MODEL:
+        return posts.select(*columns, as_column(render(tree)).alias(name))
+    upper, lower = (as_column(render(tree, with_models_as(v))) for v in (True, False))
+    undecided = upper & ~lower
+    scored = attach(posts.where(undecided), view, tree.needs, catalog)
+    decided = posts.where(~undecided).select(*columns, lower.alias(name))
+    return decided.unionByName(scored.select(*columns, as_column(render(tree)).alias(name)))
+
+
 def _conjuncts(node: Node) -> list[Node]:
     if node.connective == "and":
         return [c for child in node.children for c in _conjuncts(child)]

@@ -33,18 +33,14 @@ def with_positions(df: DataFrame, *order: Column | str, name: str = "position")
 
 
 def with_running_totals(
-    df: DataFrame, index: str, totals: dict[str, str], block: int = 10_000, max_rows: int | None = None
+    df: DataFrame, index: str, totals: dict[str, str], block: int = 10_000
 ) -> DataFrame:
     """Add inclusive running totals along the integer column ``index`` (unique per row).
 
     ``totals`` maps a new column to the column it sums.  Totals are taken inside blocks of
     ``block`` consecutive indexes and blocks are chained by their sums, so the one unpartitioned
-    window sees a ``block``-th of the rows.  Where the caller can prove that there are no more than
-    ``max_rows`` rows and those fit one block of a million, a single window does.
+    window sees a ``block``-th of the rows.
     """
-    if max_rows is not None and max_rows <= 1_000_000:
-        running = W.orderBy(index).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({k: F.sum(v).over(running) for k, v in totals.items()})
     blocks = df.withColumn("__block", F.floor(F.col(index) / block))
     sums = blocks.groupBy("__block").agg(*[F.sum(v).alias(f"__sum_{k}") for k, v in totals.items()])
     earlier = W.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)

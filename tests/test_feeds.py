@@ -176,6 +176,46 @@ def test_long_list_equals_inline(spark, monkeypatch):
     assert inline == [i for i in range(20) if i % 5 in (1, 2, 4)]
 
 
+def same_key(df):
+    """Posts 0 and 1 share a key; 2 and 3 have none."""
+    numbered = df.withColumn("no", F.col("rkey").cast("int"))
+    return numbered.withColumn("rkey", F.when(F.col("no") < 2, "same").when(F.col("no") > 3, F.col("rkey")))
+
+
+def numbers(found):
+    return sorted(r.no for r in found.select("no").collect())
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_lists_with_repeated_and_missing_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr("postsieve.operators.entities.INLINE_LIMIT", limit)
+    df = same_key(posts(spark, [{"tags": [t]} if t else {} for t in ("a", "b", "a", "b", "a", None)]))
+    has, lacks = {"entity_matches": ["hashtags", ["a"]]}, {"entity_excludes": ["hashtags", ["a"]]}
+    never = {"attribute_compare": ["did", "==", "nobody"]}
+    for wrap in (lambda c: c, lambda c: {"or": [never, c]}):
+        assert numbers(filter_posts(df, wrap(has), view(df))) == [0, 2, 4]
+        assert numbers(filter_posts(df, wrap(lacks), view(df))) == [1, 3, 5]
+
+
+def test_image_scores_with_repeated_and_missing_keys(spark):
+    def record(link):
+        images = [{"image": {"ref": {"$link": link}}}] if link else []
+        return {"embed": {"$type": "app.bsky.embed.images", "images": images}}
+
+    df = same_key(posts(spark, [record(x) for x in ("bad", "ok", "bad", "ok", "ok", None)]))
+    urls = df.select(F.explode(view(df).image_urls()).alias("url")).distinct()
+    model = "Falconsai/nsfw_image_detection"
+    probability = F.when(F.col("url").contains("bad"), 0.9).otherwise(0.1)
+    stored = urls.select(
+        F.lit(model).alias("model"),
+        image_key(model, F.col("url"), "NSFW").alias("input_key"),
+        F.array(1 - probability, probability).alias("probs"),
+    )
+    cat = Catalog(image_scores=stored)
+    assert numbers(filter_posts(df, {"image_nsfw": ["NSFW", "<=", 0.5]}, view(df), cat)) == [1, 3, 4, 5]
+    assert numbers(filter_posts(df, {"image_nsfw": ["NSFW", ">", 0.5]}, view(df), cat)) == [0, 2, 5]
+
+
 def test_hot_author_is_split(spark):
     """One author with most posts: the adaptive planner splits that partition of the marker join."""
     df = spark.range(40_000).select(

@@ -135,6 +135,40 @@ def test_crawls(spark, batch, limit, share, hot_second):
     assert both[0].count() == len(progress) and both[1].count() == len(hits)
 
 
+def test_crawl_reports_repeated_keys_once_each(spark):
+    """Three posts, two of them with one key, under a filter on the author; one post out of range."""
+    from postsieve import Catalog, PostView
+    from postsieve.functions.keys import asset_key
+
+    rows = [(10, "a", "x"), (20, "a", "x"), (30, "b", "x"), (40, "b", None), (2000, "a", "x")]
+    df = spark.createDataFrame(rows, "time_us long, did string, rkey string").withColumn("record", F.struct("rkey"))
+    url = "https://bsky.app/profile/u/lists/l"
+    members = spark.createDataFrame([("user_list", asset_key("user_list", {"list_url": url}), "a")], "asset_type string, asset_key string, did string")
+    catalog = Catalog(assets=members)
+    for condition, hits in (({"list_member": [url, "in"]}, [10, 20]), ({"list_member": [url, "not_in"]}, [30, 40])):
+        progress, found = run_backtest(df, condition, PostView(df.schema, ("did", "rkey")), Crawl(0, 1000, 60, 100, 50), catalog)
+        assert [(r.record_count, r.match_count) for r in progress.collect()] == [(4, 2)]
+        assert sorted(r.time_us for r in found.collect()) == hits
+
+
+def test_scorer_sees_only_the_window(spark):
+    from postsieve import Catalog, PostView
+    from postsieve.sources.scores import Scorer
+
+    texts = ["good", "bad", "old"]
+    df = spark.createDataFrame([(990, "1", texts[0]), (980, "2", texts[1]), (5, "3", texts[2])], "time_us long, rkey string, text string")
+    df = df.select("time_us", F.lit("d").alias("did"), "rkey", F.struct("text").alias("record"))
+
+    def transform(inputs):
+        wrong = F.raise_error(F.lit("scored a post outside the window"))
+        score = F.when(F.col("input").contains("old"), wrong.cast("double")).when(F.col("input").contains("bad"), 0.9).otherwise(0.1)
+        return inputs.select("input_key", F.create_map(F.lit("toxic"), score).alias("scores"))
+
+    catalog = Catalog(scorers={"unitary/toxic-bert": Scorer(transform=transform)})
+    found = run_backfill(df, {"toxicity_analysis": ["Toxic", ">", 0.5]}, PostView(df.schema, ("did", "rkey")), Crawl(900, 1000, 60), catalog)
+    assert [r.rkey for r in found.collect()] == ["2"]
+
+
 def test_narrow_crawl_reads_only_the_newest_part(spark):
     df = spark.range(100_000).select(F.col("id").alias("time_us"), "id")
     crawl = Crawl(0, 99_999, 10, batch_size=100, max_matches=500, first_look=10)
