@@ -78,3 +78,20 @@ def responses(
         "matches",
         "error",
     )
+
+
+def batch_responses(counts: DataFrame, feeds: DataFrame, compute_time: Column | None = None) -> DataFrame:
+    """One row per feed of a micro-batch: its match count, or the reason why it did not run.
+
+    ``counts`` comes from :func:`match_counts`.  The matches themselves stay in the match sink, under
+    the same batch and feed, so no row grows with a feed's popularity.
+    """
+    at = F.current_timestamp() if compute_time is None else compute_time
+    return feeds.join(counts, "algorithm_id", "left").select(
+        "algorithm_id",
+        at.alias("compute_time"),
+        F.expr("uuid()").alias("uuid"),
+        "compute_environment",
+        F.coalesce("matches", F.lit(0).cast("long")).alias("match_count"),
+        "error",
+    )

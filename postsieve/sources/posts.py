@@ -119,7 +119,8 @@ def validate_events(
     """Drop malformed events, and those over ``max_chars`` if given; correct creation times.
 
     A creation time which cannot be read or lies after ``now`` becomes ``now``; an absent one stays
-    absent.  The correction is made in the ``raw`` JSON text.
+    absent.  The correction is made in the ``raw`` JSON, at ``commit.record.createdAt`` alone: in its
+    text where that time is certainly the only one, else in the decoded message.
     """
     now = F.current_timestamp() if now is None else now
 
@@ -145,10 +146,17 @@ def validate_events(
     at = F.when(created.rlike(CREATED_AT_PATTERN), F.try_to_timestamp(created, F.lit(CREATED_AT_FORMAT)))
     is_wrong = created.isNotNull() & (created != "") & F.coalesce(at > now, F.lit(True))
     corrected = F.date_format(now, CREATED_AT_OUTPUT)
-    fixed = F.col(raw)
+    fixed, standing = F.col(raw), F.lit(False)
     for gap in ("", " "):
         label = f'"createdAt":{gap}"'
-        fixed = F.replace(fixed, F.concat(F.lit(label), created, F.lit('"')), F.concat(F.lit(label), corrected, F.lit('"')))
+        old = F.concat(F.lit(label), created, F.lit('"'))
+        standing = standing | F.contains(F.col(raw), old)
+        fixed = F.replace(fixed, old, F.concat(F.lit(label), corrected, F.lit('"')))
+    # A name written with escapes would not be counted.
+    name = '"createdAt"'
+    named = (F.length(raw) - F.length(F.replace(F.col(raw), F.lit(name), F.lit("")))) / len(name)
+    is_only = standing & (named == 1) & ~F.contains(F.col(raw), F.lit("\\u00"))
+    fixed = F.when(is_only, fixed).otherwise(_with_created("__json", corrected))
     return (
         read.where(shaped & readable)
         .withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw)))
@@ -156,6 +164,19 @@ def validate_events(
     )
 
 
+def _with_created(message: str, created: Column) -> Column:
+    """The JSON text of the variant ``message`` with ``created`` at ``commit.record.createdAt``."""
+
+    def put(path: str, name: str, value: Column) -> Column:
+        fields = F.try_variant_get(message, path, "map<string,variant>")
+        others = F.map_filter(fields, lambda k, _: k != name)
+        return F.to_variant_object(F.map_concat(others, F.create_map(F.lit(name), value)))
+
+    text = F.parse_json(F.concat(F.lit('"'), created, F.lit('"')))
+    record = put("$.commit.record", "createdAt", text)
+    return F.to_json(put("$", "commit", put("$.commit", "record", record)))
+
+
 def split_operations(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(creates, deletes); other operations are dropped."""
     return posts.where(F.col("operation") == "create"), posts.where(F.col("operation") == "delete")

@@ -39,6 +39,18 @@ def write_deletes(deletes: DataFrame, path: str, batch_id: int | None = None) ->
         ).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def write_responses(responses: DataFrame, path: str, batch_id: int) -> None:
+    """One row per feed in one file per batch."""
+    frame = responses.coalesce(1).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    frame.write.partitionBy("batch_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """``algorithm_id`` and ``uri`` of the matches stored for a batch."""
+    stored = spark.read.schema("uri string, algorithm_id long, batch_id long").parquet(path)
+    return stored.where(F.col("batch_id") == batch_id).select("algorithm_id", "uri")
+
+
 def write_keys(events: DataFrame, path: str, batch_id: int) -> None:
     """Keys of the batch's events by event date, so that a later batch reads only its own dates."""
     keys = events.select(*EVENT_KEY, "event_date", F.lit(batch_id).cast("long").alias("batch_id"))

@@ -12,9 +12,18 @@ from pyspark.sql.streaming import StreamingQuery
 from postsieve.operators.builtin import DEFAULT_REGISTRY
 from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog
-from postsieve.plans.match import compile_feeds, match_feeds, project_matches
+from postsieve.plans.match import Feed, compile_feeds, match_feeds, project_matches
+from postsieve.plans.responses import batch_responses, feed_table, match_counts
 from postsieve.sources import posts as P
-from postsieve.sources.sinks import EVENT_KEY, read_keys, write_deletes, write_keys, write_matches
+from postsieve.sources.sinks import (
+    EVENT_KEY,
+    read_batch,
+    read_keys,
+    write_deletes,
+    write_keys,
+    write_matches,
+    write_responses,
+)
 
 # Fixed value: a batch is flushed at least this often.
 FLUSH_INTERVAL = "30 seconds"
@@ -73,13 +82,17 @@ def process_batch(
     feeds: FeedSet,
     catalog: Catalog = Catalog(),
     registry: Registry = DEFAULT_REGISTRY,
+    compiled: list[Feed] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(matches, deletes) of a batch of parsed events: the same function for streams and tables."""
     creates, deletes = P.split_operations(events)
-    view = P.post_view(creates)
-    compiled = compile_feeds(feeds.manifests, feeds.conditions, view, registry, catalog)
+    compiled = compile_batch(events, feeds, catalog, registry) if compiled is None else compiled
     matched = match_feeds(creates, compiled, catalog)
-    return project_matches(matched, view, "algorithm_id"), deletes
+    return project_matches(matched, P.post_view(creates), "algorithm_id"), deletes
+
+
+def compile_batch(events: DataFrame, feeds: FeedSet, catalog: Catalog, registry: Registry) -> list[Feed]:
+    return compile_feeds(feeds.manifests, feeds.conditions, P.post_view(events), registry, catalog)
 
 
 def run_live(
@@ -88,11 +101,16 @@ def run_live(
     matches_path: str,
     deletes_path: str,
     checkpoint_location: str,
-    catalog: Catalog = Catalog(),
+    catalog: Catalog | Callable[[], Catalog] = Catalog(),
     registry: Registry = DEFAULT_REGISTRY,
     available_now: bool = False,
+    responses_path: str | None = None,
 ) -> StreamingQuery:
-    """Start the live job.  ``load_feeds`` is asked once per micro-batch, so edits take effect.
+    """Start the live job.  ``load_feeds`` is asked once per micro-batch, so edits take effect; so is
+    ``catalog`` if it is a function, so that refreshed assets do.
+
+    With a ``responses_path``, each batch stores a response for every feed: its number of matches, or
+    the error that keeps it from running.
 
     All outputs replace the partition of their batch, so a batch that runs twice is stored once.
     The keys of processed events are stored beside the stream's state, by event date; an event that
@@ -104,8 +122,14 @@ def run_live(
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = fresh_events(batch, keys_path, batch_id).persist()
         try:
-            matches, deletes = process_batch(batch, load_feeds(), catalog, registry)
+            feeds, tables = load_feeds(), catalog() if callable(catalog) else catalog
+            compiled = compile_batch(batch, feeds, tables, registry)
+            matches, deletes = process_batch(batch, feeds, tables, registry, compiled)
             write_matches(matches, matches_path, batch_id)
+            if responses_path is not None:
+                spark = batch.sparkSession
+                counts = match_counts(read_batch(spark, matches_path, batch_id))
+                write_responses(batch_responses(counts, feed_table(spark, compiled)), responses_path, batch_id)
             write_deletes(deletes, deletes_path, batch_id)
             write_keys(batch, keys_path, batch_id)
         finally:

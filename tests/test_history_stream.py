@@ -63,6 +63,23 @@ def test_validation(spark):
     assert got[len(cases) + 1] == {"commit": {"record": {"createdAt": stamp, "a": "bad"}}}
 
 
+def test_creation_time_is_corrected_at_its_path_alone(spark):
+    future = "2999-01-01T00:00:00Z"
+    templates = [
+        '{"commit":{"record":{"createdAt" : "%s","text":"x"}}}',
+        '{"commit":{"record":{"createdAt":  "%s","text":"x"}}}',
+        '{"commit":{"record":{"embed":{"createdAt":"%s"},"createdAt":"%s","text":"x"}}}',
+        '{"commit":{"record":{"embed":{"createdAt":"%s"},"createdAt":  "%s","text":"x"}},"did":"d","time_us":5}',
+        '{"commit":{"record":{"created\\u0041t":"%s","text":"\\"createdAt\\":"}},"createdAt":"%s"}',
+    ]
+    sent = [t.replace("%s", future) for t in templates] + [templates[0].replace("%s", "2999\\u002d01-01T00:00:00Z")]
+    got = {r.i: json.loads(r.raw) for r in P.validate_events(raw(spark, sent), now()).collect()}
+    for i, message in enumerate(sent):
+        want = json.loads(message)
+        want["commit"]["record"]["createdAt"] = "2024-06-01T12:00:00.000000Z"
+        assert got[i] == want, message
+
+
 def test_size_limits(spark):
     exact = "x" * (100_000 - len(event({"text": ""})))
     rows = raw(spark, [event({"text": exact}), event({"text": exact + "x"})])
@@ -279,6 +296,39 @@ def test_late_and_far_future_events_are_kept(spark, tmp_path):
     assert found == sorted(m for m in expected_matches() if m[1] in hours)
 
 
+def test_live_job_answers_for_every_feed(spark, tmp_path):
+    """A feed with matches, a silent, an inoperable and a broken one; tables are asked for per batch."""
+    from postsieve import Catalog
+
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    feeds = FeedSet(
+        {
+            1: {"filter": {"attribute_compare": ["n", ">=", 5]}},
+            2: {"filter": {"attribute_compare": ["n", ">", 99]}},
+            3: {"filter": {"no_such_operator": [1]}},
+            5: {"filter": 77},
+        },
+        {},
+    )
+    asked = []
+
+    def tables():
+        asked.append(1)
+        return Catalog()
+
+    for n, part in enumerate((messages()[:8], messages()[8:9], messages()[:2])):
+        (source / f"{n}.json").write_text("\n".join(part))
+        run_live(
+            event_stream(spark, str(source)), lambda: feeds, f"{out}/m", f"{out}/d", f"{out}/c", tables,
+            available_now=True, responses_path=f"{out}/r",
+        ).awaitTermination()
+    stored = spark.read.parquet(f"{out}/r").collect()
+    assert {(r.batch_id, r.algorithm_id): r.match_count for r in stored if r.match_count} == {(0, 1): 2, (1, 1): 1}
+    assert len(stored) == 12 and len(asked) == 3 and len({r.uuid for r in stored}) == 12
+    assert {(r.algorithm_id, r.error.error_type) for r in stored if r.error} == {(5, "ValueError")}
+
+
 def test_size_limit_only_where_asked(spark):
     long = event({"n": 1, "text": "x" * 200_000}, 1)
     frame = raw(spark, [long])
