@@ -138,6 +138,9 @@ def domains(record: Field) -> Column:
     return F.array_distinct(F.transform(links(record), url_domain))
 
 
+# Fixed value: stands in the address of an image without a reference.
+NO_REFERENCE = "None"
+
 ENTITY_GETTERS: dict[str, Callable[[Field], Column]] = {
     "hashtags": hashtags,
     "mentions": mentions,
@@ -154,7 +157,8 @@ def image_urls(record: Field, did: Column) -> Column:
     if embed_type.is_missing:
         return _no_strings()
     media_type = resolve(record, "embed.media.$type")
-    # An image of a quote's media without a reference of its own takes the link card's thumbnail.
+    # An image of a quote's media without a reference of its own takes the link card's thumbnail;
+    # without that either, it keeps an address that no score is found for.
     thumb = resolve(record, "embed.media.external.thumb.ref.$link")
     direct = _image_cids(resolve(record, "embed.images[*]"), None)
     nested = _image_cids(resolve(record, "embed.media.images[*]"), thumb)
@@ -173,9 +177,10 @@ def _image_cids(images: Field, fallback: Field | None) -> Column:
 
     def cid(x: Column) -> Column:
         own = _as_string(resolve(Field(x, element), "image.ref.$link"))
-        if fallback is None or fallback.is_missing:
+        if fallback is None:
             return own
-        return F.coalesce(F.nullif(own, F.lit("")), _as_string(fallback))
+        others = [] if fallback.is_missing else [F.nullif(_as_string(fallback), F.lit(""))]
+        return F.coalesce(F.nullif(own, F.lit("")), *others, F.lit(NO_REFERENCE))
 
     return F.filter(F.transform(images.col, cid), lambda x: x.isNotNull() & (x != ""))
 

@@ -12,6 +12,7 @@ from postsieve.session import shared_folder
 from postsieve.sources import posts as P
 from postsieve.streaming.live import FeedSet, event_stream, prepare_stream, run_live
 from workloads import bindings as B
+from workloads.predicates import LIST_OF, catalog
 from workloads.registry import query
 
 _NOW = "2024-01-16 00:00:00"
@@ -111,7 +112,7 @@ def quarantine_rows(spark: SparkSession, folder: str) -> DataFrame:
 def dedup_events(spark: SparkSession, folder: str) -> DataFrame:
     """A replay delivers half of the events twice."""
     raw = _raw(spark, folder)
-    again = raw.where(F.col("event_id") >= 5_000)
+    again = raw.where(F.col("event_id") % 2 == 0)
     creates, _ = P.split_operations(P.parse_events(raw.unionByName(again)))
     return P.deduplicate(creates).select(F.substring_index("did", ":", -1).cast("long").alias("user_id"), "event_id")
 
@@ -142,10 +143,11 @@ def slices(spark: SparkSession, folder: str) -> DataFrame:
 _FILTER = {"and": [{"attribute_compare": ["value", ">", 12]}, {"attribute_compare": ["event_type", "!=", "view"]}]}
 
 
-def _crawl_sql(batch: int, limit: int, value: int = 12) -> str:
+def _crawl_sql(batch: int, limit: int, value: int = 12, matched: str | None = None, sliced: str = _SLICED) -> str:
+    matched = matched or f"(value > {value} AND event_type <> 'view')"
     return f"""
-      WITH ranked AS (SELECT event_id, (value > {value} AND event_type <> 'view') AS matched,
-                             (row_number() OVER (ORDER BY slice_no, time_us, event_id) - 1) // {batch} AS batch_no FROM ({_SLICED}) s),
+      WITH ranked AS (SELECT event_id, {matched} AS matched,
+                             (row_number() OVER (ORDER BY slice_no, time_us, event_id) - 1) // {batch} AS batch_no FROM ({sliced}) s),
            per AS (SELECT batch_no, count(*) AS batch_records, count(*) FILTER (matched) AS batch_matches FROM ranked GROUP BY batch_no),
            tot AS (SELECT *, sum(batch_records) OVER (ORDER BY batch_no)::BIGINT AS record_count,
                           sum(batch_matches) OVER (ORDER BY batch_no)::BIGINT AS match_count FROM per),
@@ -184,6 +186,25 @@ def backfill_matches(spark: SparkSession, folder: str) -> DataFrame:
     return matches.select("event_id", "batch_no")
 
 
+_TWICE = f"{_SLICED} UNION ALL {_SLICED} AND event_id % 2 = 0"
+_MEMBER = "user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')"
+
+
+@query(
+    "backtest_members",
+    _crawl_sql(300, 100, matched=_MEMBER, sliced=_TWICE)
+    + " SELECT event_id, batch_no FROM ranked JOIN kept USING (batch_no) WHERE matched",
+)
+def backtest_members(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter on the author's list over history in which half of the events stand twice."""
+    posts = B.events(spark, folder)
+    posts = posts.unionByName(posts.where(F.col("event_id") % 2 == 0))
+    condition = {"list_member": [LIST_OF + "MACHINERY", "in"]}
+    crawl = _crawl(300, 100)
+    _, matches = run_backtest(posts, condition, B.view(posts, "event_id"), crawl, catalog(spark, folder))
+    return matches.select("event_id", "batch_no")
+
+
 # ---------------------------------------------------------------- stream
 
 
@@ -200,6 +221,38 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, events, shared_folder(spark, "stream"))
 
 
+@query(
+    "stream_responses",
+    """SELECT 1::BIGINT AS algorithm_id, 'cpu' AS environment, count(*)::BIGINT AS matches, NULL AS error_type
+         FROM events WHERE event_type NOT IN ('error', 'signup') AND value > 15
+       UNION ALL SELECT 2, 'cpu', 0, NULL UNION ALL SELECT 3, 'cpu', 0, NULL
+       UNION ALL SELECT 4, 'none', 0, 'ValueError'""",
+)
+def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of the live job for a feed that matches, a silent, an inoperable and a broken one."""
+    schema = B.table(spark, folder, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    out = shared_folder(spark, "answers")
+    feeds = FeedSet(
+        {
+            1: {"filter": {"attribute_compare": ["value", ">", 15]}},
+            2: {"filter": {"regex_any": ["text", ["no such word"]]}},
+            3: {"filter": {"no_such_operator": ["text"]}},
+            4: {"filter": 99},
+        },
+        {},
+    )
+    events = prepare_stream(raw_events(source).drop("event_id"))
+    paths = f"{out}/matches", f"{out}/deletes", f"{out}/state"
+    run_live(events, lambda: feeds, *paths, available_now=True, responses_path=f"{out}/answers").awaitTermination()
+    per_feed = spark.read.parquet(f"{out}/answers").groupBy("algorithm_id")
+    return per_feed.agg(
+        F.max("compute_environment").alias("environment"),
+        F.sum("match_count").alias("matches"),
+        F.max("error.error_type").alias("error_type"),
+    )
+
+
 @query("stream_late_events", _STREAM_SQL)
 def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events in files of their own for each week, the newest first and each file twice."""
