@@ -269,4 +269,7 @@ def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Cat
     found = stored.select(F.col("input_key").alias(key), "embedding")
     joined = lookup(posts, found, key).withColumn("__anchor", anchor_vector)
     similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor.v"), F.col("__anchor.norm")), F.lit(0.0))
+    # Without the anchor's vector every answer would be a guess.
+    lacking = F.raise_error(F.lit(f"No vector for the anchor text under model '{need.model}'")).cast("double")
+    similarity = F.when(F.col("__anchor.v").isNull(), lacking).otherwise(similarity)
     return joined.withColumn(need.column, similarity).drop("embedding", "__anchor")

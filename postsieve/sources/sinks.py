@@ -14,19 +14,19 @@ EVENT_KEY = ("did", "rkey", "operation")
 
 
 def write_matches(matches: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Parquet partitioned by feed, and by batch when one is given.
+    """Parquet partitioned by batch and sorted by feed, or without a batch partitioned by feed.
 
-    Rows are spread by feed and a hash of the post before writing, so that a feed with a third of
-    all matches is written by many tasks, while small feeds do not leave one file per task.
+    A batch comes every half minute and may hold thousands of feeds; folders for each would be
+    millions of small files a day, while sorted files are pruned by their statistics.  Rebalancing
+    by feed lets the adaptive planner split the rows of a large feed over several files.
     """
-    frame = matches if batch_id is None else matches.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    parts = ["algorithm_id"] if batch_id is None else ["batch_id", "algorithm_id"]
-    # Rebalancing lets the adaptive planner split large feeds and merge small ones.
-    writer = frame.hint("rebalance", "algorithm_id").write.partitionBy(*parts)
     if batch_id is None:
-        writer.mode("append").parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        rows = matches.hint("rebalance", "algorithm_id")
+        rows.write.partitionBy("algorithm_id").mode("append").parquet(path)
+        return
+    rows = matches.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", "algorithm_id")
+    writer = rows.sortWithinPartitions("batch_id", "algorithm_id").write.partitionBy("batch_id")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_deletes(deletes: DataFrame, path: str, batch_id: int | None = None) -> None:

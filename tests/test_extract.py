@@ -104,9 +104,11 @@ def test_image_urls(spark):
             {"embed": {"$type": extract.EMBED_RECORD_WITH_MEDIA, "media": {"$type": "app.bsky.embed.video"}}},
             {"embed": {"$type": "app.bsky.embed.external", "images": [image("c1")]}},
             {},
+            {"embed": {"$type": extract.EMBED_RECORD_WITH_MEDIA, "media": {**media, "external": {}}}},
         ],
     )
-    assert values(df, view(df).image_urls()) == [[url("c1"), url("c2")], [url("m1"), url("th")], [], [], []]
+    direct, nested = [url("c1"), url("c2")], [url("m1"), url("th")]
+    assert values(df, view(df).image_urls()) == [direct, nested, [], [], [], [url("m1"), url("None")]]
 
 
 def test_asset_keys(spark):

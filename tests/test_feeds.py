@@ -334,6 +334,14 @@ def image(cid):
     return {"image": {"ref": {"$link": cid}}}
 
 
+def test_missing_anchor_is_an_error(spark):
+    df = posts(spark, [{"text": "x"}])
+    stored = spark.createDataFrame([("m", "other", [1.0])], "model string, input_key string, embedding array<float>")
+    condition = {"text_similarity": ["text", {"model_name": "m", "anchor_text": "anchor"}, "<=", 0.7]}
+    with pytest.raises(Exception, match="No vector for the anchor"):
+        filter_posts(df, condition, view(df), Catalog(embeddings=stored)).collect()
+
+
 def test_images(spark):
     def post(*cids):
         return {"embed": {"$type": "app.bsky.embed.images", "images": [image(c) for c in cids]}}

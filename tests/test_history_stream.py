@@ -343,7 +343,10 @@ def test_match_sink_replaces_a_repeated_batch(spark, tmp_path):
     for _ in range(2):
         write_matches(batch, path, batch_id=0)
     write_matches(batch, path, batch_id=1)
-    assert spark.read.parquet(path).count() == 4
+    stored = spark.read.parquet(path)
+    assert stored.count() == 4 and stored.where("algorithm_id = 2").count() == 2
+    # Feeds are sorted columns, not folders.
+    assert not list((tmp_path / "m").glob("batch_id=*/algorithm_id=*"))
 
 
 def test_filter_reaches_the_scan(spark, tmp_path):
