@@ -83,13 +83,14 @@ def remove_boilerplate(docs: DataFrame, sites: int = 5) -> DataFrame:
         F.xxhash64(text).alias("text_key"),
     )
     same = rows["doc_id"].eqNullSafe(found["id"]) & (rows["text_key"] == found["key"])
-    joined = rows.join(found, same, "left")
-    every = F.split("whole", "\n")
-    left = F.filter(every, lambda line, i: ~F.array_contains("removed", i))
+    joined = rows.join(found, same, "left").withColumn("every", F.split("whole", "\n"))
+    # A set difference of positions: linear, however many lines of a long text go.
+    places = F.array_except(F.sequence(F.lit(0), F.size("every") - 1), F.col("removed"))
+    left = F.transform(places, lambda i: F.get("every", i))
     return joined.select(
         "doc_id",
         "source",
-        F.size(every).cast("long").alias("n_lines"),
+        F.size("every").cast("long").alias("n_lines"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.when(F.col("removed").isNull(), F.col("whole")).otherwise(F.array_join(left, "\n")).alias("text"),
     )
