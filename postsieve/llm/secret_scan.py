@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 from postsieve.llm.common import typed, written
 
 RUN = "[A-Za-z0-9+/_=.@:-]"
-CANDIDATE = f"(?=[A-Za-z+/_=.@:-]*[0-9]){RUN}{{12,}}|[A-Za-z0-9+/_=-]{{16,}}"
+#: Tried only where a run starts, so that a very long run is read once.
+CANDIDATE = f"(?<!{RUN})(?=[A-Za-z+/_=.@:-]*+[0-9]){RUN}{{12,}}|[A-Za-z0-9+/_=-]{{16,}}"
 #: Names that secrets are given, and words near things that only look like secrets.
 SECRET_NAME = "(?i)(pass(word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)$"
 INNOCENT = "(?i)^(example|sample|dummy|test|placeholder|version|license|isbn|doi|sha|md5|commit|checksum|hash|uuid)"
