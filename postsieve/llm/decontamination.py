@@ -64,13 +64,18 @@ class Items:
         import numpy as np
 
         self.vocabulary: dict[str, int] = {}
+        #: Items of the same words are aligned once; ``ids`` lists who they are.
         self.ids, self.items = [], []
+        known: dict[bytes, int] = {}
         for key, text in rows:
             words = words_of(text)
             if words:
-                self.ids.append(key)
-                numbers = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
-                self.items.append(np.array(numbers, np.int64))
+                numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)
+                place = known.setdefault(numbers.tobytes(), len(self.items))
+                if place == len(self.items):
+                    self.items.append(numbers)
+                    self.ids.append([])
+                self.ids[place].append(key)
 
     def numbers(self, text: str | None):
         import numpy as np
@@ -240,7 +245,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> D
                 ids = batch.column(0)
                 for k, passages in enumerate(scanner.scan(batch.column(1).to_pylist())):
                     for item, score, first, length in passages:
-                        rows.append((ids[k].as_py(), scanner.items.ids[item], score, first, length))
+                        for name in scanner.items.ids[item]:
+                            rows.append((ids[k].as_py(), name, score, first, length))
                 columns = list(zip(*rows)) or [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
