@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -56,7 +57,10 @@ SMOOTH = 0.6
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]
+    depth: int
+    #: Block elements shared with the block before, and the number of the one above the own.
+    shared: int
+    parent: int
     link_chars: int
     heading: bool
     bad: float
@@ -65,16 +69,25 @@ class Block:
     features: list[float] = field(default_factory=list)
 
 
+@dataclass(slots=True)
 class Element:
-    __slots__ = ("name", "number", "bad", "good", "silent", "label")
-
-    def __init__(self, name, number, bad, good, silent, label):
-        self.name, self.number, self.bad, self.good, self.silent, self.label = name, number, bad, good, silent, label
-
-
-def _element(name: str, tag: str, number: int, above: Element | None) -> Element:
-    bad, good = (above.bad, above.good) if above else (0.0, 0.0)
-    silent, label = (above.silent, above.label) if above else (False, None)
+    """An open element, with what it has from the elements around it."""
+
+    name: str = ""
+    bad: float = 0.0
+    good: float = 0.0
+    silent: bool = False
+    label: int | None = None
+    #: Block elements open here, the number of the innermost and of the one above it.
+    depth: int = 0
+    block: int = 0
+    parent: int = 0
+    link: bool = False
+    heading: bool = False
+
+
+def _element(name: str, tag: str, number: int, above: Element) -> Element:
+    bad, good, silent, label = above.bad, above.good, above.silent, above.label
     if name in BOILERPLATE_TAGS or (name == "header" and not good):
         bad, label = max(bad, BAD_TAG_COST), 0
     if name in CONTENT_TAGS:
@@ -101,46 +114,58 @@ def _element(name: str, tag: str, number: int, above: Element | None) -> Element
                 key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
             ):
                 silent = True
-    return Element(name, number, bad, good, silent or name in SILENT, label)
+    depth, block, parent, heading = above.depth, above.block, above.parent, above.heading
+    if name in BREAKS:
+        depth, block, parent = depth + 1, number, block
+        heading = heading or (name[0] == "h" and name[1:].isdigit())
+    return Element(name, bad, good, silent or name in SILENT, label, depth, block, parent, above.link or name == "a", heading)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; character references decoded, white space made single."""
     found: list[Block] = []
-    stack: list[Element] = []
+    root = Element()
+    stack = [root]
+    open_names: Counter[str] = Counter()
     parts: list[str] = []
-    links = heading = 0
-    number, place = 0, None
+    links = number = shared = 0
+    place: Element | None = None
+    last_mark = page.rfind(">")
 
     def flush():
-        nonlocal parts, links, heading, place
-        if parts:
+        nonlocal parts, links, shared, place
+        if place is not None:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and place is not None:
-                path, top = place
-                found.append(Block(text, path, links, bool(heading), top.bad, top.good, top.label))
-        parts, links, heading, place = [], 0, 0, None
+            if text:
+                own = place
+                found.append(
+                    Block(text, own.depth, min(shared, own.depth), own.parent, links, own.heading, own.bad, own.good, own.label)
+                )
+                shared = own.depth
+        parts, links, place = [], 0, None
 
     def say(text):
-        nonlocal links, heading, place
-        if not text:
-            return
-        if stack and stack[-1].silent:
+        nonlocal links, place
+        if not text or stack[-1].silent:
             return
         if place is None and not text.isspace():
-            inner = [e for e in stack if e.name in BREAKS]
-            top = stack[-1] if stack else Element("", 0, 0.0, 0.0, False, None)
-            place = (tuple(e.number for e in inner), top)
-            heading = any(e.name[0] == "h" and e.name[1:].isdigit() for e in inner)
-        if any(e.name == "a" for e in stack):
+            place = stack[-1]
+        if stack[-1].link:
             links += len(text.strip())
         parts.append(text)
 
+    def shut(first):
+        nonlocal shared
+        for e in stack[first:]:
+            open_names[e.name] -= 1
+        del stack[first:]
+        shared = min(shared, stack[-1].depth)
+
     at, end = 0, len(page)
     while at < end:
-        m = TOKEN.search(page, at)
-        if not m:
-            say(page[at:])
+        m = TOKEN.search(page, at) if at <= last_mark else None
+        if not m:  # no tag can end here any more; an open comment has the rest
+            say(page[at:].partition("<!--")[0])
             break
         say(page[at : m.start()])
         tag, at = m.group(), m.end()
@@ -157,30 +182,32 @@ def blocks_of(page: str) -> list[Block]:
         if name in BREAKS:
             flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    if place is not None and any(e.name in BREAKS for e in stack[k:]):
-                        flush()
-                    del stack[k:]
-                    break
+            if open_names[name]:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                if place is not None and stack[-1].depth > stack[k - 1].depth:
+                    flush()
+                shut(k)
             continue
         if name in VOID:
             continue
-        if name in BREAKS:  # a paragraph ends where a block begins
-            for k in range(len(stack) - 1, -1, -1):
+        if name in BREAKS and open_names["p"]:  # a paragraph ends where a block begins
+            for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == "p":
-                    del stack[k:]
+                    shut(k)
                     break
                 if stack[k].name in BREAKS:
                     break
         if name in CLOSES:
             ends, scope = CLOSES[name]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name in ends:
-                    del stack[k:]
-                    break
-                if stack[k].name in scope:
-                    break
+            if any(open_names[e] for e in ends):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].name in ends:
+                        shut(k)
+                        break
+                    if stack[k].name in scope:
+                        break
         if tag.endswith("/>") and name not in RAW:
             continue
         number += 1
@@ -188,7 +215,8 @@ def blocks_of(page: str) -> list[Block]:
             stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
-        stack.append(_element(name, tag, number, stack[-1] if stack else None))
+        stack.append(_element(name, tag, number, stack[-1]))
+        open_names[name] += 1
     flush()
     for block in found:
         block.features = features(block)
@@ -228,14 +256,9 @@ def fit(rows: list[list[float]], labels: list[int], ridge: float = 1.0) -> list[
     return weights.tolist()
 
 
-def kinship(a: tuple[int, ...], b: tuple[int, ...]) -> float:
+def kinship(before: Block, block: Block) -> float:
     """1 for blocks in one parent, less with every step between them in the tree."""
-    shared = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        shared += 1
-    return 1.0 / (1.0 + max(0, len(a) + len(b) - 2 * shared - 2) / 2)
+    return 1.0 / (1.0 + max(0, before.depth + block.depth - 2 * block.shared - 2) / 2)
 
 
 def label(blocks: list[Block], weights: list[float]) -> list[bool]:
@@ -246,15 +269,14 @@ def label(blocks: list[Block], weights: list[float]) -> list[bool]:
         looks = sum(w * f for w, f in zip(weights, b.features))
         cost.append(max(-2.5, min(2.5, looks)) + b.good - b.bad)
     edges: dict[tuple[int, int], float] = {}
-    last_child: dict[tuple[int, ...], int] = {}
+    last_child: dict[int, int] = {}
     for k, b in enumerate(blocks):
         if k:
-            edges[k - 1, k] = SMOOTH * kinship(blocks[k - 1].path, b.path)
-        parent = b.path[:-1]
-        before = last_child.get(parent)
+            edges[k - 1, k] = SMOOTH * kinship(blocks[k - 1], b)
+        before = last_child.get(b.parent)
         if before is not None and before != k - 1:
             edges[before, k] = edges.get((before, k), 0.0) + SMOOTH / 2
-        last_child[parent] = k
+        last_child[b.parent] = k
     near: list[dict[int, float]] = [{} for _ in range(n)]
     for (a, b), c in edges.items():
         near[a][b] = near[b][a] = c
