@@ -364,6 +364,146 @@ def test_secrets(spark, docs, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_equal_items(spark):
+    """Items of the same words are aligned once and all reported."""
+    rng = random.Random(4)
+    text = words(rng, 30)
+    bench = spark.createDataFrame([(k, text if k % 2 else text.upper() + "!") for k in range(200)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{words(rng, 60)} {text} {words(rng, 60)}"), (2, words(rng, 90))], "doc_id long, text string")
+    got = decontamination.contaminated(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["score"], r["first_word"]) for r in got) == [(1, k, 1.0, 60) for k in range(200)]
+
+
+def test_long_runs_and_many_lines(spark):
+    """Work on one text stays in proportion to its length."""
+    runs = ["." * 2_000_000, "a.b" * 400_000, "x" * 1_000_000, "- " * 300_000, f"{'.' * 500_000} token=a1b2c3d4e5f6a7b8c9d0"]
+    rows = [(i, text, None, f"s{i % 6}") for i, text in enumerate(runs)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r["name"] for r in secret_scan.candidates(frame).select("doc_id", "name").collect()}
+    assert found[4] == "token" and 0 not in found and 1 not in found and 3 not in found
+    lines = "\n".join("shared" if k % 2 else f"own {k}" for k in range(120_000))
+    rows = [(0, lines, None, "s0")] + [(i, "shared", None, f"s{i}") for i in range(1, 6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    one = line_spread.remove_boilerplate(frame, 5).where("doc_id = 0").first()
+    assert (one["n_lines"], len(one["removed"])) == (120_000, 60_000)
+    assert one["text"] == "\n".join(f"own {k}" for k in range(0, 120_000, 2))
+
+
+def test_broken_pages():
+    weights = [0.0] * 8
+    assert html_text.extract("<article>" + "<div>word " * 20_000, weights).count("word") == 20_000
+    assert html_text.extract("<article><p>text</p>" + "<a " * 100_000, weights).startswith("text")
+    assert html_text.extract("<div>" * 20_000 + "</x>" * 20_000 + "<article>end", weights) == "end"
+    assert html_text.extract("<article>shown <!-- not shown", weights) == "shown"
+
+
+def brute_language(rows):
+    """Texts' languages by the kernel's formula on plain sets; ``rows``: id, text, language."""
+    import numpy as np
+
+    def grams(text):
+        codes, found = [ord(c) for c in text.lower()], set()
+        for n in (1, 2, 3):
+            for i in range(len(codes) - n + 1):
+                value = 0
+                for code in codes[i : i + n]:
+                    value = value * 0x1000193 + code + 1
+                found.add((value + n) * 0x9E3779B97F4A7C15 % (1 << 64) >> 48)
+        return found
+
+    sets = {k: grams(t) for k, t, _ in rows if t and any(map(str.isalpha, t))}
+    known = sorted((lang, k) for k, _, lang in rows if lang and k in sets and zlib.crc32(str(k).encode()) % 5)
+    names = sorted({lang for lang, _ in known})
+    share = 160 // len(names)
+    marks = [k for name in names for k in [k for lang, k in known if lang == name][:share]]
+
+    def kernel(keys):
+        return np.array([[len(sets[a] & sets[b]) / np.sqrt(len(sets[a]) * len(sets[b])) for b in marks] for a in keys])
+
+    k_nm, labels = kernel([k for _, k in known]), [lang for lang, _ in known]
+    weight = np.array([1 / labels.count(x) for x in labels])[:, None]
+    target = np.array([[float(x == name) for name in names] for x in labels])
+    dual = np.linalg.solve(k_nm.T @ (k_nm * weight) + 1e-4 * kernel(marks) + 1e-9 * np.eye(len(marks)), k_nm.T @ (target * weight))
+    keys = sorted(sets)
+    scores = kernel(keys) @ dual
+    return {k: (names[row.argmax()], row.max()) for k, row in zip(keys, scores)}
+
+
+def test_pipeline_brute_force(spark):
+    """The whole pipeline on the small tables, each stage by its definition alone."""
+    import math
+
+    import numpy as np
+    import xxhash
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    items = [decontamination.words_of(r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    docs = {r["doc_id"]: r for r in table}
+    assert len(docs) == len(table)
+
+    told = brute_language([(r["doc_id"], r["text"], r["lang"]) for r in table])
+    got = {r["doc_id"]: r for r in language.identify(spark.read.parquet(f"{folder}/documents.parquet"), language.train(spark.read.parquet(f"{folder}/documents.parquet"))).collect()}
+    for k, (name, score) in told.items():
+        assert got[k]["lang_pred"] == name and abs(got[k]["score"] - min(1, max(0, score))) < 1e-3
+    kept = sorted(k for k, (_, score) in told.items() if score >= 0.1)
+
+    def fingerprint(text):
+        w = split(re.sub("[A-Z]", lambda m: m.group().lower(), text))
+        hashes = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))] if w else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    prints, parent = {k: fingerprint(docs[k]["text"]) for k in kept}, {k: k for k in kept}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in kept:
+        for b in kept:
+            if a < b and bin(prints[a] ^ prints[b]).count("1") <= 4:
+                low, high = sorted((top(a), top(b)))
+                parent[high] = low
+    kept = [k for k in kept if top(k) == k]
+
+    def clean(text):
+        numbers = {w: i for i, w in enumerate({w for item in items for w in item})}
+        passage = np.array([numbers.get(w, -1) for w in decontamination.words_of(text)], np.int64)
+        found = [decontamination.align(np.array([numbers[w] for w in item]), passage)[0] / len(item) for item in items if item]
+        return max(found, default=0) < 0.5
+
+    whole = kept
+    kept = [k for k in kept if clean(docs[k]["text"])]
+    assert len(kept) < len(whole)
+
+    sizes = {}
+    for k in kept:
+        sizes[docs[k]["source"]] = sizes.get(docs[k]["source"], 0) + len(docs[k]["text"]) + 1
+    encode, expected = Tokenizer.from_file(tokenizers.path("word_bpe_49k.json")).encode, []
+    for k in kept:
+        rate = sum(sizes.values()) / len(sizes) / sizes[docs[k]["source"]]
+        parts, copies = max(1, math.ceil(rate / 8)), 0
+        for part in range(1, parts + 1):
+            u = int(hashlib.md5(f"17:{k}:{part}".encode()).hexdigest()[:13], 16) / 2**52
+            mass = upto = math.exp(-rate / parts)
+            n = 0
+            while upto <= u:
+                n += 1
+                mass *= rate / parts / n
+                upto += mass
+            copies += n
+        ids = [*encode(docs[k]["text"], add_special_tokens=False).ids, 1]
+        expected += [(k, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] * copies
+    rows = sorted(corpus_pipeline.run(spark, folder).collect(), key=lambda r: r["start"])
+    assert sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows) == sorted(expected)
+    start = 0
+    for r in rows:
+        assert r["start"] == start
+        start += r["n_tokens"]
+
+
 def test_pipeline(spark):
     folder = "/root/testdata/sf0.001"
     table = spark.read.parquet(f"{folder}/documents.parquet")
