@@ -213,3 +213,38 @@ def train_scorer(spark: SparkSession, folder: str) -> DataFrame:
     return scorer.transform(missing_inputs(inputs, None)).select(
         "input_key", category_score(F.col("scores"), "Toxic").alias("toxic")
     )
+
+
+@query(
+    "embed_text_facts",
+    r"""SELECT doc_id, count(*) OVER (PARTITION BY text) AS copies, 64 AS size,
+               CASE WHEN regexp_matches(text, '[\p{L}\p{N}_]') THEN 1 ELSE 0 END::DOUBLE AS norm
+        FROM documents WHERE text IS NOT NULL""",
+)
+def embed_text_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal texts share one vector, every text has one, and vectors of texts with words have length 1."""
+    d = B.table(spark, folder, "documents").where("text IS NOT NULL")
+    d = d.select("doc_id", score_key("hashing", F.col("text")).alias("input_key"), F.col("text").alias("input"))
+    vectors = hashing_embedder(64).transform(missing_inputs(d.select("input_key", "input"), None))
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    facts = vectors.select("input_key", F.size("embedding").alias("size"), F.round(F.sqrt(squares), 3).alias("norm"))
+    facts = facts.join(d.groupBy("input_key").agg(F.count("*").alias("copies")), "input_key")
+    return d.join(facts, "input_key").select("doc_id", "copies", "size", "norm")
+
+
+@query(
+    "train_scorer_learns",
+    """SELECT toxic, count(*) AS documents, true AS learned
+       FROM documents JOIN labels USING (doc_id) GROUP BY toxic""",
+)
+def train_scorer_learns(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the labelled documents of each kind the trained scorer puts nine in ten or more on their side."""
+    d = B.table(spark, folder, "documents").join(B.table(spark, folder, "labels"), "doc_id")
+    d = d.select(score_key("own", F.col("text")).alias("input_key"), F.col("text").alias("input"), "toxic")
+    scorer = train_text_classifier(d.select(F.col("input").alias("text"), F.col("toxic").alias("label")), {0: "OK", 1: "Toxic"})
+    scored = scorer.transform(missing_inputs(d.select("input_key", "input"), None))
+    scored = scored.select("input_key", category_score(F.col("scores"), "Toxic").alias("score"))
+    right = ((F.col("score") >= 0.5) == (F.col("toxic") == 1)).cast("double")
+    return d.join(scored, "input_key").groupBy("toxic").agg(
+        F.count("*").alias("documents"), (F.avg(right) >= 0.9).alias("learned")
+    )
