@@ -216,7 +216,11 @@ def keep_one(docs: DataFrame, radius: int = 4, width: int = 4, seed: int = 42) -
 
     Of repeated rows with such an id one stays; rows without an id stay.
     """
-    found = near_duplicates(docs, radius, width, seed)
+    return keep_named(docs, near_duplicates(docs, radius, width, seed))
+
+
+def keep_named(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is its own ``component_id`` in ``found``, as in ``keep_one``."""
     named = checkpoint(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
     ids = named.select(F.col("doc_id").alias("__kept_id"))
     kept = docs.join(ids, docs["doc_id"].cast("long") == ids["__kept_id"], "left_semi")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from postsieve.llm import decontamination, embedding_links, html_text, language, line_spread, mixing, secret_scan
+from postsieve.llm import decontamination, embedding_links, html_text, language, line_spread, mixing, near_copies, secret_scan
 from postsieve.llm import simhash, substrings, token_files
 from postsieve.llm.graph import components
 
@@ -518,3 +518,45 @@ def test_pipeline(spark):
     for r in sorted(whole, key=lambda r: r["start"]):
         assert r["start"] == start
         start += r["n_tokens"]
+
+
+@pytest.mark.parametrize("group", [4096, 16])
+def test_near_copies(spark, empty, monkeypatch, group):
+    """Documents that share 0.8 of their five-word shingles are copies, however many bits differ."""
+    monkeypatch.setattr(near_copies, "GROUP", group)  # small groups: several tables, parts of groups
+    monkeypatch.setattr(near_copies, "TEXTS", 2048 if group == 4096 else 4)
+    rng, texts = random.Random(8), []
+    for n in [4, 12, 40, 150, 400] * 12:
+        text = words(rng, n).split()
+        texts.append(" ".join(text))
+        for edits in (n // 60, n // 45, n // 30, n // 20):
+            other = list(text)
+            for k in rng.sample(range(n), edits):
+                other[k] = "changed"
+            texts.append(" ".join(other) + rng.choice(["", " more", " more words"]))
+    texts += [texts[5].upper(), "", None, " \n"]
+    rows = [(i, t, "src") for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    rows += [rows[0], (None, texts[20], "src"), (None, None, "src")]
+
+    def grams(text):
+        w = split((text or "").lower())
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, parent = [grams(t) for t in texts], list(range(len(texts)))
+
+    def top(x):
+        return x if parent[x] == x else top(parent[x])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) > 0:
+                low, high = sorted((top(i), top(j)))
+                parent[high] = low
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.simhash_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    found = [r["doc_id"] for r in got.collect()]
+    assert found.count(None) == 2
+    assert sorted(i for i in found if i is not None) == [i for i in range(len(texts)) if top(i) == i]
+    assert corpus_pipeline.simhash_dedup(spark, empty, "").count() == 0
