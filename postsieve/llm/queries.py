@@ -130,6 +130,6 @@ def op7_html(spark, folder):
 def op5_secrets(spark, folder):
     rows = secret_scan.scan(read_table(spark, folder, "documents"))
     return rows.select(
-        "doc_id", "pos", "name", F.length("candidate").cast("long").alias("n_chars"),
+        "doc_id", "pos", "nth", "name", F.length("candidate").cast("long").alias("n_chars"),
         F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"), "probability",
     )

@@ -20,6 +20,10 @@ from postsieve.llm.common import typed, written
 RUN = "[A-Za-z0-9+/_=.@:-]"
 #: Tried only where a run starts, so that a very long run is read once.
 CANDIDATE = f"(?<!{RUN})(?=[A-Za-z+/_=.@:-]*+[0-9]){RUN}{{12,}}|[A-Za-z0-9+/_=-]{{16,}}"
+#: Name and value, or a run alone; in a word with a candidate every one of them is looked at.
+FINDING = (
+    rf"(?<!{RUN})(?:[+/=.@:-]*+([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?[=:]+[\"']?({RUN}{{8,}}+)|({RUN}{{8,}}+))"
+)
 #: Names that secrets are given, and words near things that only look like secrets.
 SECRET_NAME = "(?i)(pass(word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)$"
 INNOCENT = "(?i)^(example|sample|dummy|test|placeholder|version|license|isbn|doi|sha|md5|commit|checksum|hash|uuid)"
@@ -38,7 +42,7 @@ def share(pattern: str, text: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source``, ``pos`` (word number), ``name``, ``candidate``, words around, ``quoted``."""
+    """``doc_id``, ``source``, ``pos`` (word number), ``nth`` (in the word), ``name``, ``candidate``, words around, ``quoted``."""
     rows = typed(docs, doc_id="long", source="string", text="string").where(F.col("text").rlike(CANDIDATE))
     rows = rows.withColumn("words", F.split(F.btrim("text", F.lit(" \t\r\n\f\x0b")), r"[ \t\r\n\f\x0b]+"))
     places = F.filter(
@@ -56,19 +60,24 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.coalesce(F.get("words", F.col("pos") - 2), F.lit("")).alias("second"),
         F.coalesce(F.get("words", F.col("pos") + 1), F.lit("")).alias("after"),
     )
-    assigned = rf"^[^A-Za-z0-9_]*([A-Za-z_][A-Za-z0-9_.-]*)[\"']?[=:]+[\"']?({RUN}{{8,}})"
-    own, inner = F.regexp_extract("word", assigned, 1), F.regexp_extract("word", assigned, 2)
-    bare = F.regexp_extract("word", f"([A-Za-z0-9+/_]{RUN}{{7,}})", 1)
+    found = F.arrays_zip(*[
+        F.regexp_extract_all("word", F.lit(FINDING), k).alias(part) for k, part in enumerate(("own", "value", "bare"), 1)
+    ])
+    found = F.filter(found, lambda m: (m["value"] != "") | m["bare"].rlike(CANDIDATE))
+    rows = rows.select("*", F.posexplode(found).alias("nth", "m"))
     outer = F.when(F.col("before").isin("=", ":", ":="), F.col("second")).when(
         F.col("before").rlike("[=:]$"), F.col("before")
     )
-    name = F.when(own != "", own).otherwise(F.coalesce(outer, F.lit("")))
+    # The words before name the first finding of a word alone.
+    name = F.when(F.col("m.own") != "", F.col("m.own")).when(F.col("nth") == 0, F.coalesce(outer, F.lit(""))).otherwise("")
+    bare = F.regexp_extract("m.bare", f"([A-Za-z0-9+/_]{RUN}{{7,}})", 1)
     return rows.select(
         "doc_id",
         "source",
         "pos",
+        F.col("nth").cast("long").alias("nth"),
         F.regexp_replace(name, "[\"':=]+", "").alias("name"),
-        F.rtrim(F.when(inner != "", inner).otherwise(bare), F.lit(".:-")).alias("candidate"),
+        F.rtrim(F.when(F.col("m.value") != "", F.col("m.value")).otherwise(bare), F.lit(".:-")).alias("candidate"),
         "before",
         "second",
         "after",
@@ -118,7 +127,7 @@ def describe(docs: DataFrame) -> DataFrame:
     }
     rows = found.join(known, "candidate", "left")
     columns = [values[f].cast("double").alias(f) for f in FEATURES]
-    return written(rows.select("doc_id", "pos", "name", "candidate", *columns), "described")
+    return written(rows.select("doc_id", "pos", "nth", "name", "candidate", *columns), "described")
 
 
 def train(labelled: DataFrame, sample: int = 4000, trees: int = 30, depth: int = 7) -> RandomForestClassificationModel | None:
@@ -126,7 +135,7 @@ def train(labelled: DataFrame, sample: int = 4000, trees: int = 30, depth: int =
 
     At most ``sample`` findings of each label, chosen by a hash.  None unless both labels are there.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos", "nth")
     chosen = labelled.where(F.col("label").isin(0, 1)).withColumn("n", F.row_number().over(order))
     chosen = chosen.where(F.col("n") <= sample)
     chosen = written(chosen.select(F.col("label").cast("double").alias("label"), *FEATURES), "training")
@@ -142,15 +151,15 @@ def train(labelled: DataFrame, sample: int = 4000, trees: int = 30, depth: int =
 
 
 def judge(described: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
-    """``doc_id``, ``pos``, ``name``, ``candidate``, ``probability`` of every described finding.
+    """``doc_id``, ``pos``, ``nth``, ``name``, ``candidate``, ``probability`` of every described finding.
 
     Without a forest nothing is known to be false: ``probability`` is NULL.
     """
     if forest is None:
-        return described.select("doc_id", "pos", "name", "candidate", F.lit(None).cast("double").alias("probability"))
+        return described.select("doc_id", "pos", "nth", "name", "candidate", F.lit(None).cast("double").alias("probability"))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described)
     chance = vector_to_array("probability")[1]
-    return forest.transform(rows).select("doc_id", "pos", "name", "candidate", chance.alias("probability"))
+    return forest.transform(rows).select("doc_id", "pos", "nth", "name", "candidate", chance.alias("probability"))
 
 
 def weak_labels(described: DataFrame) -> DataFrame:
@@ -167,9 +176,9 @@ def weak_labels(described: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, labelled=weak_labels, least: float = 0.5) -> DataFrame:
-    """Findings the forest takes for secrets: ``doc_id``, ``pos``, ``name``, ``candidate``, ``probability``.
+    """Findings the forest takes for secrets: ``doc_id``, ``pos``, ``nth``, ``name``, ``candidate``, ``probability``.
 
-    ``labelled`` gives described findings a ``label``.  ``pos`` counts the words before; a secret
+    ``labelled`` gives described findings a ``label``.  ``pos`` counts the words before, ``nth`` the findings before in the word; a secret
     that stands in several places or repeated rows is reported each time.  NULL and empty texts
     have none; ids may be NULL; an empty table gives no rows.  Without findings of both labels all
     candidates are kept with a NULL probability.  ``doc_id``, ``source`` and ``text`` are read.
