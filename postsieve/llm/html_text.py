@@ -46,6 +46,13 @@ _GOOD = "article content main post entry story body text".split()
 BAD_NAMES, GOOD_NAMES = frozenset(_BAD), frozenset(_GOOD)
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 
+#: A class name with one of these parts says what a layout has, not what the element is.
+LAYOUT_PARTS = {"has", "with", "without", "no", "and"}
+#: Tags that also wrap whole pages.
+WRAPPER_TAGS = {"form", "fieldset"}
+#: A wrapper holds this share of a page's text.
+WRAPPER_SHARE = 0.8
+
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'<>]+)")
 
@@ -66,18 +73,34 @@ class Block:
     bad: float
     good: float
     marked: int | None = None
+    #: The innermost mark around the block.
+    mark: int = 0
     features: list[float] = field(default_factory=list)
 
 
+@dataclass(slots=True)
+class Mark:
+    """An element that is marked as boilerplate (``cost``) or as content (``fresh``: whatever is around it)."""
+
+    above: int
+    cost: float = 0.0
+    content: bool = False
+    fresh: bool = False
+    #: Whether it is no boilerplate if it turns out to hold most of the page.
+    wrapper: bool = False
+    #: Characters of text inside, and those of them under content elements and names.
+    chars: int = 0
+    content_chars: int = 0
+
+
 @dataclass(slots=True)
 class Element:
     """An open element, with what it has from the elements around it."""
 
     name: str = ""
-    bad: float = 0.0
     good: float = 0.0
     silent: bool = False
-    label: int | None = None
+    mark: int = 0
     #: Block elements open here, the number of the innermost and of the one above it.
     depth: int = 0
     block: int = 0
@@ -86,45 +109,69 @@ class Element:
     heading: bool = False
 
 
-def _element(name: str, tag: str, number: int, above: Element) -> Element:
-    bad, good, silent, label = above.bad, above.good, above.silent, above.label
+def bad_name(value: str, ignored: frozenset[str]) -> bool:
+    """Whether a name in a class or id says boilerplate.
+
+    A part counts anywhere, but not in names of layouts ("has-sidebar", "post-with-comments",
+    "content-sidebar-wrap": content first, and something else last).
+    """
+    for name in value.split():
+        parts = re.findall("[a-z]+", name)
+        if LAYOUT_PARTS.intersection(parts):
+            continue
+        for k, part in enumerate(parts):
+            if part in BAD_NAMES and part not in ignored:
+                if k == len(parts) - 1 or not GOOD_NAMES.intersection(parts[:k]):
+                    return True
+    return False
+
+
+def _element(name: str, tag: str, number: int, above: Element, marks: list[Mark]) -> Element:
+    good, silent = above.good, above.silent
+    cost, wrapper, content, named = 0.0, True, name in CONTENT_TAGS, False
     if name in BOILERPLATE_TAGS or (name == "header" and not good):
-        bad, label = max(bad, BAD_TAG_COST), 0
-    if name in CONTENT_TAGS:
+        cost, wrapper = BAD_TAG_COST, name in WRAPPER_TAGS
+    if content:
         good = max(good, GOOD_TAG_COST)
-        label = 1 if label is None else label
     if " " in tag or "\n" in tag or "\t" in tag:
         for m in ATTRIBUTE.finditer(tag, len(name) + 1, len(tag) - 1):
             key = (m.group(1) or m.group(5) or "").lower()
             value = next((v for v in m.groups()[1:4] if v is not None), "").lower()
             if key in ("class", "id") and name not in ("html", "body"):
-                names = set(re.findall(r"[a-z]+", value))
                 # Inside an article, a "post-header" is its heading.
-                wrong = names & BAD_NAMES - ({"header", "legal", "search"} if good else frozenset())
-                if wrong and name not in CONTENT_TAGS:
-                    bad, label = max(bad, BAD_NAME_COST), 0
-                elif names & GOOD_NAMES:
+                wrong = bad_name(value, frozenset({"header", "legal", "search"}) if good else frozenset())
+                if wrong and name in CONTENT_TAGS:
+                    named = True
+                elif wrong:
+                    cost = max(cost, BAD_NAME_COST)
+                elif GOOD_NAMES.intersection(re.findall(r"[a-z]+", value)):
                     good = max(good, GOOD_NAME_COST)
             elif key == "role":
                 if value in BAD_ROLES:
-                    bad, label = max(bad, BAD_TAG_COST), 0
+                    cost, wrapper = max(cost, BAD_TAG_COST), wrapper and value == "form"
                 elif value in ("main", "article"):
-                    good = max(good, GOOD_TAG_COST)
+                    good, content = max(good, GOOD_TAG_COST), True
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
                 key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
             ):
                 silent = True
+    mark = above.mark
+    if cost or content:
+        # An article named as a comment or the like stays in what is around it.
+        marks.append(Mark(mark, cost, content and not cost, content and not cost and not named, wrapper))
+        mark = len(marks) - 1
     depth, block, parent, heading = above.depth, above.block, above.parent, above.heading
     if name in BREAKS:
         depth, block, parent = depth + 1, number, block
         heading = heading or (name[0] == "h" and name[1:].isdigit())
-    return Element(name, bad, good, silent or name in SILENT, label, depth, block, parent, above.link or name == "a", heading)
+    return Element(name, good, silent or name in SILENT, mark, depth, block, parent, above.link or name == "a", heading)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; character references decoded, white space made single."""
     found: list[Block] = []
     root = Element()
+    marks = [Mark(0)]
     stack = [root]
     open_names: Counter[str] = Counter()
     parts: list[str] = []
@@ -139,7 +186,7 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 own = place
                 found.append(
-                    Block(text, own.depth, min(shared, own.depth), own.parent, links, own.heading, own.bad, own.good, own.label)
+                    Block(text, own.depth, min(shared, own.depth), own.parent, links, own.heading, 0.0, own.good, mark=own.mark)
                 )
                 shared = own.depth
         parts, links, place = [], 0, None
@@ -215,14 +262,47 @@ def blocks_of(page: str) -> list[Block]:
             stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
-        stack.append(_element(name, tag, number, stack[-1]))
+        stack.append(_element(name, tag, number, stack[-1], marks))
         open_names[name] += 1
     flush()
+    place_costs(found, marks)
     for block in found:
         block.features = features(block)
     return found
 
 
+def place_costs(blocks: list[Block], marks: list[Mark]) -> None:
+    """Sets ``bad`` and ``marked`` of the blocks from the marks around them.
+
+    The innermost content element counts from its start on, unless it lies in what can't wrap a page
+    (navigation, footers).  A form or a bad name around most of the page's text, with hardly any text
+    of content elements outside, wraps the page and costs nothing.
+    """
+    for b in blocks:
+        marks[b.mark].chars += len(b.text)
+        marks[b.mark].content_chars += len(b.text) if b.good else 0
+    for m in reversed(marks[1:]):
+        if m.content:
+            m.content_chars = m.chars
+        marks[m.above].chars += m.chars
+        marks[m.above].content_chars += m.content_chars
+    whole, content = marks[0].chars, marks[0].content_chars
+    # Of each mark: cost, label, whether all costs are those of wrappers.
+    state: list[tuple[float, int | None, bool]] = [(0.0, None, True)]
+    for m in marks[1:]:
+        cost, label, wrapper = state[m.above]
+        if m.content:
+            if label is None or (m.fresh and wrapper):
+                cost, label, wrapper = 0.0, 1, True
+        elif m.cost and not (
+            m.wrapper and m.chars >= WRAPPER_SHARE * whole and content - m.content_chars <= (1 - WRAPPER_SHARE) * content
+        ):
+            cost, label, wrapper = max(cost, m.cost), 0, wrapper and m.wrapper
+        state.append((cost, label, wrapper))
+    for b in blocks:
+        b.bad, b.marked, _ = state[b.mark]
+
+
 def features(block: Block) -> list[float]:
     """What the text alone says: length, links, sentence ends, commas, capitals, digits, heading."""
     text, n = block.text, max(1, len(block.text))

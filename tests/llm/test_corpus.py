@@ -583,3 +583,34 @@ def test_many_secrets_in_a_word(spark):
     assert found[3] == [("token", "abcdef123456"), ("", "ghijkl789012")]
     assert found[4] == [("password", "hunter2hunter")]
     assert found[5][-1] == ("k", "abcdef123456")
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<div class='content-sidebar-wrap'>", "</div>"),
+        ("<div id='page' class='has-sidebar'>", "</div>"),
+        ("<div class='post-with-comments'>", "</div>"),
+        ("<div class='widget'>", "</div>"),
+        ("<form action='x.aspx' id='aspnetForm'>", "</form>"),
+    ],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrapped_pages(start, end, inner):
+    """A bad name or a form around the whole page doesn't make its text boilerplate."""
+    looks = [0.5] + [0.0] * 7
+    text = "A long sentence of the article, which has words enough. " * 12
+    page = f"""<body>{start}<nav>Home News</nav><{inner}><p>{text}</p><p>{text}</p></{inner}>
+    <div class='sidebar'>More to read</div><div class='comments'><article class='comment'>I like it.</article></div>
+    <aside><article>Other news</article></aside><footer>Imprint</footer>{end}</body>"""
+    got = html_text.extract(page, looks)
+    assert got.count("A long sentence") == 24
+    assert not any(x in got for x in ("Home", "More to read", "I like it", "Other news", "Imprint"))
+    marked = {b.text[:6]: b.marked for b in html_text.blocks_of(page)}
+    assert marked["A long"] == (1 if inner == "article" else None) and marked["I like"] == marked["Home N"] == 0
+
+
+def test_large_comments():
+    """Comments longer than the article stay boilerplate."""
+    page = f"<article><p>The article.</p></article><div class='comments'>{'<p>Many words of a comment.</p>' * 50}</div>"
+    assert html_text.extract(page, [0.5] + [0.0] * 7) == "The article."
