@@ -12,6 +12,7 @@ from postsieve.llm.html_text import main_text
 from postsieve.llm.language import identify, train
 from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
+from postsieve.llm.periodic_runs import periodic_runs
 from postsieve.llm.simhash import near_duplicates
 from postsieve.llm.substrings import remove_repeats
 from postsieve.llm.token_files import read_token_files, write_token_files
@@ -133,3 +134,34 @@ def op5_secrets(spark, folder):
         "doc_id", "pos", "nth", "name", F.length("candidate").cast("long").alias("n_chars"),
         F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"), "probability",
     )
+
+
+def looped(docs):
+    """``doc_id`` and ``text``, where the end of every tenth document repeats a stretch of its words.
+
+    Rows without an id, and texts without words, stay as they are.
+    """
+    split = F.expr(r"filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '')")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    rows = rows.withColumn("n", F.nullif(F.size("words"), F.lit(0)).cast("long"))
+    rows = rows.withColumn("a", F.col("g") % F.col("n"))
+    rows = rows.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    turned = F.expr("transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)]))")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@corpus_query("op12_runs")
+def op12_runs(spark, folder):
+    found = periodic_runs(looped(read_table(spark, folder, "documents")), least=24, times=3)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    lines = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    # Of equal exponents the smallest start, then period, comes first, as in the list itself.
+    more = F.expr("reduce(slice(runs, 2, size(runs)), runs[0], (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    best = F.when(F.size("runs") > 0, more)
+    return found.withColumn("best", best).select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
