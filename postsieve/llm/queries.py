@@ -13,6 +13,7 @@ from postsieve.llm.language import identify, train
 from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
 from postsieve.llm.periodic_runs import periodic_runs
+from postsieve.llm.phrases import mine_phrases
 from postsieve.llm.simhash import near_duplicates
 from postsieve.llm.substrings import remove_repeats
 from postsieve.llm.token_files import read_token_files, write_token_files
@@ -165,3 +166,47 @@ def op12_runs(spark, folder):
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words FROM (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents)) WHERE len(words) > 0
+), placed AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), grams AS (
+  SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, k
+  FROM placed, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(words)
+), counted AS (
+  SELECT lang, phrase, any_value(k) AS k, count(*) AS f FROM grams GROUP BY lang, phrase
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f, j,
+         array_to_string(string_split(c.phrase, ' ')[1:j], ' ') AS front, array_to_string(string_split(c.phrase, ' ')[j + 1:], ' ') AS back
+  FROM counted c, (SELECT unnest([1, 2]) AS j) WHERE c.k >= 2 AND c.f >= 10 AND j < c.k
+), scored AS (
+  SELECT x.lang, x.phrase, x.k, x.f AS a, j, p.f AS l, q.f AS r, (1000000::HUGEINT * x.f * x.f) // (p.f::HUGEINT * q.f) AS score
+  FROM cuts x JOIN counted p ON p.lang = x.lang AND p.phrase = x.front JOIN counted q ON q.lang = x.lang AND q.phrase = x.back
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM scored
+), candidates AS (SELECT * FROM lowest WHERE nth = 1
+), parts AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[half:half + 1], ' ') AS phrase, max(a) AS around
+  FROM candidates, (SELECT unnest([1, 2]) AS half) WHERE k = 3 GROUP BY 1, 2
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN parts p ON c.k = 2 AND p.lang = c.lang AND p.phrase = c.phrase
+  WHERE p.around IS NULL OR 100::HUGEINT * p.around < 50::HUGEINT * c.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@corpus_query("op13_phrases", PHRASES_SQL)
+def op13_phrases(spark, folder):
+    rows = mine_phrases(read_table(spark, folder, "documents"), longest=3, least=10, inside=50, count=2000)
+    return rows.select("lang", "rank", F.col("words").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
