@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from postsieve.llm import html_text, secret_scan
@@ -9,6 +12,8 @@ from postsieve.llm.common import QUERIES, ORACLES, corpus_query, read_table, sha
 from postsieve.llm.decontamination import contaminated
 from postsieve.llm.embedding_links import link_vectors
 from postsieve.llm.html_text import main_text
+from postsieve.llm.improbable import Digester, likeness, rarity
+from postsieve.llm.in_order import in_order
 from postsieve.llm.language import identify, train
 from postsieve.llm.line_spread import remove_boilerplate
 from postsieve.llm.mixing import mix
@@ -210,3 +215,49 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 def op13_phrases(spark, folder):
     rows = mine_phrases(read_table(spark, folder, "documents"), longest=3, least=10, inside=50, count=2000)
     return rows.select("lang", "rank", F.col("words").cast("string").alias("phrase"), "a", "l", "r", "n", "score")
+
+
+#: Windows (bytes, about) of a range of documents, and bytes fingerprinted together.
+RANGE, GROUP = 16_000_000, 1_000_000
+
+
+@corpus_query("op11_fingerprints")
+def op11_fingerprints(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    ranks, windows = rarity(docs)
+
+    def run(rows):
+        digester, held, size, first = Digester(ranks), [], 0, None
+
+        def answers():
+            """The held rows but the last, which is the others' successor alone."""
+            texts = [text.encode("utf-8", "surrogatepass") for _, text, _ in held]
+            edited = []
+            for (_, text, _), (_, after, _) in zip(held, held[1:]):
+                gone = len(text) // 4
+                edited.append((text[: len(text) - gone] + after[:gone]).encode("utf-8", "surrogatepass"))
+            own = digester.fingerprints(texts if first is None else texts[1:])
+            own = own if first is None else [first, *own]
+            other = digester.fingerprints(edited)
+            columns = {
+                "doc_id": pa.array([key for key, _, _ in held[:-1]], pa.int64()),
+                "n_chars": pa.array([len(text) for _, text, _ in held[:-1]], pa.int64()),
+                "edited_sha256": [hashlib.sha256(text).hexdigest() for text in edited],
+                "fingerprint": own[:-1],
+                "edited_fingerprint": other,
+                "near_edited": [likeness(a, b) for a, b in zip(own, other)],
+                "near_next": [likeness(a, b) for a, b in zip(own, own[1:])],
+            }
+            return pa.RecordBatch.from_pydict(columns), own[-1]
+
+        for row in rows:
+            held.append(row)
+            size += len(row[1])
+            if len(held) > 1 and (size > GROUP or row[2]):
+                batch, first = answers()
+                yield batch
+                held, size = held[-1:], len(row[1])
+
+    kind = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    ranges = max(spark.sparkContext.defaultParallelism, -(-windows // RANGE))
+    return in_order(docs, ranges, run, kind)
