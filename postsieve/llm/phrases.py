@@ -5,18 +5,22 @@ in the order of the places.  It is stored in chunks of about ``CHUNK`` bytes of
 the chunk's own group numbers, with marks between pieces, and a table of these groups.  A length is
 
 1. counted: every chunk gives its groups with their counts, and Spark sums them over all chunks;
-2. cut to the frequent groups, by a semi-join of the chunks' groups with the counted ones;
+2. cut to the frequent groups, by a semi-join of the chunks' groups with the counted ones (a group
+   that is frequent within its chunk needs none, so the hottest groups don't meet in the join);
 3. extended: the relation is merge-joined with itself by piece and adjacent position.  Both sides
    are sorted alike, so the join is a walk along the array; a place goes on only if the groups at
    it and at the next place are frequent, since a phrase is never more frequent than its parts.
 
-A group of length ``k + 1`` is the pair of its first and its last ``k`` words, both frequent groups
-of length ``k``, so no words travel beyond the first length.  Counts of all first and last parts
-come along with these pairs.  A phrase that a third of all documents share is a row a chunk.
+Chunks are stored as checkpoints, which are read row by row: their values are large, and a columnar
+reader would hold many at once.  Words are strings for the first length alone; then 64-bit hashes stand for the frequent words, after
+a check that no two of these share one (else all is hashed anew with another seed).
 """
 
 from __future__ import annotations
 
+import itertools
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +29,9 @@ from postsieve.llm.common import checkpoint, typed, written
 from postsieve.llm.periodic_runs import _Numbers
 
 #: Bytes of text in a chunk; texts are cut between pieces, a longer piece is a chunk of its own.
-CHUNK = 4_000_000
+CHUNK = 8_000_000
+#: Rows of groups handed over at once.
+ROWS = 1 << 15
 #: Rows one task ranks, about.
 RANKED = 200_000
 #: No UTF-8 text holds this byte: it marks the end of a piece.
@@ -33,7 +39,7 @@ _MARK = b"\xff"
 #: ASCII letters in lower case, and what ends a piece.
 _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_PACKED = "chunk long, relation binary, size long"
+_CHUNKS = "chunk long, relation binary, size long, counts binary, table binary"
 
 
 def _pack(values) -> list:
@@ -63,130 +69,161 @@ def pieces_of(text: bytes) -> list[bytes]:
     return [*parts, text[start:]]
 
 
-def word_relation(docs: DataFrame) -> DataFrame:
-    """Chunks of the words of one language each: ``lang``, the relation, and the words with counts."""
+class _Held:
+    """Texts of one language on their way into a chunk: the numbers of their words, 0 for a mark."""
+
+    def __init__(self):
+        self.numbers, self.arrays, self.size = _Numbers({_MARK: 0}), [], 0
+
+    def add(self, part: bytes) -> None:
+        import numpy as np
+
+        tokens = part.replace(_MARK, b" \xff ").split()
+        self.arrays.append(np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens)))
+        self.arrays.append(np.zeros(1, np.int32))
+        self.size += len(part) + 1
 
-    def chunk(number, lang, parts):
+    def row(self, number: int, lang: str, seed: int) -> pa.RecordBatch:
         import numpy as np
+        import xxhash
 
-        tokens = _MARK.join(parts).replace(_MARK, b" \xff ").split()
-        numbers = _Numbers({_MARK: 0})
-        relation = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)) - 1
-        counts = np.bincount(relation + 1, minlength=len(numbers))[1:]
-        words = b"\n".join(list(numbers)[1:])
-        names = "chunk relation size lang words counts n_words"
-        rest = [pa.array([lang], pa.string()), [words], [counts.astype("<i4").tobytes()], [int(counts.sum())]]
-        return _batch(names, [[number], *_pack(relation), *rest])
+        relation = np.concatenate(self.arrays) - 1
+        counts = np.bincount(relation + 1, minlength=len(self.numbers))[1:]
+        words, front = list(self.numbers)[1:], (lang or "").encode("utf-8", "surrogatepass") + b"\n"
+        table = np.array([xxhash.xxh64_intdigest(front + w, seed) for w in words], np.uint64)
+        names = "chunk relation size counts table lang words bytes n_words"
+        joined = b"\n".join(words)
+        coded = [[pa.Codec("zstd", 1).compress(joined, asbytes=True)], [len(joined)]]
+        rest = [[counts.astype("<i4").tobytes()], [table.tobytes()], pa.array([lang], pa.string())]
+        return _batch(names, [[number], *_pack(relation), *rest, *coded, [int(counts.sum())]])
+
+
+def word_relation(docs: DataFrame, seed: int) -> DataFrame:
+    """Chunks of the words of one language each: the relation, and the words with counts and hashes."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        number, held, sizes = TaskContext.get().partitionId() << 32, {}, {}
+        number, held, total = TaskContext.get().partitionId() << 32, {}, 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for part in pieces_of(text.as_py() or b""):
-                    held.setdefault(lang, []).append(part)
-                    sizes[lang] = sizes.get(lang, 0) + len(part) + 1
+                    held.setdefault(lang, _Held()).add(part)
+                    total += len(part) + 1
                     # Many languages share a task's memory: the largest goes first.
-                    most = max(sizes, key=sizes.get) if sum(sizes.values()) > 4 * CHUNK else lang
-                    if sizes[most] >= CHUNK or most != lang:
-                        yield chunk(number, most, held.pop(most))
+                    most = max(held, key=lambda x: held[x].size) if total > 4 * CHUNK else lang
+                    if most != lang or held[most].size >= CHUNK:
+                        full = held.pop(most)
+                        total -= full.size
+                        yield full.row(number, most, seed)
                         number += 1
-                        del sizes[most]
-        for lang, parts in held.items():
-            yield chunk(number, lang, parts)
+        for lang, rest in held.items():
+            yield rest.row(number, lang, seed)
             number += 1
 
-    kind = f"{_PACKED}, lang string, words binary, counts binary, n_words long"
+    kind = f"{_CHUNKS}, lang string, words binary, bytes long, n_words long"
     return typed(docs, lang="string", text="binary").mapInArrow(run, kind)
 
 
+def _slices(rows: pa.RecordBatch):
+    for first in range(0, rows.num_rows, ROWS):
+        yield rows.slice(first, ROWS)
+
+
 def word_groups(chunks: DataFrame) -> DataFrame:
-    """A row for each word of each chunk: ``chunk``, ``slot`` (its number there), ``lang``, ``word``, ``n``."""
+    """A row for each word of each chunk: ``chunk``, ``slot`` (its number there), ``n``, ``lang``, ``word``, ``w1``."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 counts = np.frombuffer(row["counts"], "<i4")
                 if len(counts):
-                    words = pa.array(row["words"].split(b"\n"), pa.binary())
+                    joined = pa.decompress(row["words"], row["bytes"], codec="zstd", asbytes=True)
+                    words = pa.array(joined.split(b"\n"), pa.binary())
                     same = pa.array([row["lang"]] * len(counts), pa.string())
-                    fixed = np.full(len(counts), row["chunk"])
-                    yield _batch("chunk slot lang word n", [fixed, np.arange(len(counts)), same, words, counts.astype(np.int64)])
+                    fixed, hashes = np.full(len(counts), row["chunk"]), np.frombuffer(row["table"], "<i8")
+                    yield from _slices(_batch("chunk slot n lang word w1", [fixed, np.arange(len(counts)), counts, same, words, hashes]))
 
-    kind = "chunk long, slot long, lang string, word binary, n long"
-    return chunks.select("chunk", "lang", "words", "counts").mapInArrow(run, kind)
+    kind = "chunk long, slot long, n int, lang string, word binary, w1 long"
+    return chunks.select("chunk", "counts", "table", "lang", "words", "bytes").mapInArrow(run, kind)
 
 
-def pair_groups(chunks: DataFrame) -> DataFrame:
-    """A row for each group of each chunk: ``chunk``, ``slot``, its two parts ``left`` and ``right``, ``n``."""
+def long_groups(chunks: DataFrame, length: int) -> DataFrame:
+    """A row for each group of each chunk: ``chunk``, ``slot``, ``n`` and its words ``w1``, ``w2`` ..."""
+    names = [f"w{i + 1}" for i in range(length)]
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            for row in batch.to_pylist():
-                left, right, counts = (np.frombuffer(row[c], "<i8") for c in ("lefts", "rights", "counts"))
-                if len(left):
-                    yield _batch("chunk slot left right n", [np.full(len(left), row["chunk"]), np.arange(len(left)), left, right, counts])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                counts = np.frombuffer(row["counts"], "<i4")
+                if len(counts):
+                    table = np.frombuffer(row["table"], "<i8").reshape(length, -1)
+                    fixed = np.full(len(counts), row["chunk"])
+                    yield from _slices(_batch(" ".join(["chunk slot n", *names]), [fixed, np.arange(len(counts)), counts, *table]))
 
-    kind = "chunk long, slot long, left long, right long, n long"
-    return chunks.select("chunk", "lefts", "rights", "counts").mapInArrow(run, kind)
+    kind = "chunk long, slot long, n int, " + ", ".join(f"{w} long" for w in names)
+    return chunks.select("chunk", "counts", "table").mapInArrow(run, kind)
 
 
 def frequent(groups: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
-    """Counted groups that occur ``least`` times over all chunks, each with an ``id``, stored."""
-    counted = groups.groupBy(*by).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return written(counted.withColumn("id", F.monotonically_increasing_id()), name)
+    """The groups that occur ``least`` times over all chunks, with their count ``a``, stored."""
+    return written(groups.groupBy(*by).agg(F.sum("n").alias("a")).where(F.col("a") >= least), name)
 
 
-def told(groups: DataFrame, counted: DataFrame, by: list[str]) -> DataFrame:
-    """The frequent groups of each chunk, as ``told``: a list that the chunk's own table bounds."""
-    found = groups.join(counted.select(*by, "id"), by).select("chunk", "slot", "id")
-    return found.groupBy("chunk").agg(F.collect_list(F.struct("slot", "id")).alias("told"))
+def told(groups: DataFrame, counted: DataFrame, by: list[str], least: int) -> DataFrame:
+    """The frequent groups of each chunk that it can't tell by itself: a list its own table bounds."""
+    found = groups.where(F.col("n") < least).join(counted.select(*by), by, "left_semi")
+    return found.groupBy("chunk").agg(F.collect_list("slot").alias("told"))
 
 
-def extended(chunks: DataFrame, answers: DataFrame) -> DataFrame:
-    """The relation one word longer: places where this and the next place hold frequent groups."""
+def extended(chunks: DataFrame, answers: DataFrame, length: int, least: int) -> DataFrame:
+    """The relation of ``length`` words: places where this and the next place hold frequent groups."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            relations, answers = batch.select(["chunk", "relation", "size"]).to_pylist(), batch.column("told")
-            for row, answer in zip(relations, answers):
-                relation, flat = _unpack(row), answer.values
-                ids = np.full(int(relation.max(initial=-1)) + 2, -1, np.int64)
-                ids[flat.field("slot").to_numpy()] = flat.field("id").to_numpy()
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).select(["chunk", "relation", "size", "counts", "table"]).to_pylist()[0]
+                answer, relation, counts = batch.column("told")[i], _unpack(row), np.frombuffer(row["counts"], "<i4")
+                table = np.frombuffer(row["table"], "<i8").reshape(length - 1, -1)
                 # The last entry answers for marks and for places without a group.
+                is_frequent = np.append(counts >= least, False)
+                if answer.is_valid:
+                    is_frequent[answer.values.to_numpy()] = True
                 left, right = relation[:-1], relation[1:]
-                goes_on = (ids[left] >= 0) & (ids[right] >= 0)
-                base = len(ids)
-                pairs = left[goes_on].astype(np.int64) * base + right[goes_on]
+                goes_on = is_frequent[left] & is_frequent[right]
+                pairs = left[goes_on].astype(np.int64) * len(is_frequent) + right[goes_on]
                 found, slots, counts = np.unique(pairs, return_inverse=True, return_counts=True)
                 longer = np.full(max(0, len(relation) - 1), -1, np.int32)
                 longer[goes_on] = slots
-                table = [ids[found // base], ids[found % base], counts.astype("<i8")]
-                names = "chunk relation size lefts rights counts"
-                yield _batch(names, [[row["chunk"]], *_pack(longer), *[[c.tobytes()] for c in table]])
+                first, last = found // len(is_frequent), found % len(is_frequent)
+                words = np.concatenate([table[:, first], table[-1:, last]])
+                rest = [[counts.astype("<i4").tobytes()], [words.astype("<i8").tobytes()]]
+                yield _batch("chunk relation size counts table", [[row["chunk"]], *_pack(longer), *rest])
 
-    kind = f"{_PACKED}, lefts binary, rights binary, counts binary"
-    return chunks.select("chunk", "relation", "size").join(answers, "chunk").mapInArrow(run, kind)
+    joined = chunks.select("chunk", "relation", "size", "counts", "table").join(answers, "chunk", "left")
+    return joined.mapInArrow(run, _CHUNKS)
 
 
-def parted(counted: DataFrame, shorter: DataFrame) -> DataFrame:
+def parted(counted: DataFrame, shorter: DataFrame, length: int) -> DataFrame:
     """Groups with their words and the counts of their first and last parts, by the length of the part."""
+    by = [f"w{i + 1}" for i in range(length)]
     first = shorter.select(
-        F.col("id").alias("left"), "lang", F.col("words").alias("front"),
-        F.concat("firsts", F.array("a")).alias("firsts"),
+        *by[:-1], "lang", F.col("words").alias("front"), F.concat("firsts", F.array("a")).alias("firsts")
     )
     last = shorter.select(
-        F.col("id").alias("right"), F.slice("words", -1, 1).alias("back"), F.concat("lasts", F.array("a")).alias("lasts")
+        *[F.col(old).alias(new) for old, new in zip(by, by[1:])],
+        F.slice("words", -1, 1).alias("back"), F.concat("lasts", F.array("a")).alias("lasts"),
     )
-    rows = counted.join(first, "left").join(last, "right")
-    return rows.select("id", "lang", F.concat("front", "back").alias("words"), "a", "firsts", "lasts", "left", "right")
+    rows = counted.join(first, by[:-1]).join(last, by[1:])
+    return rows.select(*by, "lang", F.concat("front", "back").alias("words"), "a", "firsts", "lasts")
 
 
 def lowest_cut(scale: int = 1_000_000):
@@ -239,25 +276,30 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, inside: int
     NULL and empty texts have no words; repeated rows count each; ``doc_id`` and other columns are
     not read; an empty table gives no rows.
     """
+    if longest < 2:
+        raise ValueError("a phrase has two words at least")
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), docs["text"].alias("text"))
-    chunks = written(word_relation(rows), "words")
+    by = ["lang", "word", "w1"]
+    for seed in itertools.count():
+        chunks = checkpoint(word_relation(rows, seed))
+        groups = word_groups(chunks)
+        counted = frequent(groups, by, least, "frequent-1")
+        if counted.groupBy("w1").count().where("count > 1").isEmpty():
+            break
     totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    groups, by = word_groups(chunks), ["lang", "word"]
-    counted = frequent(groups, by, least, "frequent-1")
     nothing = F.array().cast("array<bigint>")
-    known = counted.select("id", "lang", F.array("word").alias("words"), "a", nothing.alias("firsts"), nothing.alias("lasts"))
-    candidates, shorter = None, None
+    shorter = counted.select("w1", "lang", F.array("word").alias("words"), "a", nothing.alias("firsts"), nothing.alias("lasts"))
+    candidates = []
     for length in range(2, longest + 1):
-        chunks = written(extended(chunks, told(groups, counted, by)), f"relation-{length}")
-        groups, by = pair_groups(chunks), ["left", "right"]
+        chunks = checkpoint(extended(chunks, told(groups, counted, by, least), length, least))
+        groups, by = long_groups(chunks, length), [f"w{i + 1}" for i in range(length)]
         counted = frequent(groups, by, least, f"frequent-{length}")
-        found = written(parted(counted, known), f"phrases-{length}")
-        if shorter is not None:
-            candidates = _add(candidates, _outermost(shorter, found, inside))
-        shorter = known = found
-    if shorter is None:
-        raise ValueError("a phrase has two words at least")
-    candidates = _add(candidates, shorter.drop("left", "right"))
+        longer = written(parted(counted, shorter, length), f"phrases-{length}")
+        if length > 2:
+            candidates.append(_outermost(shorter, longer, length, inside))
+        shorter = longer
+    columns = ["lang", "words", "a", "firsts", "lasts"]
+    candidates = reduce(DataFrame.unionByName, [c.select(*columns) for c in [*candidates, shorter]])
     scored = candidates.withColumn("cut", lowest_cut()).withColumn("cut", F.struct("cut.score", (F.col("cut.k") + 1).alias("k"), "cut.l", "cut.r"))
     scored = scored.select("lang", _joined("words").alias("words"), "a", "cut.*")
     order = [F.desc("score"), F.desc("a"), F.asc("words")]
@@ -274,17 +316,15 @@ def _joined(words: str):
     )
 
 
-def _add(rows: DataFrame | None, more: DataFrame) -> DataFrame:
-    return more if rows is None else rows.unionByName(more)
-
-
-def _outermost(shorter: DataFrame, longer: DataFrame, inside: int) -> DataFrame:
-    """``shorter`` without the phrases inside a longer one that occurs ``inside`` percent as often.
+def _outermost(shorter: DataFrame, longer: DataFrame, length: int, inside: int) -> DataFrame:
+    """``shorter`` without the phrases inside one of ``length`` words that occurs ``inside`` percent as often.
 
     A still longer phrase occurs no more often than one a word longer, so that length decides.
     """
-    parts = longer.select(F.explode(F.array("left", "right")).alias("id"), F.col("a").alias("around"))
-    most = parts.groupBy("id").agg(F.max("around").alias("around"))
-    rows = shorter.join(most, "id", "left")
+    by = [f"w{i + 1}" for i in range(length)]
+    halves = F.array(*[F.struct(*[F.col(w).alias(name) for name, w in zip(by, part)]) for part in (by[:-1], by[1:])])
+    parts = longer.select(F.explode(halves).alias("part"), F.col("a").alias("around"))
+    most = parts.groupBy(*[F.col(f"part.{w}").alias(w) for w in by[:-1]]).agg(F.max("around").alias("around"))
+    rows = shorter.join(most, by[:-1], "left")
     gone = F.col("around").cast("decimal(19,0)") * 100 >= F.col("a").cast("decimal(19,0)") * inside
-    return rows.where(~F.coalesce(gone, F.lit(False))).drop("around", "left", "right")
+    return rows.where(~F.coalesce(gone, F.lit(False)))
