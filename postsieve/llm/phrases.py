@@ -5,15 +5,20 @@ in the order of the places.  It is stored in chunks of about ``CHUNK`` bytes of
 the chunk's own group numbers, with marks between pieces, and a table of these groups.  A length is
 
 1. counted: every chunk gives its groups with their counts, and Spark sums them over all chunks;
-2. cut to the frequent groups, by a semi-join of the chunks' groups with the counted ones (a group
-   that is frequent within its chunk needs none, so the hottest groups don't meet in the join);
+2. cut to the frequent groups, by a semi-join of the chunks' groups with the counted ones; places of
+   other groups become gaps, and the relation is stored anew;
 3. extended: the relation is merge-joined with itself by piece and adjacent position.  Both sides
    are sorted alike, so the join is a walk along the array; a place goes on only if the groups at
    it and at the next place are frequent, since a phrase is never more frequent than its parts.
 
+A group that is frequent within its chunk needs no join.  For the others a chunk asks a Bloom filter
+of the counted groups, up to ``FILTER`` of them (64 MB), and a shuffled semi-join beyond.  The few
+groups a filter lets through wrongly change nothing: only counted groups become phrases.
+
 Chunks are stored as checkpoints, which are read row by row: their values are large, and a columnar
-reader would hold many at once.  Words are strings for the first length alone; then 64-bit hashes stand for the frequent words, after
-a check that no two of these share one (else all is hashed anew with another seed).
+reader would hold many at once.  Words are strings for the first length alone; then 64-bit hashes
+stand for the frequent words, after a check that no two of these share one (else all is hashed anew
+with another seed).
 """
 
 from __future__ import annotations
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import checkpoint, typed, written
-from postsieve.llm.periodic_runs import _Numbers
+from postsieve.llm.periodic_runs import _Numbers, spread_bits
 
 #: Bytes of text in a chunk; texts are cut between pieces, a longer piece is a chunk of its own.
 CHUNK = 8_000_000
 #: Rows of groups handed over at once.
 ROWS = 1 << 15
+#: Groups in a Bloom filter at most, of 16 bits or more each.
+FILTER = 1 << 25
 #: Rows one task ranks, about.
 RANKED = 200_000
 #: No UTF-8 text holds this byte: it marks the end of a piece.
@@ -39,18 +46,14 @@ _MARK = b"\xff"
 #: ASCII letters in lower case, and what ends a piece.
 _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_CHUNKS = "chunk long, relation binary, size long, counts binary, table binary"
-
 
-def _pack(values) -> list:
-    data = values.astype("<i4").tobytes()
-    return [[pa.Codec("zstd", 1).compress(data, asbytes=True)], [len(data)]]
 
+def _zip(data: bytes) -> bytes:
+    return pa.Codec("zstd", 1).compress(data, asbytes=True)
 
-def _unpack(row):
-    import numpy as np
 
-    return np.frombuffer(pa.decompress(row["relation"], row["size"], codec="zstd", asbytes=True), "<i4")
+def _unzip(row: dict, name: str) -> bytes:
+    return pa.decompress(row[name], row[f"{name}_size"], codec="zstd", asbytes=True)
 
 
 def _batch(names: str, columns: list) -> pa.RecordBatch:
@@ -83,23 +86,19 @@ class _Held:
         self.arrays.append(np.zeros(1, np.int32))
         self.size += len(part) + 1
 
-    def row(self, number: int, lang: str, seed: int) -> pa.RecordBatch:
+    def row(self, number: int, lang: str) -> pa.RecordBatch:
         import numpy as np
-        import xxhash
 
-        relation = np.concatenate(self.arrays) - 1
-        counts = np.bincount(relation + 1, minlength=len(self.numbers))[1:]
-        words, front = list(self.numbers)[1:], (lang or "").encode("utf-8", "surrogatepass") + b"\n"
-        table = np.array([xxhash.xxh64_intdigest(front + w, seed) for w in words], np.uint64)
-        names = "chunk relation size counts table lang words bytes n_words"
-        joined = b"\n".join(words)
-        coded = [[pa.Codec("zstd", 1).compress(joined, asbytes=True)], [len(joined)]]
-        rest = [[counts.astype("<i4").tobytes()], [table.tobytes()], pa.array([lang], pa.string())]
-        return _batch(names, [[number], *_pack(relation), *rest, *coded, [int(counts.sum())]])
+        relation = (np.concatenate(self.arrays) - 1).astype("<i4").tobytes()
+        words = b"\n".join(list(self.numbers)[1:])
+        names = "chunk lang n_words relation relation_size words words_size"
+        n_words = sum(int((a > 0).sum()) for a in self.arrays)
+        rest = [[n_words], [_zip(relation)], [len(relation)], [_zip(words)], [len(words)]]
+        return _batch(names, [[number], pa.array([lang], pa.string()), *rest])
 
 
-def word_relation(docs: DataFrame, seed: int) -> DataFrame:
-    """Chunks of the words of one language each: the relation, and the words with counts and hashes."""
+def word_relation(docs: DataFrame) -> DataFrame:
+    """Chunks of the words of one language each: the relation, and the words it counts on."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -115,60 +114,68 @@ def word_relation(docs: DataFrame, seed: int) -> DataFrame:
                     if most != lang or held[most].size >= CHUNK:
                         full = held.pop(most)
                         total -= full.size
-                        yield full.row(number, most, seed)
+                        yield full.row(number, most)
                         number += 1
         for lang, rest in held.items():
-            yield rest.row(number, lang, seed)
+            yield rest.row(number, lang)
             number += 1
 
-    kind = f"{_CHUNKS}, lang string, words binary, bytes long, n_words long"
+    kind = "chunk long, lang string, n_words long, relation binary, relation_size long, words binary, words_size long"
     return typed(docs, lang="string", text="binary").mapInArrow(run, kind)
 
 
-def _slices(rows: pa.RecordBatch):
-    for first in range(0, rows.num_rows, ROWS):
-        yield rows.slice(first, ROWS)
-
+def _rows(batches):
+    """The rows of batches, one at a time: their values are large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
-def word_groups(chunks: DataFrame) -> DataFrame:
-    """A row for each word of each chunk: ``chunk``, ``slot`` (its number there), ``n``, ``lang``, ``word``, ``w1``."""
-
-    def run(batches):
-        import numpy as np
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                counts = np.frombuffer(row["counts"], "<i4")
-                if len(counts):
-                    joined = pa.decompress(row["words"], row["bytes"], codec="zstd", asbytes=True)
-                    words = pa.array(joined.split(b"\n"), pa.binary())
-                    same = pa.array([row["lang"]] * len(counts), pa.string())
-                    fixed, hashes = np.full(len(counts), row["chunk"]), np.frombuffer(row["table"], "<i8")
-                    yield from _slices(_batch("chunk slot n lang word w1", [fixed, np.arange(len(counts)), counts, same, words, hashes]))
-
-    kind = "chunk long, slot long, n int, lang string, word binary, w1 long"
-    return chunks.select("chunk", "counts", "table", "lang", "words", "bytes").mapInArrow(run, kind)
-
-
-def long_groups(chunks: DataFrame, length: int) -> DataFrame:
-    """A row for each group of each chunk: ``chunk``, ``slot``, ``n`` and its words ``w1``, ``w2`` ..."""
+def _relation(row: dict, length: int, seed: int):
+    """(groups by place, -1 for none; the counts of the groups; their words, a hash each)."""
+    import numpy as np
+    import xxhash
+
+    relation = np.frombuffer(_unzip(row, "relation"), "<i4")
+    if length == 1:
+        words = _unzip(row, "words").split(b"\n")
+        front = (row["lang"] or "").encode("utf-8", "surrogatepass") + b"\n"
+        table = np.array([[xxhash.xxh64_intdigest(front + w, seed) for w in words]], np.uint64).view(np.int64)
+        counts = np.bincount(relation + 1, minlength=len(words) + 1)[1:]
+        # Without any word the list of words holds an empty one.
+        return relation, counts[counts > 0], table[:, counts > 0]
+    table = np.frombuffer(row["table"], "<i8").reshape(length - 1, -1)
+    left, right = relation[:-1], relation[1:]
+    goes_on = (left >= 0) & (right >= 0)
+    pairs = left[goes_on].astype(np.int64) * table.shape[1] + right[goes_on]
+    found, slots, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+    longer = np.full(max(0, len(relation) - 1), -1, np.int32)
+    longer[goes_on] = slots
+    first, last = np.divmod(found, max(1, table.shape[1]))
+    return longer, counts, np.concatenate([table[:, first], table[-1:, last]])
+
+
+def groups_of(chunks: DataFrame, length: int, seed: int) -> DataFrame:
+    """A row for each group of each chunk: ``chunk``, ``slot`` (its number there), ``n`` and its words
+    ``w1``, ``w2`` ...; for single words ``lang`` and ``word`` too."""
     names = [f"w{i + 1}" for i in range(length)]
 
     def run(batches):
         import numpy as np
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                counts = np.frombuffer(row["counts"], "<i4")
-                if len(counts):
-                    table = np.frombuffer(row["table"], "<i8").reshape(length, -1)
-                    fixed = np.full(len(counts), row["chunk"])
-                    yield from _slices(_batch(" ".join(["chunk slot n", *names]), [fixed, np.arange(len(counts)), counts, *table]))
+        for row in _rows(batches):
+            _, counts, table = _relation(row, length, seed)
+            if len(counts):
+                columns = [np.full(len(counts), row["chunk"]), np.arange(len(counts)), counts.astype(np.int32), *table]
+                found = _batch(" ".join(["chunk slot n", *names]), columns)
+                if length == 1:
+                    words, same = _unzip(row, "words").split(b"\n"), [row["lang"]] * len(counts)
+                    found = found.append_column("lang", pa.array(same, pa.string())).append_column("word", pa.array(words, pa.binary()))
+                for first in range(0, found.num_rows, ROWS):
+                    yield found.slice(first, ROWS)
 
     kind = "chunk long, slot long, n int, " + ", ".join(f"{w} long" for w in names)
-    return chunks.select("chunk", "counts", "table").mapInArrow(run, kind)
+    return chunks.mapInArrow(run, kind + (", lang string, word binary" if length == 1 else ""))
 
 
 def frequent(groups: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
@@ -176,40 +183,68 @@ def frequent(groups: DataFrame, by: list[str], least: int, name: str) -> DataFra
     return written(groups.groupBy(*by).agg(F.sum("n").alias("a")).where(F.col("a") >= least), name)
 
 
+def _places(table, size: int):
+    """Three places of each group in a filter of ``size`` bits, a power of two."""
+    import numpy as np
+
+    mixed = spread_bits(table[0])
+    for column in table[1:]:
+        mixed = spread_bits(mixed ^ column.astype(np.uint64))
+    return [(mixed >> np.uint64(shift) & np.uint64(size - 1)).astype(np.int64) for shift in (0, 17, 34)]
+
+
+def bloom_filter(counted: DataFrame, length: int):
+    """The counted groups as a filter (bytes), or None if they are more than ``FILTER``."""
+    import numpy as np
+
+    count = counted.count()
+    if count > FILTER:
+        return None
+    size = 1 << max(10, (16 * count).bit_length())
+
+    def run(batches):
+        for batch in batches:
+            table = [c.to_numpy().view(np.uint64) for c in batch.columns]
+            yield _batch("places", [[np.concatenate(_places(table, size)).astype("<i4").tobytes()]])
+
+    names, bits = [f"w{i + 1}" for i in range(length)], np.zeros(size // 8, np.uint8)
+    for row in counted.select(*names).mapInArrow(run, "places binary").toLocalIterator():
+        at = np.frombuffer(row["places"], "<i4")
+        np.bitwise_or.at(bits, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+    return bits.tobytes()
+
+
 def told(groups: DataFrame, counted: DataFrame, by: list[str], least: int) -> DataFrame:
     """The frequent groups of each chunk that it can't tell by itself: a list its own table bounds."""
     found = groups.where(F.col("n") < least).join(counted.select(*by), by, "left_semi")
     return found.groupBy("chunk").agg(F.collect_list("slot").alias("told"))
 
 
-def extended(chunks: DataFrame, answers: DataFrame, length: int, least: int) -> DataFrame:
-    """The relation of ``length`` words: places where this and the next place hold frequent groups."""
+def pruned(chunks: DataFrame, groups: DataFrame, counted: DataFrame, by: list[str], length: int, least: int, seed: int) -> DataFrame:
+    """The relation with gaps for all groups that aren't frequent."""
+    context = chunks.sparkSession.sparkContext
+    bits = bloom_filter(counted, length)
+    shared = None if bits is None else context.broadcast(bits)
+    if shared is None:
+        chunks = chunks.join(told(groups, counted, by, least), "chunk", "left")
 
     def run(batches):
         import numpy as np
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).select(["chunk", "relation", "size", "counts", "table"]).to_pylist()[0]
-                answer, relation, counts = batch.column("told")[i], _unpack(row), np.frombuffer(row["counts"], "<i4")
-                table = np.frombuffer(row["table"], "<i8").reshape(length - 1, -1)
-                # The last entry answers for marks and for places without a group.
-                is_frequent = np.append(counts >= least, False)
-                if answer.is_valid:
-                    is_frequent[answer.values.to_numpy()] = True
-                left, right = relation[:-1], relation[1:]
-                goes_on = is_frequent[left] & is_frequent[right]
-                pairs = left[goes_on].astype(np.int64) * len(is_frequent) + right[goes_on]
-                found, slots, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-                longer = np.full(max(0, len(relation) - 1), -1, np.int32)
-                longer[goes_on] = slots
-                first, last = found // len(is_frequent), found % len(is_frequent)
-                words = np.concatenate([table[:, first], table[-1:, last]])
-                rest = [[counts.astype("<i4").tobytes()], [words.astype("<i8").tobytes()]]
-                yield _batch("chunk relation size counts table", [[row["chunk"]], *_pack(longer), *rest])
-
-    joined = chunks.select("chunk", "relation", "size", "counts", "table").join(answers, "chunk", "left")
-    return joined.mapInArrow(run, _CHUNKS)
+        for row in _rows(batches):
+            relation, counts, table = _relation(row, length, seed)
+            keeps = counts >= least
+            if shared is not None:
+                held = np.frombuffer(shared.value, np.uint8)
+                ones = [held[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 for at in _places(table.view(np.uint64), len(held) * 8)]
+                keeps |= (ones[0] & ones[1] & ones[2]).astype(bool)
+            elif row["told"]:
+                keeps[row["told"]] = True
+            number = np.append(np.where(keeps, np.cumsum(keeps) - 1, -1), -1).astype("<i4")
+            data, words = number[relation].tobytes(), table[:, keeps].astype("<i8").tobytes()
+            yield _batch("chunk relation relation_size table", [[row["chunk"]], [_zip(data)], [len(data)], [words]])
+
+    return chunks.mapInArrow(run, "chunk long, relation binary, relation_size long, table binary")
 
 
 def parted(counted: DataFrame, shorter: DataFrame, length: int) -> DataFrame:
@@ -280,19 +315,19 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, inside: int
         raise ValueError("a phrase has two words at least")
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), docs["text"].alias("text"))
     by = ["lang", "word", "w1"]
+    chunks = checkpoint(word_relation(rows))
+    totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     for seed in itertools.count():
-        chunks = checkpoint(word_relation(rows, seed))
-        groups = word_groups(chunks)
+        groups = groups_of(chunks, 1, seed)
         counted = frequent(groups, by, least, "frequent-1")
         if counted.groupBy("w1").count().where("count > 1").isEmpty():
             break
-    totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     nothing = F.array().cast("array<bigint>")
     shorter = counted.select("w1", "lang", F.array("word").alias("words"), "a", nothing.alias("firsts"), nothing.alias("lasts"))
     candidates = []
     for length in range(2, longest + 1):
-        chunks = checkpoint(extended(chunks, told(groups, counted, by, least), length, least))
-        groups, by = long_groups(chunks, length), [f"w{i + 1}" for i in range(length)]
+        chunks = checkpoint(pruned(chunks, groups, counted, by, length - 1, least, seed))
+        groups, by = groups_of(chunks, length, seed), [f"w{i + 1}" for i in range(length)]
         counted = frequent(groups, by, least, f"frequent-{length}")
         longer = written(parted(counted, shorter, length), f"phrases-{length}")
         if length > 2:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from postsieve.llm import phrases
@@ -46,7 +47,11 @@ def sample(rng, n):
     return "".join(rng.choice(words) + rng.choice([" ", " ", " ", "\t ", ". ", ",", "\n", "\x0b"]) for _ in range(n))
 
 
-def test_brute_force(spark):
+@pytest.mark.parametrize("filtered", [True, False])
+def test_brute_force(spark, monkeypatch, filtered):
+    """With the Bloom filter, and with the semi-join that is taken beyond its size."""
+    if not filtered:
+        monkeypatch.setattr(phrases, "FILTER", 0)
     rng = random.Random(11)
     rows = [(rng.choice(["en", "fr", "und", None]), sample(rng, rng.randint(0, 200))) for _ in range(60)]
     rows += [("en", None), (None, ""), ("fr", "..!"), ("xx", "one"), rows[3], rows[3], ("de", "la " * 400)]
