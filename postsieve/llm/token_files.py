@@ -11,6 +11,7 @@ summed up front to back, which gives each shard its base; then the offsets are w
 
 from __future__ import annotations
 
+import array
 import json
 import os
 import re
@@ -34,10 +35,15 @@ class WordEncoder:
     """Encodes texts with a tokenizer file, each distinct piece between ASCII white space once.
 
     Good for tokenizers whose pieces never reach over white space and which drop it; the encoder
-    tests this on a sample sentence and otherwise gives whole texts to the tokenizer.
+    tests this on a sample sentence and otherwise gives whole texts to the tokenizer.  New pieces are
+    encoded together, ``JOINED`` in a call, with a mark between them that has an id of its own.
     """
 
-    LIMIT = 500_000
+    #: Pieces remembered; when half as many are new, the half before them is forgotten.
+    LIMIT = 600_000
+    JOINED = 100
+    #: Marks to choose from; a piece that holds the chosen one is encoded by itself.
+    MARKS = "~^`|\\#"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,38 +53,62 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         parts = ["It's", "one,", "two;", "don't", "Ünïté", "3.14", "<|x|>", "'s", "..."]
-        apart = [i for p in parts for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
-        joined = self.tokenizer.encode(" \n".join(parts), add_special_tokens=False).ids
-        self.by_word = apart == joined
+        apart = [i for p in parts for i in self.ids(p)]
+        self.by_word = apart == self.ids(" \n".join(parts))
+        alone = [(mark, self.ids(mark)) for mark in self.MARKS]
+        self.mark, self.mark_id = next(((m, ids[0]) for m, ids in alone if len(ids) == 1), (None, None))
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def pack(self, ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+        return array.array("H" if self.width == 2 else "I", ids).tobytes()
+
+    def learn(self, words: list[bytes]) -> None:
+        """Put the ids of ``words`` into the cache."""
+        together, mark = [], self.mark
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if mark is None or mark in text:
+                self.cache[word] = self.pack(self.ids(text))
+            else:
+                together.append((word, text))
+        for first in range(0, len(together), self.JOINED):
+            some = together[first : first + self.JOINED]
+            found = self.pack(self.tokenizer.encode_batch_fast([f" {mark} ".join([t for _, t in some])], add_special_tokens=False)[0].ids)
+            cut = split_ids(found, self.mark_id, self.width)
+            if len(cut) == len(some):
+                self.cache.update(zip([w for w, _ in some], cut))
+            else:  # a piece holds the mark's id after all
+                self.cache.update((w, self.pack(self.ids(t))) for w, t in some)
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of ``text`` as bytes, in pieces."""
         if not self.by_word:
-            yield self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            yield self.pack(self.ids(text))
             return
         for part in slices(text):
             words = part.encode("utf-8", "surrogatepass").split()
             new = [w for w in set(words) if w not in self.cache]
             if new:
-                if len(self.cache) + len(new) > self.LIMIT:
-                    self.cache = {}
+                if len(self.cache) + len(new) > self.LIMIT // 2:
+                    self.older, self.cache = self.cache, {}
                     new = list(set(words))
-                decoded = [w.decode("utf-8", "replace") for w in new]
-                for start in range(0, len(new), 1000):
-                    for word, found in zip(
-                        new[start : start + 1000],
-                        self.tokenizer.encode_batch_fast(
-                            decoded[start : start + 1000], add_special_tokens=False
-                        ),
-                    ):
-                        self.cache[word] = self.pack(found.ids)
+                self.cache.update((w, self.older[w]) for w in new if w in self.older)
+                self.learn([w for w in new if w not in self.older])
             yield b"".join(map(self.cache.__getitem__, words))
 
 
+def split_ids(packed: bytes, mark: int, width: int) -> list[bytes]:
+    """Packed ids cut at every ``mark``."""
+    import numpy as np
+
+    at = np.flatnonzero(np.frombuffer(packed, f"<u{width}") == mark) * width
+    return [packed[a:b] for a, b in zip([0, *(at + width).tolist()], [*at.tolist(), len(packed)])]
+
+
 def encoder(path: str) -> WordEncoder:
     """One encoder a worker, kept from task to task."""
     if path not in _WORDS:
