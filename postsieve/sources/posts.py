@@ -187,7 +187,21 @@ def deduplicate(posts: DataFrame, key: tuple[str, ...] = ("did", "rkey")) -> Dat
     return posts.dropDuplicates(list(key))
 
 
-def apply_deletes(stored: DataFrame, deletes: DataFrame, key: tuple[str, ...] = ("did", "rkey")) -> DataFrame:
-    """Stored rows whose post has not been deleted."""
-    return stored.join(deletes.select(*key), list(key), "left_anti")
+def apply_deletes(
+    stored: DataFrame, deletes: DataFrame, key: tuple[str, ...] = ("did", "rkey"), time: str | None = "time_us"
+) -> DataFrame:
+    """Stored rows whose post has not been deleted since: no delete of the key is as late as the row.
 
+    A post created anew under its key after a delete stays.  Only the latest delete of a key matters,
+    so deletes are grouped before the join, and a key that was deleted often meets a row once.  Rows
+    without a time go with any delete of their key, as do all rows with a delete without a time; with
+    ``time`` None, for tables that hold none, all do.
+    """
+    if time is None:
+        return stored.join(deletes.select(*key), list(key), "left_anti")
+    always = F.max(F.when(F.col(time).isNull(), True)).alias("__always")
+    latest = deletes.groupBy(*key).agg(F.max(time).alias("__deleted"), always).alias("deletes")
+    same = [F.col(f"stored.{k}") == F.col(f"deletes.{k}") for k in key]
+    later = F.coalesce(F.col(f"stored.{time}") > F.col("deletes.__deleted"), F.lit(False))
+    gone = F.coalesce(F.col("deletes.__always"), F.lit(False)) | ~later
+    return stored.alias("stored").join(latest, [*same, gone], "left_anti")

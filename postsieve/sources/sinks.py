@@ -6,12 +6,9 @@ and replaces it as a whole (dynamic partition overwrite), which makes the write
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EVENT_KEY = ("did", "rkey", "operation")
-
 
 def write_matches(matches: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Parquet partitioned by batch and sorted by feed, or without a batch partitioned by feed.
@@ -49,21 +46,3 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     """``algorithm_id`` and ``uri`` of the matches stored for a batch."""
     stored = spark.read.schema("uri string, algorithm_id long, batch_id long").parquet(path)
     return stored.where(F.col("batch_id") == batch_id).select("algorithm_id", "uri")
-
-
-def write_keys(events: DataFrame, path: str, batch_id: int) -> None:
-    """Keys of the batch's events by event date, so that a later batch reads only its own dates."""
-    keys = events.select(*EVENT_KEY, "event_date", F.lit(batch_id).cast("long").alias("batch_id"))
-    writer = keys.hint("rebalance", "event_date").write.partitionBy("event_date", "batch_id")
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def read_keys(spark: SparkSession, path: str) -> DataFrame:
-    """Stored keys; an absent or empty table reads as no rows."""
-    schema = "did string, rkey string, operation string, event_date date, batch_id long"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

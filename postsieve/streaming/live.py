@@ -15,15 +15,8 @@ from postsieve.plans.attach import Catalog
 from postsieve.plans.match import Feed, compile_feeds, match_feeds, project_matches
 from postsieve.plans.responses import batch_responses, feed_table, match_counts
 from postsieve.sources import posts as P
-from postsieve.sources.sinks import (
-    EVENT_KEY,
-    read_batch,
-    read_keys,
-    write_deletes,
-    write_keys,
-    write_matches,
-    write_responses,
-)
+from postsieve.sources.replays import ProcessedEvents, fresh_events
+from postsieve.sources.sinks import read_batch, write_deletes, write_matches, write_responses
 
 # Fixed value: a batch is flushed at least this often.
 FLUSH_INTERVAL = "30 seconds"
@@ -63,20 +56,6 @@ def prepare_stream(raw: DataFrame, collection: str | None = None, max_chars: int
     return events if collection is None else events.where(F.col("collection") == collection)
 
 
-def fresh_events(batch: DataFrame, keys_path: str, batch_id: int) -> DataFrame:
-    """The events of a batch that no other batch has stored, each once.
-
-    A replayed event has its time again, so only the keys stored for the dates of the batch are
-    read.  Events without an author or key can't be recognised and all pass.
-    """
-    dated = batch.withColumn("event_date", F.to_date(F.timestamp_micros("time_us")))
-    known = F.col("did").isNotNull() & F.col("rkey").isNotNull()
-    once = dated.where(known).dropDuplicates([*EVENT_KEY, "event_date"])
-    stored = read_keys(batch.sparkSession, keys_path).where(F.col("batch_id") != batch_id)
-    fresh = once.join(stored, [*EVENT_KEY, "event_date"], "left_anti")
-    return fresh.unionByName(dated.where(~known))
-
-
 def process_batch(
     events: DataFrame,
     feeds: FeedSet,
@@ -113,14 +92,15 @@ def run_live(
     the error that keeps it from running.
 
     All outputs replace the partition of their batch, so a batch that runs twice is stored once.
-    The keys of processed events are stored beside the stream's state, by event date; an event that
-    is read again in a later batch is left out, and none is left out for being late.  The parsed
-    batch is kept in memory (spilling to disk) while its outputs are written.
+    The keys of processed events are stored beside the stream's state; an event that is read again
+    in a later batch is left out, and none is left out for being late.  The parsed batch is kept in
+    memory (spilling to disk) while its outputs are written.
     """
-    keys_path = f"{checkpoint_location.rstrip('/')}-keys"
+    store = ProcessedEvents(events.sparkSession, f"{checkpoint_location.rstrip('/')}-keys")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = fresh_events(batch, keys_path, batch_id).persist()
+    def handle(read: DataFrame, batch_id: int) -> None:
+        read = read.persist()
+        batch = fresh_events(read, store, batch_id).persist()
         try:
             feeds, tables = load_feeds(), catalog() if callable(catalog) else catalog
             compiled = compile_batch(batch, feeds, tables, registry)
@@ -131,9 +111,10 @@ def run_live(
                 counts = match_counts(read_batch(spark, matches_path, batch_id))
                 write_responses(batch_responses(counts, feed_table(spark, compiled)), responses_path, batch_id)
             write_deletes(deletes, deletes_path, batch_id)
-            write_keys(batch, keys_path, batch_id)
+            store.add(batch, batch_id)
         finally:
             batch.unpersist()
+            read.unpersist()
 
     writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     trigger = {"availableNow": True} if available_now else {"processingTime": FLUSH_INTERVAL}
