@@ -26,6 +26,7 @@ from postsieve.operators.leaf import (
     SimilarityNeed,
     TextScoreNeed,
 )
+from postsieve.sources.score_store import ScoreStore
 from postsieve.sources.scores import Scorer, complete_scores
 
 _MEMBER_OF = "__member_of"
@@ -47,6 +48,7 @@ class Catalog:
     image_scores  model, input_key, probs array<double>
     embeddings    model, input_key, embedding array<float>
     scorers       model -> scorer for inputs that have no stored result yet
+    keep          folder below which new results are kept, so that no model sees an input twice
     """
 
     assets: DataFrame | None = None
@@ -55,6 +57,11 @@ class Catalog:
     image_scores: DataFrame | None = None
     embeddings: DataFrame | None = None
     scorers: dict[str, Scorer] = field(default_factory=dict)
+    keep: str | None = None
+
+    def store(self, spark: SparkSession, result: T.StructField) -> ScoreStore | None:
+        """Where new results of a type are kept."""
+        return None if self.keep is None else ScoreStore(spark, f"{self.keep.rstrip('/')}/{result.name}", result)
 
     def with_tables(self, **tables: DataFrame) -> Catalog:
         return replace(self, **tables)
@@ -224,7 +231,7 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
     key = _key_of(need)
     scorer = catalog.scorers.get(need.model)
     inputs = posts.select(F.col(key).alias("input_key"), _input_text(view, need).alias("input")) if scorer else None
-    scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer)
+    scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer, catalog.store(posts.sparkSession, TEXT_RESULT))
     found = scores.select(F.col("input_key").alias(key), F.col("scores").alias(need.column))
     return lookup(posts, found, key)
 
@@ -237,7 +244,7 @@ def _attach_image_scores(posts, view: PostView, needs: list[ImageScoreNeed], cat
         images = urls.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
         scorer = catalog.scorers.get(need.model)
         inputs = images.select("input_key", "input") if scorer else None
-        scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer)
+        scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer, catalog.store(posts.sparkSession, IMAGE_RESULT))
         found = max_image_score(lookup(images, scores, "input_key"), (_KEY,), need)
         others = [F.lit(None).cast("double").alias(n.column) for n in needs if n is not need]
         best.append(found.select("*", *others))
@@ -262,10 +269,10 @@ def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Cat
         anchor = posts.sparkSession.range(1)
         anchor_input = anchor.select(anchor_key.alias("input_key"), F.lit(need.anchor).alias("input"))
     # The anchor has a plan of its own: finding one vector must not score all texts.
-    anchors = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, anchor_input, scorer)
+    anchors = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, anchor_input, scorer, catalog.store(posts.sparkSession, VECTOR_RESULT))
     one = anchors.where(F.col("input_key") == anchor_key).agg(F.any_value("embedding").alias("v"))
     anchor_vector = one.select(F.struct("v", norm(F.col("v")).alias("norm"))).scalar()
-    stored = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer)
+    stored = complete_scores(need.model, catalog.embeddings, VECTOR_RESULT, inputs, scorer, catalog.store(posts.sparkSession, VECTOR_RESULT))
     found = stored.select(F.col("input_key").alias(key), "embedding")
     joined = lookup(posts, found, key).withColumn("__anchor", anchor_vector)
     similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor.v"), F.col("__anchor.norm")), F.lit(0.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
@@ -15,7 +16,7 @@ from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog
 from postsieve.plans.match import flag_posts
 from postsieve.plans.positions import with_positions, with_running_totals
-from postsieve.session import checkpoint
+from postsieve.session import checkpoint, shared_folder
 
 SLICE_US = 60_000_000
 DAY_US = 24 * 3_600 * 1_000_000
@@ -79,13 +80,16 @@ def reverse_slices(posts: DataFrame, start_us: int, end_us: int, slice_us: int =
 
 @dataclass(frozen=True)
 class Crawl:
-    """How far a crawl goes: batches of ``batch_size`` until ``max_matches`` is reached."""
+    """How far a crawl goes: batches of ``batch_size`` until ``max_matches`` is reached.
+
+    None, the default, is the whole range: a crawl ends early only if asked.  ``MAX_MATCHES`` is usual.
+    """
 
     start_us: int
     end_us: int
     slice_us: int = SLICE_US
     batch_size: int = BACKTEST_BATCH
-    max_matches: int = MAX_MATCHES
+    max_matches: int | None = None
     # The number of newest slices looked at first; see narrow_crawl.
     first_look: int = 60
     date_column: str | None = None
@@ -102,6 +106,8 @@ def narrow_crawl(posts: DataFrame, matched: Flag, crawl: Crawl, growth: int = 4)
     ``growth`` times as many, and so on.  A filter with many matches reads minutes of history; one
     with few reads it all, a third of it twice.  The batch that reaches the limit stays whole.
     """
+    if crawl.max_matches is None:
+        return crawl
     span = crawl.first_look * crawl.slice_us
     wanted = None  # records the window must hold, once the limit has been reached
     while crawl.end_us - span > crawl.start_us:
@@ -117,25 +123,49 @@ def narrow_crawl(posts: DataFrame, matched: Flag, crawl: Crawl, growth: int = 4)
     return crawl
 
 
+def look_back(posts: DataFrame, matched: Flag, crawl: Crawl, columns: list[Column], growth: int = 4) -> DataFrame:
+    """The flagged posts of as much of a crawl's newest part as it needs, ``columns`` of each.
+
+    The first look takes ``first_look`` slices.  While the limit isn't reached, the next one takes
+    what lies between it and ``growth`` times as far back, and nothing newer: the answers of a look
+    are stored, and its counts are added to those before.  So a post is filtered once.
+    """
+    looks, records, matches, wanted = [], 0, 0, None
+    newest, span = crawl.end_us, crawl.first_look * crawl.slice_us
+    while True:
+        oldest = crawl.start_us if crawl.max_matches is None else max(crawl.start_us, crawl.end_us - span)
+        look = replace(crawl, start_us=oldest, end_us=newest)
+        looks.append(checkpoint(flagged(look.window(posts), matched).select(*columns)))
+        seen = looks[-1].agg(F.count(F.lit(1)).alias("records"), F.count_if("matched").alias("matches")).first()
+        records, matches = records + seen.records, matches + seen.matches
+        if wanted is None and crawl.max_matches is not None and matches >= crawl.max_matches:
+            wanted = records + crawl.batch_size
+        if oldest <= crawl.start_us or (wanted is not None and records >= wanted):
+            return functools.reduce(DataFrame.unionByName, looks)
+        newest, span = oldest, span * growth
+
+
 def crawl_batches(
     posts: DataFrame, matched: Flag, crawl: Crawl, key: tuple[str, ...], whole: bool = False
 ) -> DataFrame:
     """Key, ``matched`` and ``batch_no`` of the posts a crawl may have to look at.
 
-    Only posts of the crawl's window are filtered; an answer that takes joins is worked out once and
-    stored.  Per-slice counts show how far back the crawl has to go; only the posts of those slices
-    are ranked.  A crawl that finds its matches in the newest slices never sorts the rest of history.
-    With ``whole``, matching posts carry their row along as ``post``, others NULL.
+    Only posts of the crawl's window are filtered; an answer that takes joins is looked for step by
+    step and stored (``look_back``).  Per-slice counts show how far back the crawl has to go; only the
+    posts of those slices are ranked.  A crawl that finds its matches in the newest slices never sorts
+    the rest of history.  With ``whole``, matching posts carry their row along as ``post``, others NULL.
     """
-    narrow = flagged(crawl.window(posts), matched).select(
+    columns = [
         slice_number(F.col("time_us"), crawl.end_us, crawl.slice_us).alias("slice_no"),
-        "time_us",
-        *key,
+        F.col("time_us"),
+        *[F.col(k) for k in key],
         F.col(MATCHED).alias("matched"),
         *([F.when(F.col(MATCHED), F.struct(*posts.columns)).alias("post")] if whole else []),
-    )
-    if not isinstance(matched, Column):
-        narrow = checkpoint(narrow)
+    ]
+    if isinstance(matched, Column):
+        narrow = flagged(crawl.window(posts), matched).select(*columns)
+    else:
+        narrow = look_back(posts, matched, crawl, columns)
     slices = narrow.groupBy("slice_no").agg(
         F.count(F.lit(1)).alias("records"), F.count_if("matched").alias("matches")
     )
@@ -144,7 +174,8 @@ def crawl_batches(
         with_running_totals(slices, "slice_no", {"all_records": "records", "all_matches": "matches"})
     )
     # The batch which reaches the limit ends less than one batch after the slice which reaches it.
-    enough = F.min(F.when(F.col("all_matches") >= crawl.max_matches, F.col("all_records")))
+    limit = F.lit(crawl.max_matches).cast("long")
+    enough = F.min(F.when(F.col("all_matches") >= limit, F.col("all_records")))
     horizon = totals.agg((F.coalesce(enough, F.max("all_records")) + crawl.batch_size).alias("n")).first().n
     needed = totals.where(F.col("all_records") - F.col("records") < F.lit(horizon))
     reached = narrow.where(F.col("slice_no") <= F.lit(needed.agg(F.max("slice_no").alias("n")).first().n))
@@ -153,16 +184,16 @@ def crawl_batches(
     return ranked.select(*key, "matched", batch, *(["post"] if whole else []))
 
 
-def crawl_progress(batches: DataFrame, max_matches: int = MAX_MATCHES) -> DataFrame:
+def crawl_progress(batches: DataFrame, max_matches: int | None) -> DataFrame:
     """``batch_no, batch_records, batch_matches, record_count, match_count`` up to the batch which
-    reaches ``max_matches``; the counts are running totals."""
+    reaches ``max_matches`` (None: all); the counts are running totals."""
     per_batch = batches.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("batch_records"), F.count_if("matched").alias("batch_matches")
     )
     totals = with_running_totals(
         per_batch, "batch_no", {"record_count": "batch_records", "match_count": "batch_matches"}
     )
-    return totals.where(F.col("match_count") - F.col("batch_matches") < max_matches)
+    return totals if max_matches is None else totals.where(F.col("match_count") - F.col("batch_matches") < max_matches)
 
 
 def backtest_progress(posts: DataFrame, matched: Flag, crawl: Crawl, key: tuple[str, ...]) -> DataFrame:
@@ -186,12 +217,17 @@ def run_backtest(
     catalog: Catalog = Catalog(),
     registry: Registry = DEFAULT_REGISTRY,
 ) -> tuple[DataFrame, DataFrame]:
-    """(progress per batch, matching posts) of one filter over history."""
+    """(progress per batch, matching posts) of one filter over history.
+
+    Models see each distinct input once, however many looks it is in: what they say is kept, for
+    this run or in the folder the catalog names.
+    """
+    if catalog.scorers and catalog.keep is None:
+        catalog = replace(catalog, keep=shared_folder(posts.sparkSession, "scores"))
 
     def matched(window: DataFrame) -> DataFrame:
         return flag_posts(window, condition, view, catalog, registry, MATCHED)
 
-    crawl = narrow_crawl(posts, matched, crawl)
     batches = crawl_batches(posts, matched, crawl, view.key, whole=True)
     return crawl_progress(batches, crawl.max_matches), crawl_matches(batches, crawl)
 

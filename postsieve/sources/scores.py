@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from postsieve.operators.labels import TEXT_OPERATORS
 from postsieve.operators.models import rename_labels
+from postsieve.sources.score_store import ScoreStore
 
 #: Display labels of the text models.
 LABELS = {text_model.model: text_model.labels for text_model in TEXT_OPERATORS.values()}
@@ -73,11 +74,13 @@ def complete_scores(
     result: T.StructField,
     inputs: DataFrame | None = None,
     scorer: Scorer | None = None,
+    store: ScoreStore | None = None,
 ) -> DataFrame:
     """Results of ``model`` by ``input_key``: those stored, and new ones for inputs without.
 
     One row an input: a key that was stored twice (by two batches, or by a retried write) counts
-    once.  New results of a text model get its display labels.  At least one of ``stored`` and
+    once.  New results of a text model get its display labels; with a ``store`` they are kept there
+    before they are used, and only what it lacks is scored.  At least one of ``stored`` and
     ``scorer`` (with its ``inputs``) must be given.
     """
     if stored is None:
@@ -87,24 +90,26 @@ def complete_scores(
         known = known.dropDuplicates(["input_key"])
     if scorer is None or inputs is None:
         return known
-    fresh = display_labels(score_inputs(missing_inputs(inputs, known), scorer, result), model, result)
+    missing = missing_inputs(inputs, known)
+
+    def score(some: DataFrame) -> DataFrame:
+        return display_labels(score_inputs(some, scorer, result), model, result)
+
+    fresh = score(missing) if store is None else store.complete(model, missing, score)
     return fresh if known is None else known.unionByName(fresh)
 
 
 def store_missing_scores(
     path: str, model: str, inputs: DataFrame, scorer: Scorer, result: T.StructField
 ) -> DataFrame:
-    """Score what the table at ``path`` lacks, append it there, and return the table.
+    """Score what the store at ``path`` lacks, keep it there, and return the model's results.
 
-    The table is partitioned by model.  Storing results first means that neither a lost executor
-    nor a second reader makes the model run again.
+    Storing results first means that neither a lost executor nor a second reader makes the model run
+    again; see ``ScoreStore`` for retries and several writers.
     """
-    spark = inputs.sparkSession
-    stored = read_scores(spark, path, result)
-    fresh = score_inputs(missing_inputs(inputs, stored.where(F.col("model") == model)), scorer, result)
-    fresh = display_labels(fresh, model, result)
-    fresh.withColumn("model", F.lit(model)).write.partitionBy("model").mode("append").parquet(path)
-    return read_scores(spark, path, result)
+    store = ScoreStore(inputs.sparkSession, path, result)
+    complete_scores(model, None, result, inputs, scorer, store)
+    return store.read(model).withColumn("model", F.lit(model))
 
 
 def read_scores(spark: SparkSession, path: str, result: T.StructField) -> DataFrame:
