@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.functions.compare import compare
 from postsieve.functions.field import field, resolve
+from postsieve.operators import labels as L
+from postsieve.plans.attach import Catalog
 from postsieve.plans.history import Crawl, backtest_progress, replay_range, reverse_slices, run_backfill, run_backtest
 from postsieve.session import shared_folder
 from postsieve.sources import posts as P
+from postsieve.sources.scores import Scorer
 from postsieve.streaming.live import FeedSet, event_stream, prepare_stream, run_live
 from workloads import bindings as B
 from workloads.predicates import LIST_OF, catalog
@@ -220,6 +225,27 @@ def backtest_members(spark: SparkSession, folder: str) -> DataFrame:
     return matches.select("event_id", "batch_no")
 
 
+@query(
+    "backtest_scores",
+    _crawl_sql(200, 400, matched="event_type = 'click'")
+    + " SELECT event_id, batch_no FROM ranked JOIN kept USING (batch_no) WHERE matched",
+)
+def backtest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A model in a filter over history: each look adds its slices, each text is scored once."""
+
+    def transform(inputs: DataFrame) -> DataFrame:
+        toxic = F.when(F.col("input").startswith("a click"), 0.9).otherwise(0.1)
+        return inputs.select("input_key", F.create_map(F.lit("toxic"), toxic).alias("scores"))
+
+    posts = B.events(spark, folder)
+    text = F.concat(F.lit("a "), F.col("record.event_type"), F.lit(" of "), F.col("record.value").cast("int").cast("string"))
+    posts = posts.withColumn("record", F.col("record").withField("text", text))
+    crawl = replace(_crawl(200, 400), first_look=4)
+    scorers = Catalog(scorers={L.TOXICITY.model: Scorer(transform=transform)})
+    _, matches = run_backtest(posts, {"toxicity_analysis": ["Toxic", ">", 0.5]}, B.view(posts, "event_id"), crawl, scorers)
+    return matches.select("event_id", "batch_no")
+
+
 # ---------------------------------------------------------------- stream
 
 

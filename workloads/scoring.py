@@ -9,9 +9,10 @@ from postsieve.functions.keys import score_key, zero_shot_suffix
 from postsieve.operators import labels as L
 from postsieve.operators.leaf import ImageScoreNeed
 from postsieve.operators.models import category_score, rename_labels
-from postsieve.plans.attach import Catalog, max_image_score
+from postsieve.plans.attach import TEXT_RESULT, Catalog, max_image_score
 from postsieve.plans.match import filter_posts
-from postsieve.sources.scores import missing_inputs
+from postsieve.session import shared_folder
+from postsieve.sources.scores import Scorer, missing_inputs, store_missing_scores
 from postsieve.sources.trained import hashing_embedder, train_text_classifier
 from workloads import bindings as B
 from workloads.registry import query
@@ -97,6 +98,25 @@ def score_missing(spark: SparkSession, folder: str) -> DataFrame:
     return missing.select("input_key", F.length("input").cast("long").alias("n"))
 
 
+@query(
+    "score_store_retry",
+    """SELECT DISTINCT sha256('lengths:' || text) AS input_key, length(text) % 100 / 100.0::DOUBLE AS score FROM documents""",
+)
+def score_store_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts scored into a store by two writes that overlap, the second of them repeated."""
+    d = B.table(spark, folder, "documents").withColumn("input_key", score_key("lengths", F.col("text")))
+
+    def predict(inputs: DataFrame) -> DataFrame:
+        score = F.length("input") % 100 / F.lit(100.0)
+        return inputs.select("input_key", F.create_map(F.lit("length"), score).alias("scores"))
+
+    path, scorer = shared_folder(spark, "scores"), Scorer(transform=predict)
+    for part in (d.where("doc_id % 3 > 0"), d, d):
+        inputs = part.select("input_key", F.col("text").alias("input"))
+        kept = store_missing_scores(path, "lengths", inputs, scorer, TEXT_RESULT)
+    return kept.select("input_key", F.col("scores")["length"].alias("score"))
+
+
 @query("text_arbitrary", f"SELECT doc_id FROM documents JOIN {_FIRST} f USING (text) WHERE ((first_id * 7) % 100) / 100.0::DOUBLE >= 0.8")
 def text_arbitrary(spark: SparkSession, folder: str) -> DataFrame:
     model, name = L.ZERO_SHOT_TEXT_MODEL, "cooking"
