@@ -2,7 +2,8 @@
 
 A seed is a run of an item's words so rare that chance would put it in the corpus less than
 ``CHANCE`` times, judged by how often each of its words occurs in all documents; the shortest such
-run at each position is taken.  Rarity comes from single words, so a passage that leaked into
+run at each position is taken.  An item without any such run is a seed as a whole, so that exact
+copies of it are found however common or few its words.  Rarity comes from single words, so a passage that leaked into
 thousands of documents still has its seeds.  Every document is scanned for seeds, and the words
 around hits are aligned with the item; the alignment's score over the item's length decides.
 
@@ -90,14 +91,19 @@ class Items:
         room = np.log(CHANCE / max(1, total))
         found: dict[int, list[tuple[int, int, int]]] = {}
         for k, item in enumerate(self.items):
+            whole, has_seed = 0, False
             for start in range(len(item)):
+                whole = (whole * _BASE + int(item[start]) + 1) % (1 << 64)
                 value, chance = 0, 0.0
                 for n, word in enumerate(item[start : start + LONGEST_SEED].tolist(), 1):
                     value = (value * _BASE + word + 1) % (1 << 64)
                     chance += share[word]
                     if n >= 2 and chance <= room:
                         found.setdefault(n, []).append((value, k, start))
+                        has_seed = True
                         break
+            if not has_seed:
+                found.setdefault(len(item), []).append((whole, k, 0))
         self.seeds = {}
         for n, rows in found.items():
             rows.sort()
@@ -111,13 +117,14 @@ class Items:
         position, item, at = [], [], []
         starts = np.flatnonzero(numbers >= 0)
         value = numbers[starts].astype(np.uint64) + np.uint64(1)
-        for n in range(2, max(self.seeds, default=1) + 1):
-            inside = starts + n - 1 < len(numbers)
-            starts, value = starts[inside], value[inside]
-            following = numbers[starts + n - 1]
-            known = following >= 0
-            starts, following = starts[known], following[known]
-            value = value[known] * np.uint64(_BASE) + following.astype(np.uint64) + np.uint64(1)
+        for n in range(1, max(self.seeds, default=0) + 1):
+            if n > 1:
+                inside = starts + n - 1 < len(numbers)
+                starts, value = starts[inside], value[inside]
+                following = numbers[starts + n - 1]
+                known = following >= 0
+                starts, following = starts[known], following[known]
+                value = value[known] * np.uint64(_BASE) + following.astype(np.uint64) + np.uint64(1)
             if n in self.seeds:
                 values, items, places = self.seeds[n]
                 low, high = np.searchsorted(values, value), np.searchsorted(values, value, "right")
@@ -231,8 +238,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> D
     ``score`` is the best local alignment over the item's words (1: an exact copy), ``least`` or
     more; ``first_word`` and ``n_words`` say where it lies in the document's words.  Of equal
     alignments the first counts.  NULL and empty texts on either side match nothing; equal items
-    and repeated rows are all reported; ids may be NULL; empty tables give no rows.  An item whose
-    words are all so common that no run of twelve is rare has no seeds and can't be found.
+    and repeated rows are all reported; ids may be NULL; empty tables give no rows.  Of an item whose
+    words are all so common that no run of twelve is rare, or that is a single word, exact copies are
+    found, edited ones not; an item of one common word is thus found wherever that word stands.
     """
     kind = "doc_id long, item_id long, score double, first_word long, n_words long"
     found = None

@@ -239,23 +239,22 @@ def _links(reps: DataFrame, kind: str, least: float) -> DataFrame | None:
 def link_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors``.
 
-    Rows link if their cosine is ``least`` or more.  A NULL, empty or zero vector, one with a NULL
-    or non-finite component, and one whose length isn't the most common one (of equally common
-    lengths the greatest) links with nothing.  Rows are vectors of their own even if their ids
+    Rows link if their cosine is ``least`` or more.  A NULL, empty or zero vector, and one with a NULL
+    or non-finite component, links with nothing.  Vectors of different lengths don't link; those of
+    each length are compared by themselves, in a run for each length.  Rows are vectors of their own even if their ids
     repeat: ``n_links`` counts rows, and ``component_id`` is the smallest id of the component's
     rows.  Rows without an id name no component and aren't kept.  An empty table gives no rows;
     only ``vec_id`` and ``embedding`` are read.
     """
     rows, kind = _prepare(vectors)
-    sizes = rows.where("packed IS NOT NULL").groupBy(F.length("packed").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), F.desc("size")).first()
-    size = common["size"] if common else -1
-    real = F.col("packed").isNotNull() & (F.length("packed") == size)
+    real = F.col("packed").isNotNull()
     reps = rows.where(real).groupBy("packed").agg(F.min("uid").alias("rep"), F.count("*").alias("copies"))
     reps = checkpoint(reps)
-    found = _links(reps.withColumnRenamed("rep", "uid"), kind, least)
-    if found is None:
-        found = rows.sparkSession.createDataFrame([], "uid long, n long, root long")
+    sizes = [r["size"] for r in reps.select(F.length("packed").alias("size")).distinct().orderBy("size").collect()]
+    parts = [_links(reps.where(F.length("packed") == n).withColumnRenamed("rep", "uid"), kind, least) for n in sizes]
+    found = rows.sparkSession.createDataFrame([], "uid long, n long, root long")
+    for part in parts:
+        found = found if part is None else found.unionByName(part)
     counts = found.groupBy("uid").agg(F.sum("n").alias("n")).withColumnRenamed("uid", "rep")
     tied = components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     tied = tied.withColumnRenamed("id", "rep")
