@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -145,6 +146,60 @@ def escape(text: str) -> str:
     return "".join("\\" + c if c.isascii() and not (c.isalnum() or c == "_") else c for c in text)
 
 
+# Other letters than by case that a pattern without case takes for the same: iota is one with a mark
+# that is no letter, so its words have other ends.
+_NO_WORD_ENDS = frozenset("\u03b9\u0399\u0345\u1fbe")
+_SHARP_S = "\u1e9e"
+_FOLDED = {"\u03c2": "\u03c3", "\u0307": ""}
+
+
+def fold(word: str) -> str:
+    """Equal for words which a pattern without case takes for the same (and for some others)."""
+    folded = word.upper().replace(_SHARP_S, "SS").lower()
+    for old, new in _FOLDED.items():
+        folded = folded.replace(old, new)
+    return folded
+
+
+def folded_words(text: Column) -> Column:
+    """The distinct words of a text at whose start a listed term may stand, as :func:`fold` has them."""
+    words = F.regexp_extract_all(text, F.lit(LEFT_BOUNDARY + r"[\p{L}\p{N}_\-]+"), F.lit(0))
+
+    def folded(word: Column) -> Column:
+        # The replacement in between also keeps the optimizer from taking lower(upper(x)) for lower(x).
+        out = F.lower(F.replace(F.upper(word), F.lit(_SHARP_S), F.lit("SS")))
+        for old, new in _FOLDED.items():
+            out = F.replace(out, F.lit(old), F.lit(new))
+        return out
+
+    return F.array_distinct(F.transform(words, folded))
+
+
+def words_of_terms(terms: Iterable[str]) -> tuple[str, ...] | None:
+    """One folded word of each term, which every text that has the term has among its
+    :func:`folded_words`; None if some term has no such word."""
+    words = set()
+    for term in terms:
+        word = _bounded_word(term)
+        if word is None:
+            return None
+        words.add(fold(word))
+    return tuple(sorted(words)) or None
+
+
+def _bounded_word(term: str) -> str | None:
+    """The longest run of word characters of a literal term that begins and ends with its word.
+
+    Characters younger than the oldest tables at hand may be letters in Python and not in Java.
+    """
+    old = unicodedata.ucd_3_2_0
+    if is_domain_like(term) or any(c in _NO_WORD_ENDS or old.category(c) == "Cn" for c in term):
+        return None
+    inside = "".join(c if c in "_-" or unicodedata.category(c)[0] in "LN" else ("/" if c == "/" else " ") for c in term)
+    runs = re.findall(r"(?<![^ ])[^ /]+", inside)
+    return max(runs, key=len, default=None)
+
+
 def text_of(value: Field, missing_text: str = "None") -> Column:
     """What a regular expression is matched against.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postsieve.functions.extract import url_domain
-from postsieve.functions.compare import compare, compare_constant
+from postsieve.functions.compare import compare, compare_constant, normalise_threshold
 from postsieve.functions.field import has_wildcard
-from postsieve.operators.leaf import COST_ARRAY, COST_CONSTANT, COST_SCALAR, Leaf, PostView
+from postsieve.operators.leaf import COST_ARRAY, COST_CONSTANT, COST_SCALAR, Atoms, Leaf, PostView
 
 # Embed type names of the post schema.
 EMBED_TYPES = {
@@ -25,7 +26,12 @@ GIF_DOMAIN = "media.tenor.com"
 
 
 def attribute_compare(view: PostView, path: str, comparator: str, value: Any) -> Leaf:
-    return Leaf(compare(view.shared_path(path), comparator, value), COST_ARRAY if has_wildcard(path) else COST_SCALAR)
+    own = view.shared_path(path)
+    atoms = None
+    if comparator == "==" and isinstance(value, str) and value and isinstance(own.dtype, T.StringType):
+        if not normalise_threshold(value)[0]:
+            atoms = Atoms(f"field:{path}", F.array(own.col), (value,))
+    return Leaf(compare(own, comparator, value), COST_ARRAY if has_wildcard(path) else COST_SCALAR, atoms=atoms)
 
 
 def param_compare(view: PostView, constant: Any, comparator: str, value: Any) -> Leaf:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from postsieve.functions.keys import asset_key
 from postsieve.operators.entities import DID_PREFIX, INLINE_LIMIT
-from postsieve.operators.leaf import COST_SCALAR, COST_SET, Leaf, PostView, SetNeed
+from postsieve.operators.leaf import COST_SCALAR, COST_SET, Atoms, Leaf, PostView, SetNeed
 from pyspark.sql import functions as F
 
 
@@ -17,7 +17,7 @@ def social_list(view: PostView, actors: list[str], comparator: str) -> Leaf:
     handles = tuple(sorted({a for a in actors if not a.startswith(DID_PREFIX)}))
     if not handles and len(dids) <= INLINE_LIMIT:
         inside = view.did.isNotNull() & view.did.isin(list(dids)) if dids else F.lit(False)
-        return _signed(Leaf(inside, COST_SCALAR), comparator)
+        return _signed(Leaf(inside, COST_SCALAR, atoms=Atoms("did", F.array(view.did), dids)), comparator)
     return _member(comparator, SetNeed("did", handles=handles, literals=dids))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions import extract
 from postsieve.functions.keys import asset_key
-from postsieve.operators.leaf import COST_ARRAY, COST_SET, Leaf, PostView, SetNeed
+from postsieve.operators.leaf import COST_ARRAY, COST_SET, Atoms, Leaf, PostView, SetNeed
 
 # Up to this many values a set is a literal of the plan; longer ones are joined.
 INLINE_LIMIT = 1000
@@ -47,8 +47,9 @@ def entity_matches(view: PostView, kind: str, values: list[str], insensitive: bo
         return Leaf(F.col(need.column), COST_SET, (need,), membership=need)
     if not need.literals:
         return Leaf(False, COST_ARRAY)
-    listed = F.array(*[F.lit(v) for v in need.literals])
-    return Leaf(F.coalesce(F.arrays_overlap(view.shared_entities(kind), listed), F.lit(False)), COST_ARRAY)
+    own, listed = view.shared_entities(kind), F.array(*[F.lit(v) for v in need.literals])
+    meets = F.coalesce(F.arrays_overlap(own, listed), F.lit(False))
+    return Leaf(meets, COST_ARRAY, atoms=Atoms(f"entities:{kind}", own, need.literals))
 
 
 def entity_excludes(view: PostView, kind: str, values: list[str], insensitive: bool = True) -> Leaf:

@@ -85,6 +85,21 @@ class SimilarityNeed:
 Need = SetNeed | TextScoreNeed | ImageScoreNeed | SimilarityNeed
 
 
+@dataclass(frozen=True)
+class Atoms:
+    """How an index of feeds finds the posts of a leaf: by what they have at ``place``.
+
+    ``source`` is an array of a post's own values there.  The leaf holds for a post which has one of
+    ``values``, or, given a ``pattern``, for one which has one of them and whose ``text`` matches.
+    """
+
+    place: str
+    source: Column
+    values: tuple[str, ...]
+    text: Column | None = None
+    pattern: str | None = None
+
+
 @dataclass(frozen=True)
 class Leaf:
     """A two-valued predicate, the columns it waits for, and its score for an audit."""
@@ -96,10 +111,12 @@ class Leaf:
     # Set when the leaf is nothing but a membership test, so that it can run as a semi/anti join.
     membership: SetNeed | None = None
     negated: bool = False
+    # What an index of feeds can look up; of the leaf without its negation.
+    atoms: Atoms | None = None
 
     def negate(self) -> Leaf:
         flipped = not self.predicate if isinstance(self.predicate, bool) else ~self.predicate
-        return Leaf(flipped, self.cost, self.needs, None, self.membership, not self.negated)
+        return Leaf(flipped, self.cost, self.needs, None, self.membership, not self.negated, self.atoms)
 
 
 @dataclass(frozen=True)

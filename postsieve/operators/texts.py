@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from postsieve.functions import text
-from postsieve.operators.leaf import COST_REGEX, Leaf, PostView
+from postsieve.operators.leaf import COST_REGEX, Atoms, Leaf, PostView
 from postsieve.session import check_pattern
 
 
@@ -20,7 +20,13 @@ def regex_any(
     view: PostView, path: str, terms: list[str], insensitive: bool = True, treat_as_regex: bool = False
 ) -> Leaf:
     java = check_pattern(text.terms_pattern(terms, insensitive, treat_as_regex))
-    return Leaf(text.matches(view.shared_path(path), java, view.missing_text), COST_REGEX)
+    value = view.shared_path(path)
+    words = None if treat_as_regex else text.words_of_terms(terms)
+    atoms = None
+    if words is not None:
+        read = text.text_of(value, view.missing_text)
+        atoms = Atoms(f"words:{path}", text.folded_words(read), words, read, java)
+    return Leaf(text.matches(value, java, view.missing_text), COST_REGEX, atoms=atoms)
 
 
 def regex_none(

@@ -197,7 +197,10 @@ def _listed(posts: DataFrame, values: Column, name: str) -> tuple[DataFrame, Dat
     return keyed, keyed.select(_KEY, F.explode(values).alias(name)).distinct()
 
 
-def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog: Catalog) -> DataFrame:
+def attach_memberships(
+    posts: DataFrame, view: PostView, on: str, needs: list[SetNeed], catalog: Catalog, name: str
+) -> DataFrame:
+    """``posts`` with the array ``name`` of those ``needs`` (their columns' names) whose sets a post is in."""
     members = set_members(posts.sparkSession, needs, catalog, lower=on != "did")
     if on == "did":
         # At most one array element per condition of the filter, however large the sets are.
@@ -207,6 +210,11 @@ def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog:
         keyed, values = _listed(posts, view.shared_entities(on), "value")
         hits = values.join(members, "value").groupBy(_KEY).agg(F.collect_set("set_name").alias(_MEMBER_OF))
         marked = lookup(keyed, hits, _KEY, spread_by=view.key).drop(_KEY)
+    return marked.withColumnRenamed(_MEMBER_OF, name)
+
+
+def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog: Catalog) -> DataFrame:
+    marked = attach_memberships(posts, view, on, needs, catalog, _MEMBER_OF)
     flags = {
         n.column: F.coalesce(F.array_contains(_MEMBER_OF, n.column), F.lit(False)) for n in needs
     }

@@ -15,6 +15,7 @@ from postsieve.operators.builtin import DEFAULT_REGISTRY
 from postsieve.operators.leaf import COST_MODEL, PostView
 from postsieve.operators.registry import Registry
 from postsieve.plans.attach import Catalog, attach, check_needs, keep_members
+from postsieve.plans.feed_index import match_indexed
 from postsieve.plans.tree import (
     Node,
     as_column,
@@ -30,7 +31,7 @@ from postsieve.plans.tree import (
 
 # How many feeds share one array expression; more go into further arrays of the same pass.
 FEEDS_PER_ARRAY = 100
-# Fixed value: how many feeds are taken together at most.
+# Fixed value: how many feeds are tested on every post at most; more are looked up.
 FEEDS_PER_PASS = 1000
 
 
@@ -169,15 +170,20 @@ def match_feeds(
 ) -> DataFrame:
     """``posts`` columns plus ``algorithm_id``: one row per post and feed it matches.
 
-    Up to ``feeds_per_pass`` feeds share one pass; beyond that the plan would outgrow the driver.  A condition used by several feeds is evaluated once, as a boolean
-    column.  Feeds with model leaves contribute their model-free lower bound to that pass; a second
-    pass scores only the posts which some such feed leaves undecided.
+    Up to ``feeds_per_pass`` feeds are tested on every post.  A condition used by several feeds is
+    evaluated once, as a boolean column.  Feeds with model leaves contribute their model-free lower
+    bound to that pass; a second pass scores only the posts which some such feed leaves undecided.
+
+    More feeds go through an index (:mod:`postsieve.plans.feed_index`) in one pass, those with model
+    leaves in passes of ``feeds_per_pass``.
     """
     live = [f for f in feeds if f.tree is not None]
     if len(live) > feeds_per_pass:
-        starts = range(0, len(live), feeds_per_pass)
-        passes = [match_feeds(posts, live[i : i + feeds_per_pass], catalog, feeds_per_pass) for i in starts]
-        return functools.reduce(DataFrame.unionByName, passes)
+        plain = {f.algorithm_id: f.tree for f in live if f.tree.cost < COST_MODEL}
+        rest = [f for f in live if f.tree.cost >= COST_MODEL]
+        starts = range(0, len(rest), feeds_per_pass)
+        passes = [match_feeds(posts, rest[i : i + feeds_per_pass], catalog, feeds_per_pass) for i in starts]
+        return functools.reduce(DataFrame.unionByName, [match_indexed(posts, plain, live[0].view, catalog), *passes])
     trees = {f.algorithm_id: f.tree for f in live}
     cheap = {i: t for i, t in trees.items() if t.cost < COST_MODEL}
     costly = {i: t for i, t in trees.items() if t.cost >= COST_MODEL}
