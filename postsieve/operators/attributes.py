@@ -30,7 +30,7 @@ def attribute_compare(view: PostView, path: str, comparator: str, value: Any) ->
     atoms = None
     if comparator == "==" and isinstance(value, str) and value and isinstance(own.dtype, T.StringType):
         if not normalise_threshold(value)[0]:
-            atoms = Atoms(f"field:{path}", F.array(own.col), (value,))
+            atoms = Atoms(f"field:{path}", lambda: F.array(own.col), (value,))
     return Leaf(compare(own, comparator, value), COST_ARRAY if has_wildcard(path) else COST_SCALAR, atoms=atoms)
 
 

@@ -16,8 +16,11 @@ def social_list(view: PostView, actors: list[str], comparator: str) -> Leaf:
     dids = tuple(sorted({a for a in actors if a.startswith(DID_PREFIX)}))
     handles = tuple(sorted({a for a in actors if not a.startswith(DID_PREFIX)}))
     if not handles and len(dids) <= INLINE_LIMIT:
-        inside = view.did.isNotNull() & view.did.isin(list(dids)) if dids else F.lit(False)
-        return _signed(Leaf(inside, COST_SCALAR, atoms=Atoms("did", F.array(view.did), dids)), comparator)
+
+        def inside():
+            return view.did.isNotNull() & view.did.isin(list(dids)) if dids else F.lit(False)
+
+        return _signed(Leaf(inside, COST_SCALAR, atoms=Atoms("did", lambda: F.array(view.did), dids)), comparator)
     return _member(comparator, SetNeed("did", handles=handles, literals=dids))
 
 

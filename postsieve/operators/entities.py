@@ -47,9 +47,13 @@ def entity_matches(view: PostView, kind: str, values: list[str], insensitive: bo
         return Leaf(F.col(need.column), COST_SET, (need,), membership=need)
     if not need.literals:
         return Leaf(False, COST_ARRAY)
-    own, listed = view.shared_entities(kind), F.array(*[F.lit(v) for v in need.literals])
-    meets = F.coalesce(F.arrays_overlap(own, listed), F.lit(False))
-    return Leaf(meets, COST_ARRAY, atoms=Atoms(f"entities:{kind}", own, need.literals))
+    own = view.shared_entities(kind)
+
+    def meets():
+        listed = F.array(*[F.lit(v) for v in need.literals])
+        return F.coalesce(F.arrays_overlap(own, listed), F.lit(False))
+
+    return Leaf(meets, COST_ARRAY, atoms=Atoms(f"entities:{kind}", lambda: own, need.literals))
 
 
 def entity_excludes(view: PostView, kind: str, values: list[str], insensitive: bool = True) -> Leaf:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Callable
@@ -89,22 +90,26 @@ Need = SetNeed | TextScoreNeed | ImageScoreNeed | SimilarityNeed
 class Atoms:
     """How an index of feeds finds the posts of a leaf: by what they have at ``place``.
 
-    ``source`` is an array of a post's own values there.  The leaf holds for a post which has one of
+    ``source`` gives an array of a post's own values there.  The leaf holds for a post which has one of
     ``values``, or, given a ``pattern``, for one which has one of them and whose ``text`` matches.
     """
 
     place: str
-    source: Column
+    source: Callable[[], Column]
     values: tuple[str, ...]
-    text: Column | None = None
+    text: Callable[[], Column] | None = None
     pattern: str | None = None
 
 
 @dataclass(frozen=True)
 class Leaf:
-    """A two-valued predicate, the columns it waits for, and its score for an audit."""
+    """A two-valued predicate, the columns it waits for, and its score for an audit.
 
-    predicate: Column | bool
+    A ``test`` given as a function is built when it is first asked for: of thousands of feeds, an index
+    looks most conditions up and never needs their columns.
+    """
+
+    test: Column | bool | Callable[[], Column]
     cost: int = COST_SCALAR
     needs: tuple[Need, ...] = ()
     score: Column | None = None
@@ -114,8 +119,12 @@ class Leaf:
     # What an index of feeds can look up; of the leaf without its negation.
     atoms: Atoms | None = None
 
+    @functools.cached_property
+    def predicate(self) -> Column | bool:
+        return self.test() if callable(self.test) else self.test
+
     def negate(self) -> Leaf:
-        flipped = not self.predicate if isinstance(self.predicate, bool) else ~self.predicate
+        flipped = not self.test if isinstance(self.test, bool) else lambda: ~self.predicate
         return Leaf(flipped, self.cost, self.needs, None, self.membership, not self.negated, self.atoms)
 
 

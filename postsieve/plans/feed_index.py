@@ -11,6 +11,7 @@ No row is shuffled for it.
 
 from __future__ import annotations
 
+import functools
 import json
 import zlib
 from collections import defaultdict
@@ -83,11 +84,11 @@ class FeedIndex:
 
     def _slot(self, node: Node) -> Shape:
         leaf = node.leaf
-        if isinstance(leaf.predicate, bool):
-            return leaf.predicate
+        if isinstance(leaf.test, bool):
+            return leaf.test
         if leaf.membership is not None:
             on, name = leaf.membership.on, leaf.membership.column
-            atoms = Atoms(f"members:{on}", F.col(members_column(on)), (name,))
+            atoms = Atoms(f"members:{on}", functools.partial(F.col, members_column(on)), (name,))
         else:
             atoms = leaf.atoms
         key = ("plain", node.key) if atoms is None else (atoms.place, atoms.values, atoms.pattern)
@@ -177,12 +178,12 @@ def _holding(index: FeedIndex, place: str) -> Column:
         bucket = F.pmod(F.crc32(value), F.lit(len(buckets))).cast("int")
         return F.try_element_at(F.get(table, bucket), value)
 
-    found = F.filter(F.transform(atoms.source, of), lambda slots: slots.isNotNull())
+    found = F.filter(F.transform(atoms.source(), of), lambda slots: slots.isNotNull())
     slots = F.array_distinct(F.flatten(found))
     if place in index.patterns:
-        patterns = index.patterns[place]
+        patterns, text = index.patterns[place], atoms.text()
         listed = _table([patterns.get(s) for s in range(len(index.slots))], "array<string>")
-        slots = F.filter(slots, lambda slot: F.rlike(atoms.text, F.get(listed, slot)))
+        slots = F.filter(slots, lambda slot: F.rlike(text, F.get(listed, slot)))
     return F.coalesce(slots, _none())
 
 

@@ -299,3 +299,31 @@ def load_manifests(spark: SparkSession, folder: str) -> DataFrame:
         manifests.select(F.lit("manifest").alias("kind"), F.col("algorithm_id").alias("id"), F.col("manifest").alias("json")),
     ]
     return functools.reduce(DataFrame.unionByName, frames)
+
+
+# ---------------------------------------------------------------- feeds by index
+
+INDEXED_FEEDS = 2000
+_LANGS = ("en", "fr", "de", "es", "zh")
+
+
+def _indexed_manifest(i: int) -> dict:
+    term, tag = RARE_TERMS[i % len(RARE_TERMS)], f"#src{i % 23}"
+    found = {"or": [{"regex_any": ["text", [term]]}, {"attribute_compare": ["n_chars", ">", 40 * (i % 50)]}]}
+    return {"filter": {"and": [{"entity_matches": ["hashtags", [tag]]}, {"entity_excludes": ["langs", [_LANGS[i % 5]]]}, found]}}
+
+
+@query(
+    "feeds_indexed",
+    f"""WITH f AS (SELECT range AS i, list_value({", ".join(f"'{any_term([t])}'" for t in RARE_TERMS)})[range % {len(RARE_TERMS)} + 1] AS term,
+               list_value({", ".join(f"'{x}'" for x in _LANGS)})[range % 5 + 1] AS other FROM range({INDEXED_FEEDS}))
+        SELECT i AS algorithm_id, count(*) AS matches, sum(doc_id)::BIGINT AS ids
+        FROM documents JOIN f ON source = 'src' || (i % 23)
+        WHERE lang <> other AND (n_chars > 40 * (i % 50) OR regexp_matches(text, term, 'i')) GROUP BY i""",
+)
+def feeds_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thousand feeds in one pass: a document looks up those which ask for its tag."""
+    posts = B.documents(spark, folder)
+    feeds = compile_feeds({i: _indexed_manifest(i) for i in range(INDEXED_FEEDS)}, {}, B.document_view(posts))
+    matched = match_feeds(posts, feeds).groupBy("algorithm_id")
+    return matched.agg(F.count(F.lit(1)).alias("matches"), F.sum("doc_id").alias("ids"))
