@@ -39,6 +39,11 @@ def image_key(model: str, url: Column, category: str) -> Column:
     return score_key(model, url, category)
 
 
+def zero_shot_labels(category: str) -> tuple[str, str]:
+    """What a zero-shot model is asked to tell apart."""
+    return category, f"not_{category}"
+
+
 def zero_shot_suffix(category: str) -> str:
     """The part of a zero-shot key which names the two labels and the multi-label flag."""
-    return f"{category}|not_{category}:False"
+    return f"{'|'.join(zero_shot_labels(category))}:False"

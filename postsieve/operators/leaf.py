@@ -46,16 +46,24 @@ class SetNeed:
 
 @dataclass(frozen=True)
 class TextScoreNeed:
-    """Label probabilities of a text model, stored under ``sha256(model:text[:suffix])``."""
+    """Label probabilities of a text model, stored under ``sha256(model:text[:suffix])``.
+
+    ``labels`` are what a zero-shot model is asked to tell apart.
+    """
 
     model: str
     suffix: str = ""
     empty_text: str = ""
+    labels: tuple[str, ...] = ()
 
     @property
     def column(self) -> str:
         return column_name("scores", self.model, self.suffix, self.empty_text)
 
+    @property
+    def result(self) -> str:
+        return "map<string,double>"
+
 
 @dataclass(frozen=True)
 class ImageScoreNeed:
@@ -64,6 +72,7 @@ class ImageScoreNeed:
     model: str
     category: str
     position: int = 0
+    labels: tuple[str, ...] = ()
 
     @property
     def column(self) -> str:
@@ -82,6 +91,10 @@ class SimilarityNeed:
     def column(self) -> str:
         return column_name("cosine", self.model, self.attribute, self.anchor)
 
+    @property
+    def result(self) -> str:
+        return "double"
+
 
 Need = SetNeed | TextScoreNeed | ImageScoreNeed | SimilarityNeed
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from postsieve.functions.compare import compare
 from postsieve.functions.field import Field
-from postsieve.functions.keys import zero_shot_suffix
+from postsieve.functions.keys import zero_shot_labels, zero_shot_suffix
 from postsieve.operators import labels
 from postsieve.operators.entities import entity_excludes
 from postsieve.operators.leaf import (
@@ -28,7 +28,7 @@ from postsieve.operators.leaf import (
 
 
 def category_score(scores: Column, category: str) -> Column:
-    """The probability of ``category``, 0 where the model did not report it."""
+    """The probability of ``category``, 0 where the model did not report it (or there are no scores)."""
     return F.coalesce(F.try_element_at(scores, F.lit(category)), F.lit(0.0))
 
 
@@ -42,25 +42,35 @@ def _threshold(score: Column, comparator: str, threshold: Any) -> Column:
     return compare(Field(score, T.DoubleType()), comparator, threshold)
 
 
+def _known(found: Column, test: Column) -> Column:
+    """What has not been scored passes no test, neither for high scores nor for low ones."""
+    return found.isNotNull() & test
+
+
 def text_classifier(model: str) -> Callable[..., Leaf]:
     def build(view: PostView, category: str, comparator: str, threshold: Any) -> Leaf:
         need = TextScoreNeed(model)
-        score = category_score(F.col(need.column), category)
-        return Leaf(_threshold(score, comparator, threshold), COST_MODEL, (need,), score)
+        return _text_leaf(need, category, comparator, threshold)
 
     return build
 
 
+def _text_leaf(need: TextScoreNeed, category: str, comparator: str, threshold: Any) -> Leaf:
+    found = F.col(need.column)
+    score = category_score(found, category)
+    return Leaf(_known(found, _threshold(score, comparator, threshold)), COST_MODEL, (need,), score)
+
+
 def text_arbitrary(view: PostView, category: str, comparator: str, threshold: Any) -> Leaf:
-    need = TextScoreNeed(labels.ZERO_SHOT_TEXT_MODEL, zero_shot_suffix(category), "none")
-    score = category_score(F.col(need.column), category)
-    return Leaf(_threshold(score, comparator, threshold), COST_MODEL, (need,), score)
+    need = TextScoreNeed(labels.ZERO_SHOT_TEXT_MODEL, zero_shot_suffix(category), "none", zero_shot_labels(category))
+    return _text_leaf(need, category, comparator, threshold)
 
 
 def text_similarity(view: PostView, attribute: str, model_params: dict, comparator: str, threshold: Any) -> Leaf:
     need = SimilarityNeed(model_params["model_name"], attribute, model_params["anchor_text"])
     score = F.col(need.column)
-    return Leaf(_threshold(score, comparator, threshold), COST_MODEL, (need,), score)
+    test = _known(score, _threshold(score, comparator, threshold))
+    return Leaf(test, COST_MODEL, (need,), F.coalesce(score, F.lit(0.0)))
 
 
 def _image(view: PostView, need: ImageScoreNeed, comparator: str, threshold: Any) -> Leaf:
@@ -81,7 +91,7 @@ def image_nsfw(view: PostView, category: str, comparator: str, threshold: Any) -
 
 
 def image_arbitrary(view: PostView, category: str, comparator: str, threshold: Any) -> Leaf:
-    return _image(view, ImageScoreNeed(labels.ZERO_SHOT_IMAGE_MODEL, category), comparator, threshold)
+    return _image(view, ImageScoreNeed(labels.ZERO_SHOT_IMAGE_MODEL, category, labels=zero_shot_labels(category)), comparator, threshold)
 
 
 def no_nsfw(view: PostView, threshold: Any) -> Leaf:

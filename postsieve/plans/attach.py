@@ -38,6 +38,9 @@ IMAGE_RESULT = T.StructField("probs", T.ArrayType(T.DoubleType()))
 VECTOR_RESULT = T.StructField("embedding", T.ArrayType(T.FloatType()))
 
 
+UNSCORED = ("false", "zero", "raise")
+
+
 @dataclass(frozen=True)
 class Catalog:
     """Side tables a filter may refer to.
@@ -49,6 +52,8 @@ class Catalog:
     embeddings    model, input_key, embedding array<float>
     scorers       model -> scorer for inputs that have no stored result yet
     keep          folder below which new results are kept, so that no model sees an input twice
+    unscored      what a text without any result does: ``"false"`` passes no test, ``"zero"`` has
+                  score 0 for everything, ``"raise"`` ends the job
     """
 
     assets: DataFrame | None = None
@@ -58,6 +63,18 @@ class Catalog:
     embeddings: DataFrame | None = None
     scorers: dict[str, Scorer] = field(default_factory=dict)
     keep: str | None = None
+    unscored: str = "false"
+
+    def __post_init__(self):
+        if self.unscored not in UNSCORED:
+            raise ValueError(f"unscored must be one of {', '.join(UNSCORED)}")
+
+    def known(self, found: Column, zero: Column, need: TextScoreNeed | SimilarityNeed) -> Column:
+        """A result, or what stands for it where there is none."""
+        if self.unscored == "raise":
+            message = F.lit(f"A text without a result of model '{need.model}'")
+            return F.when(found.isNotNull(), found).otherwise(F.raise_error(message).cast(need.result))
+        return F.coalesce(found, zero) if self.unscored == "zero" else found
 
     def store(self, spark: SparkSession, result: T.StructField) -> ScoreStore | None:
         """Where new results of a type are kept."""
@@ -83,6 +100,9 @@ def check_needs(needs: Iterable[Need], catalog: Catalog) -> None:
         }[type(need)]
         if stored is None and need.model not in catalog.scorers:
             raise ValueError(f"No stored results and no scorer for model '{need.model}'")
+        scorer, labels = catalog.scorers.get(need.model), getattr(need, "labels", ())
+        if scorer is not None and not scorer.answers(labels):
+            raise ValueError(f"The scorer for model '{need.model}' {'takes no' if labels else 'needs'} labels")
 
 
 def attach(posts: DataFrame, view: PostView, needs: Iterable[Need], catalog: Catalog) -> DataFrame:
@@ -239,9 +259,10 @@ def _attach_text_scores(posts, view: PostView, need: TextScoreNeed, catalog: Cat
     key = _key_of(need)
     scorer = catalog.scorers.get(need.model)
     inputs = posts.select(F.col(key).alias("input_key"), _input_text(view, need).alias("input")) if scorer else None
-    scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer, catalog.store(posts.sparkSession, TEXT_RESULT))
+    scores = complete_scores(need.model, catalog.scores, TEXT_RESULT, inputs, scorer, catalog.store(posts.sparkSession, TEXT_RESULT), need.labels)
     found = scores.select(F.col("input_key").alias(key), F.col("scores").alias(need.column))
-    return lookup(posts, found, key)
+    nothing = F.create_map().cast(TEXT_RESULT.dataType)
+    return lookup(posts, found, key).withColumn(need.column, catalog.known(F.col(need.column), nothing, need))
 
 
 def _attach_image_scores(posts, view: PostView, needs: list[ImageScoreNeed], catalog: Catalog) -> DataFrame:
@@ -252,7 +273,7 @@ def _attach_image_scores(posts, view: PostView, needs: list[ImageScoreNeed], cat
         images = urls.withColumn("input_key", image_key(need.model, F.col("input"), need.category))
         scorer = catalog.scorers.get(need.model)
         inputs = images.select("input_key", "input") if scorer else None
-        scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer, catalog.store(posts.sparkSession, IMAGE_RESULT))
+        scores = complete_scores(need.model, catalog.image_scores, IMAGE_RESULT, inputs, scorer, catalog.store(posts.sparkSession, IMAGE_RESULT), need.labels)
         found = max_image_score(lookup(images, scores, "input_key"), (_KEY,), need)
         others = [F.lit(None).cast("double").alias(n.column) for n in needs if n is not need]
         best.append(found.select("*", *others))
@@ -284,6 +305,7 @@ def _attach_similarity(posts, view: PostView, need: SimilarityNeed, catalog: Cat
     found = stored.select(F.col("input_key").alias(key), "embedding")
     joined = lookup(posts, found, key).withColumn("__anchor", anchor_vector)
     similarity = F.coalesce(cosine(F.col("embedding"), F.col("__anchor.v"), F.col("__anchor.norm")), F.lit(0.0))
+    similarity = catalog.known(F.when(F.col("embedding").isNotNull(), similarity), F.lit(0.0), need)
     # Without the anchor's vector every answer would be a guess.
     lacking = F.raise_error(F.lit(f"No vector for the anchor text under model '{need.model}'")).cast("double")
     similarity = F.when(F.col("__anchor.v").isNull(), lacking).otherwise(similarity)

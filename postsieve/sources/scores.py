@@ -25,12 +25,21 @@ class Scorer:
 
     ``predict`` maps a Series of inputs (texts or URLs) to a Series of results of the stored type.
     It runs inside executors on Arrow batches; heavy state is best loaded lazily by ``predict``
-    itself.  ``transform`` is the alternative for Spark ML pipelines: it maps a DataFrame
-    ``(input_key, input)`` to ``(input_key, <result>)``.
+    itself.  ``predict_labels`` is the same for zero-shot models: it is also given the labels to tell
+    apart, and whether several may hold at once.  Every set of labels has calls of its own.
+
+    ``transform`` is the alternative for Spark ML pipelines: it maps a DataFrame ``(input_key, input)``
+    to ``(input_key, <result>)``; for zero-shot models it has ``labels`` and ``multi_label`` too.
     """
 
     predict: Callable[[pd.Series], pd.Series] | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
+    predict_labels: Callable[[pd.Series, tuple[str, ...], bool], pd.Series] | None = None
+
+    def answers(self, labels: tuple[str, ...]) -> bool:
+        """Whether it can be asked about ``labels`` (none: about inputs alone)."""
+        asked = self.predict_labels if labels else self.predict
+        return self.transform is not None or asked is not None
 
 
 def distinct_inputs(inputs: DataFrame) -> DataFrame:
@@ -45,11 +54,17 @@ def missing_inputs(inputs: DataFrame, stored: DataFrame | None) -> DataFrame:
     return wanted if stored is None else wanted.join(stored.select("input_key"), "input_key", "left_anti")
 
 
-def score_inputs(inputs: DataFrame, scorer: Scorer, result: T.StructField) -> DataFrame:
-    """Run the scorer over ``(input_key, input)``."""
+def score_inputs(
+    inputs: DataFrame, scorer: Scorer, result: T.StructField, labels: tuple[str, ...] = (), multi_label: bool = False
+) -> DataFrame:
+    """Run the scorer over ``(input_key, input)``, asking about ``labels`` if there are any."""
     if scorer.transform is not None:
+        if labels:
+            asked = {"labels": F.array(*map(F.lit, labels)), "multi_label": F.lit(multi_label)}
+            inputs = inputs.withColumns(asked)
         return scorer.transform(inputs).select("input_key", F.col(result.name).cast(result.dataType))
-    predict = scorer.predict
+    asking = scorer.predict_labels
+    predict = (lambda texts: asking(texts, labels, multi_label)) if labels else scorer.predict
     name = result.name
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,6 +90,7 @@ def complete_scores(
     inputs: DataFrame | None = None,
     scorer: Scorer | None = None,
     store: ScoreStore | None = None,
+    labels: tuple[str, ...] = (),
 ) -> DataFrame:
     """Results of ``model`` by ``input_key``: those stored, and new ones for inputs without.
 
@@ -93,7 +109,7 @@ def complete_scores(
     missing = missing_inputs(inputs, known)
 
     def score(some: DataFrame) -> DataFrame:
-        return display_labels(score_inputs(some, scorer, result), model, result)
+        return display_labels(score_inputs(some, scorer, result, labels), model, result)
 
     fresh = score(missing) if store is None else store.complete(model, missing, score)
     return fresh if known is None else known.unionByName(fresh)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -160,6 +162,22 @@ def image_max_score(spark: SparkSession, folder: str) -> DataFrame:
           AND (n_chars < 2000 OR (doc_id % 100) / 100.0::DOUBLE <= 0.4)""",
 )
 def no_nsfw(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without a score count as harmless: score 0."""
+    return _harmless(spark, folder, "zero")
+
+
+@query(
+    "no_nsfw_scored",
+    f"""SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) JOIN {_LABELLED} s USING (text)
+        WHERE coalesce(labels.toxic, 0) = 0 AND coalesce(s.toxic, 0) <= 0.4
+          AND (n_chars < 2000 OR (doc_id % 100) / 100.0::DOUBLE <= 0.4)""",
+)
+def no_nsfw_scored(spark: SparkSession, folder: str) -> DataFrame:
+    """Only documents whose text has been scored can be harmless."""
+    return _harmless(spark, folder, "false")
+
+
+def _harmless(spark: SparkSession, folder: str, unscored: str) -> DataFrame:
     """Documents of 2000 characters and more carry one image."""
     posts = B.labelled_documents(spark, folder)
     link = F.when(F.length("record.text") >= 2000, F.concat(F.lit("img"), F.col("doc_id").cast("string")))
@@ -173,7 +191,7 @@ def no_nsfw(spark: SparkSession, folder: str) -> DataFrame:
         score_key(L.NSFW_IMAGE_MODEL, F.col("url"), "NSFW").alias("input_key"),
         F.array(1 - p, p).alias("probs"),
     )
-    catalog = _toxicity(spark, folder).with_tables(image_scores=stored)
+    catalog = replace(_toxicity(spark, folder), image_scores=stored, unscored=unscored)
     return _ids(posts, {"no_nsfw": [0.4]}, catalog, "doc_id")
 
 
