@@ -118,9 +118,20 @@ def validate_events(
 ) -> DataFrame:
     """Drop malformed events, and those over ``max_chars`` if given; correct creation times.
 
+    See :func:`judge_events`, which keeps them with the reason.
+    """
+    return judge_events(events, now, raw, max_chars).where("reason IS NULL").drop("reason")
+
+
+def judge_events(
+    events: DataFrame, now: Column | None = None, raw: str = "raw", max_chars: int | None = None
+) -> DataFrame:
+    """All events with ``reason``: why an event is rejected, NULL if it is well-formed.
+
     A creation time which cannot be read or lies after ``now`` becomes ``now``; an absent one stays
     absent.  The correction is made in the ``raw`` JSON, at ``commit.record.createdAt`` alone: in its
-    text where that time is certainly the only one, else in the decoded message.
+    text where that time is certainly the only one, else in the decoded message.  Rejected messages
+    stay as they came, and those over ``max_chars`` are not decoded.
     """
     now = F.current_timestamp() if now is None else now
 
@@ -129,9 +140,8 @@ def validate_events(
         found = F.try_variant_get("__json", path, "variant")
         return found.isNull() | F.schema_of_variant(found).startswith("OBJECT")
 
-    if max_chars is not None:
-        events = events.where(F.length(raw) <= max_chars)
-    decoded = _decoded(events, raw).where(F.col("__json").isNotNull())
+    too_long = F.lit(False) if max_chars is None else F.coalesce(F.length(raw) > max_chars, F.lit(False))
+    decoded = _once(events, F.try_parse_json(F.when(~too_long, F.col(raw))).alias("__json"))
     found = F.try_variant_get("__json", "$.commit.record.createdAt", "variant")
     text = F.try_variant_get("__json", "$.commit.record.createdAt", "string")
     read = _once(decoded, found.alias("__found"), text.alias("__created"))
@@ -142,6 +152,12 @@ def validate_events(
     readable = (
         created.isNull() | created.isin("", "0", "0.0", "false") | (F.schema_of_variant("__found") == "STRING")
     )
+    reason = (
+        F.when(too_long, f"longer than {max_chars} characters")
+        .when(F.col("__json").isNull(), "not JSON")
+        .when(~F.coalesce(shaped, F.lit(False)), "not an event")
+        .when(~F.coalesce(readable, F.lit(False)), "creation time is no text")
+    )
     # The pattern keeps the date parser, whose failures are slow, away from most unreadable times.
     at = F.when(created.rlike(CREATED_AT_PATTERN), F.try_to_timestamp(created, F.lit(CREATED_AT_FORMAT)))
     is_wrong = created.isNotNull() & (created != "") & F.coalesce(at > now, F.lit(True))
@@ -158,8 +174,8 @@ def validate_events(
     is_only = standing & (named == 1) & ~F.contains(F.col(raw), F.lit("\\u00"))
     fixed = F.when(is_only, fixed).otherwise(_with_created("__json", corrected))
     return (
-        read.where(shaped & readable)
-        .withColumn(raw, F.when(is_wrong, fixed).otherwise(F.col(raw)))
+        _once(read, reason.alias("reason"))
+        .withColumn(raw, F.when(F.col("reason").isNull() & is_wrong, fixed).otherwise(F.col(raw)))
         .drop("__json", "__found", "__created")
     )
 

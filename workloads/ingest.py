@@ -15,7 +15,8 @@ from postsieve.plans.history import Crawl, backtest_progress, replay_range, reve
 from postsieve.session import shared_folder
 from postsieve.sources import posts as P
 from postsieve.sources.scores import Scorer
-from postsieve.streaming.live import FeedSet, event_stream, prepare_stream, run_live
+from postsieve.sources.sinks import CommittedBatches
+from postsieve.streaming.live import FeedSet, committed_batches, event_stream, prepare_stream, run_live
 from workloads import bindings as B
 from workloads.predicates import LIST_OF, catalog
 from workloads.registry import query
@@ -344,6 +345,53 @@ def stream_collections(spark: SparkSession, folder: str) -> DataFrame:
     return seen.groupBy("uri").agg(F.count("*").alias("n"))
 
 
+_REASON = """CASE event_id % 3 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an event' ELSE 'longer than 900 characters' END"""
+
+
+@query(
+    "stream_quarantine",
+    f"""SELECT {_REASON} AS kind, count(*)::BIGINT AS n FROM events WHERE event_type = 'purchase' GROUP BY ALL
+        UNION ALL SELECT 'match', count(*) FROM events WHERE event_type NOT IN ('error', 'signup', 'purchase') AND value > 15
+        UNION ALL SELECT 'delete', count(*) FROM events WHERE event_type = 'error'""",
+)
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the live job stores of each kind, with malformed and oversize messages kept apart."""
+    out, done = _quarantined(spark, folder)
+    kinds = [done.read(f"{out}/rejects").select(F.col("reason").alias("kind"))]
+    kinds.append(done.read(f"{out}/matches").select(F.lit("match").alias("kind")))
+    kinds.append(done.read(f"{out}/deletes").select(F.lit("delete").alias("kind")))
+    return kinds[0].union(kinds[1]).union(kinds[2]).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_metrics",
+    """SELECT count(*)::BIGINT AS records, 0::BIGINT AS replayed,
+         count(*) FILTER (event_type <> 'purchase')::BIGINT AS events, count(*) FILTER (event_type <> 'purchase')::BIGINT AS texts,
+         count(*) FILTER (event_type NOT IN ('error', 'signup', 'purchase') AND value > 15)::BIGINT AS matches,
+         count(*) FILTER (event_type = 'error')::BIGINT AS deletes, count(*) FILTER (event_type = 'purchase')::BIGINT AS rejects,
+         2::BIGINT AS responses FROM events""",
+)
+def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that the live job observed while it wrote its outputs, over all batches; responses a batch."""
+    out, done = _quarantined(spark, folder)
+    sums = [F.sum(name).alias(name) for name in ("records", "replayed", "events", "texts", "matches", "deletes", "rejects")]
+    return done.read(f"{out}/metrics").agg(*sums, F.max("responses").alias("responses"))
+
+
+def _quarantined(spark: SparkSession, folder: str) -> tuple[str, CommittedBatches]:
+    """The live job over events of which purchases are sent as malformed or oversize messages."""
+    out, n = shared_folder(spark, "quarantine"), F.col("event_id") % 3
+    pad = F.concat(F.substring_index("raw", "}", 1), F.lit(',"pad":"'), F.repeat(F.lit("x"), 1_000), F.lit('"}}}'))
+    broken = F.when(n == 0, F.substring("raw", 1, 40)).when(n == 1, F.lit('{"commit": [1, 2]}')).otherwise(pad)
+    sent = F.when(F.col("raw").contains("a purchase event"), broken).otherwise(F.col("raw"))
+    _raw(spark, folder).select(sent.alias("raw")).repartition(4).write.text(f"{out}/in")
+    events = event_stream(spark, f"{out}/in", max_files_per_trigger=2, max_chars=900, rejects=True)
+    feeds = FeedSet({1: {"filter": {"attribute_compare": ["value", ">", 15]}}, 2: {"filter": {"regex_any": ["text", ["no such"]]}}}, {})
+    paths = {f"{kind}_path": f"{out}/{kind}" for kind in ("matches", "deletes", "responses", "rejects", "metrics")}
+    run_live(events, lambda: feeds, **paths, checkpoint_location=f"{out}/state", available_now=True).awaitTermination()
+    return out, committed_batches(spark, f"{out}/state")
+
+
 def _streamed(spark: SparkSession, events: DataFrame, out: str) -> DataFrame:
     feeds = FeedSet(
         {
