@@ -1,11 +1,12 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page becomes text blocks in page order.  Every block has two costs: of being called boilerplate
-and of being called content, from where it lies (the elements around it and their names) and from
-how its text looks (a logistic model, trained on blocks of pages whose elements say what they are).
-The costs are capacities to the terminals; edges between blocks that follow each other or share a
-parent are smoothness capacities that fall with their distance in the tree.  The smallest cut
-separates content from boilerplate.
+and of being called content.  A logistic model gives them from how its text looks and where it lies
+(links and length of what shares its parent, depth, place in the page); it is trained on blocks of pages
+whose elements say what they are.  Elements and class names around a block that say so add to them, by
+bounded amounts.  The costs are capacities to the terminals; edges between blocks that follow each other
+or share a parent are smoothness capacities that fall with their distance in the tree and between
+elements that say different things.  The smallest cut separates content from boilerplate.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from postsieve.llm.common import typed
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template svg math iframe object canvas textarea select option datalist head title video audio map".split())
+SILENT = set("script style noscript template svg iframe canvas textarea select option datalist head title video audio map".split())
 RAW = set("script style textarea title noscript iframe noframes xmp".split())
 BREAKS = set(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
@@ -56,9 +57,22 @@ WRAPPER_SHARE = 0.8
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'<>]+)")
 
-#: Costs of place: a block in a boilerplate element, under a boilerplate name, in a content element.
-BAD_TAG_COST, BAD_NAME_COST, GOOD_TAG_COST, GOOD_NAME_COST = 9.0, 8.0, 4.0, 1.0
-SMOOTH = 0.6
+#: Names that an article may give to its own parts.
+OWN_NAMES = frozenset("header legal search discussion form".split())
+#: A section that begins with one of these headings holds comments of readers.
+COMMENTS = re.compile(
+    r"(?:\d+ )?(?:reader |user )?(?:comments?|kommentare?|commentaires?|comentarios?|repl(?:y|ies)|responses?)(?: ?\(\d+\)| ?: ?\d*)?", re.I
+)
+#: Elements that such a heading may speak for.
+SECTIONS = {"section", "div", "aside", "details"}
+
+#: What the model may say at most, and what elements and names add: a block in a boilerplate element,
+#: under a boilerplate name, in a content element, under a content name.
+LOOKS, BAD_TAG_COST, BAD_NAME_COST, GOOD_TAG_COST, GOOD_NAME_COST = 2.5, 5.0, 4.0, 3.2, 1.0
+#: Smoothness of two blocks in one parent, and the share of it between elements that say different things.
+SMOOTH, APART = 1.5, 0.1
+#: Features of a block, see :func:`features` and :func:`place_features`.
+TEXT_FEATURES, PLACE_FEATURES = 8, 5
 
 
 @dataclass
@@ -137,9 +151,11 @@ def _element(name: str, tag: str, number: int, above: Element, marks: list[Mark]
         for m in ATTRIBUTE.finditer(tag, len(name) + 1, len(tag) - 1):
             key = (m.group(1) or m.group(5) or "").lower()
             value = next((v for v in m.groups()[1:4] if v is not None), "").lower()
-            if key in ("class", "id") and name not in ("html", "body"):
+            # The id of a heading is what links point at, and repeats its words.
+            named_by = ("class",) if name[0] == "h" and name[1:].isdigit() else ("class", "id")
+            if key in named_by and name not in ("html", "body"):
                 # Inside an article, a "post-header" is its heading.
-                wrong = bad_name(value, frozenset({"header", "legal", "search"}) if good else frozenset())
+                wrong = bad_name(value, OWN_NAMES if good else frozenset())
                 if wrong and name in CONTENT_TAGS:
                     named = True
                 elif wrong:
@@ -151,10 +167,6 @@ def _element(name: str, tag: str, number: int, above: Element, marks: list[Mark]
                     cost, wrapper = max(cost, BAD_TAG_COST), wrapper and value == "form"
                 elif value in ("main", "article"):
                     good, content = max(good, GOOD_TAG_COST), True
-            elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
-                key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
-            ):
-                silent = True
     mark = above.mark
     if cost or content:
         # An article named as a comment or the like stays in what is around it.
@@ -189,8 +201,23 @@ def blocks_of(page: str) -> list[Block]:
                     Block(text, own.depth, min(shared, own.depth), own.parent, links, own.heading, 0.0, own.good, mark=own.mark)
                 )
                 shared = own.depth
+                if own.heading and COMMENTS.fullmatch(text):
+                    comments_begin(own)
         parts, links, place = [], 0, None
 
+    def comments_begin(heading):
+        """The section that begins with this heading is marked, from the heading on."""
+        for k in range(len(stack) - 1, 0, -1):
+            e = stack[k]
+            if e.block == heading.parent and e.name in BREAKS:
+                first = len(found) == 1 or e.depth > min(found[-2].depth, found[-1].shared)
+                if e.name in SECTIONS and first:
+                    marks.append(Mark(e.mark, BAD_NAME_COST, wrapper=True))
+                    found[-1].mark = len(marks) - 1
+                    for inner in stack[k:]:
+                        inner.mark = len(marks) - 1
+                return
+
     def say(text):
         nonlocal links, place
         if not text or stack[-1].silent:
@@ -266,8 +293,8 @@ def blocks_of(page: str) -> list[Block]:
         open_names[name] += 1
     flush()
     place_costs(found, marks)
-    for block in found:
-        block.features = features(block)
+    for block, around in zip(found, place_features(found)):
+        block.features = features(block) + around
     return found
 
 
@@ -319,13 +346,34 @@ def features(block: Block) -> list[float]:
     ]
 
 
+def place_features(blocks: list[Block]) -> list[list[float]]:
+    """Where blocks lie: place in the page, depth, and length, links and number of those in one parent."""
+    chars: Counter[int] = Counter()
+    links: Counter[int] = Counter()
+    number: Counter[int] = Counter()
+    for b in blocks:
+        chars[b.parent] += len(b.text)
+        links[b.parent] += b.link_chars
+        number[b.parent] += 1
+    return [
+        [
+            k / len(blocks),
+            min(1.0, b.depth / 20),
+            math.log1p(chars[b.parent]) / 10,
+            min(1.0, links[b.parent] / max(1, chars[b.parent])),
+            math.log1p(number[b.parent]) / 5,
+        ]
+        for k, b in enumerate(blocks)
+    ]
+
+
 def fit(rows: list[list[float]], labels: list[int], ridge: float = 1.0) -> list[float]:
     """Weights of a ridge logistic regression in which both labels weigh the same; 0 with one alone."""
     import numpy as np
 
     x, y = np.array(rows, float), np.array(labels, float)
     if len(y) == 0 or y.min() == y.max():
-        return [0.0] * (x.shape[1] if len(y) else 8)
+        return [0.0] * (x.shape[1] if len(y) else TEXT_FEATURES + PLACE_FEATURES)
     share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     weights = np.zeros(x.shape[1])
     for _ in range(25):
@@ -337,82 +385,109 @@ def fit(rows: list[list[float]], labels: list[int], ridge: float = 1.0) -> list[
 
 
 def kinship(before: Block, block: Block) -> float:
-    """1 for blocks in one parent, less with every step between them in the tree."""
-    return 1.0 / (1.0 + max(0, before.depth + block.depth - 2 * block.shared - 2) / 2)
+    """1 for blocks in one parent, less with every step between them and between marked elements."""
+    steps = max(0, before.depth + block.depth - 2 * block.shared - 2)
+    return (1.0 if before.mark == block.mark else APART) / (1.0 + steps) ** 2
 
 
-def label(blocks: list[Block], weights: list[float]) -> list[bool]:
-    """The minimum cut: True for content."""
-    n = len(blocks)
-    cost = []  # of boilerplate less that of content: positive wants to be content
+def costs(blocks: list[Block], weights: list[float]) -> list[float]:
+    """Cost of boilerplate less that of content: positive wants to be content.  What is marked as
+    boilerplate inside an article is judged by its own mark.  Features without a weight count nothing."""
+    found = []
     for b in blocks:
         looks = sum(w * f for w, f in zip(weights, b.features))
-        cost.append(max(-2.5, min(2.5, looks)) + b.good - b.bad)
-    edges: dict[tuple[int, int], float] = {}
+        found.append(max(-LOOKS, min(LOOKS, looks)) + (-b.bad if b.bad else b.good))
+    return found
+
+
+def smoothness(blocks: list[Block]) -> list[dict[int, float]]:
+    """Of each block, what it costs to part it from others: those that follow it and those before and
+    after it in its parent."""
+    near: list[dict[int, float]] = [{} for _ in blocks]
     last_child: dict[int, int] = {}
+
+    def join(a: int, b: int, c: float) -> None:
+        near[a][b] = near[b][a] = near[a].get(b, 0.0) + c
+
     for k, b in enumerate(blocks):
         if k:
-            edges[k - 1, k] = SMOOTH * kinship(blocks[k - 1], b)
+            join(k - 1, k, SMOOTH * kinship(blocks[k - 1], b))
         before = last_child.get(b.parent)
         if before is not None and before != k - 1:
-            edges[before, k] = edges.get((before, k), 0.0) + SMOOTH / 2
+            join(before, k, SMOOTH / 2 * (1.0 if blocks[before].mark == b.mark else APART))
         last_child[b.parent] = k
-    near: list[dict[int, float]] = [{} for _ in range(n)]
-    for (a, b), c in edges.items():
-        near[a][b] = near[b][a] = c
-    # A terminal capacity over all smoothness around a block settles it in every minimum cut.
-    sure: list[bool | None] = [None] * n
-    queue = list(range(n))
-    while queue:
-        k = queue.pop()
-        if sure[k] is None and abs(cost[k]) > sum(near[k].values()):
-            sure[k] = cost[k] > 0
-            for j, c in near[k].items():
-                del near[j][k]
-                cost[j] += c if sure[k] else -c
-                queue.append(j)
-            near[k] = {}
-    rest = [k for k in range(n) if sure[k] is None]
-    if rest:
-        side = source_side(rest, cost, near)
-        for k in rest:
-            sure[k] = k in side
-    return [bool(s) for s in sure]
+    return near
+
+
+def label(blocks: list[Block], weights: list[float], smooth: bool = True) -> list[bool]:
+    """The minimum cut: True for content.  Without ``smooth``, the sign of each block's own cost."""
+    cost = costs(blocks, weights)
+    side = source_side(list(range(len(blocks))), cost, smoothness(blocks) if smooth else [{} for _ in blocks])
+    return [k in side for k in range(len(blocks))]
 
 
 def source_side(nodes: list[int], cost: list[float], near: list[dict[int, float]]) -> set[int]:
-    """Nodes on the content side of the smallest cut, by shortest augmenting paths."""
-    source, sink = -1, -2
-    room: dict[int, dict[int, float]] = {k: dict(near[k]) for k in nodes}
-    room[source], room[sink] = {}, {}
+    """Nodes on the content side of the smallest cut (of several, the one with the fewest).
+
+    Maximum flow by levels: paths of the fewest edges first, all of one length in a sweep.  An edge's
+    number differs from that of its way back in the last bit.
+    """
+    source, sink = len(near), len(near) + 1
+    ends: list[int] = []
+    room: list[float] = []
+    out: list[list[int]] = [[] for _ in range(len(near) + 2)]
+
+    def edge(a: int, b: int, there: float, back: float) -> None:
+        out[a].append(len(ends))
+        out[b].append(len(ends) + 1)
+        ends.extend((b, a))
+        room.extend((there, back))
+
     for k in nodes:
         if cost[k] > 0:
-            room[source][k] = cost[k]
-            room[k][source] = 0.0
+            edge(source, k, cost[k], 0.0)
         else:
-            room[k][sink] = -cost[k]
-            room[sink][k] = 0.0
+            edge(k, sink, -cost[k], 0.0)
+        for j, c in near[k].items():
+            if k < j:
+                edge(k, j, c, c)
     while True:
-        parent = {source: source}
-        queue, head = [source], 0
-        while head < len(queue) and sink not in parent:
-            u = queue[head]
-            head += 1
-            for v, c in room[u].items():
-                if c > 1e-12 and v not in parent:
-                    parent[v] = u
-                    queue.append(v)
-        if sink not in parent:
-            return set(parent) - {source}
-        flow, v = math.inf, sink
-        while v != source:
-            flow, v = min(flow, room[parent[v]][v]), parent[v]
-        v = sink
-        while v != source:
-            u = parent[v]
-            room[u][v] -= flow
-            room[v][u] = room[v].get(u, 0.0) + flow
-            v = u
+        level = {source: 0}
+        queue = [source]
+        for u in queue:
+            if u == sink or (sink in level and level[u] >= level[sink] - 1):
+                continue
+            for e in out[u]:
+                if room[e] > 1e-12 and ends[e] not in level:
+                    level[ends[e]] = level[u] + 1
+                    queue.append(ends[e])
+        if sink not in level:
+            return set(level) - {source}
+        tried = [0] * len(out)
+        path: list[int] = []
+        u = source
+        while True:
+            if u == sink:
+                flow = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= flow
+                    room[e ^ 1] += flow
+                # On from before the first edge that is full.
+                full = next(n for n, e in enumerate(path) if room[e] <= 1e-12)
+                u = ends[path[full] ^ 1]
+                del path[full:]
+            elif tried[u] < len(out[u]):
+                e = out[u][tried[u]]
+                if room[e] > 1e-12 and level.get(ends[e]) == level[u] + 1:
+                    path.append(e)
+                    u = ends[e]
+                else:
+                    tried[u] += 1
+            elif path:
+                u = ends[path.pop() ^ 1]
+                tried[u] += 1
+            else:
+                break
 
 
 def extract(page: str | None, weights: list[float]) -> str:
@@ -421,15 +496,19 @@ def extract(page: str | None, weights: list[float]) -> str:
 
 
 def train(pages: DataFrame, sample: int = 400) -> list[float]:
-    """Weights from the blocks of at most ``sample`` pages, chosen by a hash of ``page_id``.
+    """Weights from the blocks of at most ``sample`` different pages, chosen by hashes of id and text.
 
     Blocks inside elements that say what they are (``article``, ``main``; ``nav``, ``footer``, forms,
     adverts by name and the like) are the labelled examples; the features don't see the elements.
-    At most 100 blocks of each label and page are used.
+    At most 100 blocks of each label and page are used.  Rows of one page count once, also those
+    without an id, so the driver never gets more than the sample.
     """
-    chosen = typed(pages, page_id="long", html="string").where("html IS NOT NULL")
-    ids = chosen.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
-    chosen = chosen.join(F.broadcast(ids), "page_id", "left_semi").select("html")
+    rows = typed(pages, page_id="long", html="string").where("html IS NOT NULL")
+    keyed = rows.select("html", F.xxhash64("page_id").alias("a"), F.xxhash64("html").alias("b"))
+    keys = keyed.select("a", "b").distinct().orderBy("a", "b").limit(sample)
+    # At most ``sample`` keys of two numbers; copies are left out before their texts are read.
+    kept = keyed.join(F.broadcast(keys), ["a", "b"], "left_semi")
+    chosen = kept.groupBy("a", "b").agg(F.first("html").alias("html")).select("html")
 
     def examples(batches):
         for batch in batches:

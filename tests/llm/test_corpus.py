@@ -331,7 +331,7 @@ def test_html(spark):
     main = "A & B\n\nFirst <para> with bold, and more.\n\nSecond one."
     assert texts[1] == [main, main] and texts[None] == [main] and texts[2] == texts[3] == [""]
     assert "word word" in texts[5][0]
-    assert html_text.main_text(pages.limit(0), [0.0] * 8).count() == 0 and len(html_text.train(pages.limit(0))) == 8
+    assert html_text.main_text(pages.limit(0), [0.0] * 8).count() == 0 and len(html_text.train(pages.limit(0))) == html_text.TEXT_FEATURES + html_text.PLACE_FEATURES
 
 
 def test_minimum_cut():
