@@ -1,8 +1,10 @@
 """Joins which bring set membership, model scores and similarities to the posts that need them.
 
-Posts are never multiplied: every side joined here is unique on its join key.  Nothing is broadcast
-by hint; the adaptive planner does so when the measured size of a side is small, and otherwise
-splits the partitions of a hot author or a hot text.
+Posts are never multiplied: every side joined here is unique on its join key.  Members of sets are
+counted first: up to ``MEMBERS`` are broadcast, and up to ``INLINE_LIMIT`` values that posts hold in lists
+become literals, so that whole posts aren't shuffled for them.  Other sides are broadcast by the
+adaptive planner when their measured size is small; otherwise it splits the partitions of a hot author
+or a hot text.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from postsieve.functions.keys import image_key, score_key
 from postsieve.functions.vectors import cosine, norm
+from postsieve.operators import entities
 from postsieve.operators.leaf import (
     ImageScoreNeed,
     Need,
@@ -29,6 +32,9 @@ from postsieve.operators.leaf import (
 from postsieve.sources.score_store import ScoreStore
 from postsieve.sources.scores import Scorer, complete_scores
 
+#: Pairs of a set and a member that are broadcast at most, some 100 bytes each.
+MEMBERS = 200_000
+
 _MEMBER_OF = "__member_of"
 _KEY = "__key"
 
@@ -225,7 +231,15 @@ def attach_memberships(
     if on == "did":
         # At most one array element per condition of the filter, however large the sets are.
         by_value = members.groupBy(F.col("value").alias(_KEY)).agg(F.collect_set("set_name").alias(_MEMBER_OF))
-        marked = lookup(posts.withColumn(_KEY, view.did), by_value, _KEY).drop(_KEY)
+        keyed = posts.withColumn(_KEY, view.did)
+        if _are_few(members):
+            marked = keyed.join(F.broadcast(by_value), _KEY, "left").drop(_KEY)
+        else:
+            marked = lookup(keyed, by_value, _KEY).drop(_KEY)
+    elif (literal := _literal_sets(members, needs)) is not None:
+        own = view.shared_entities(on)
+        names = [F.when(_meets(own, values), F.lit(column)) for column, values in literal.items()]
+        marked = posts.withColumn(_MEMBER_OF, F.array_compact(F.array(*names).cast("array<string>")))
     else:
         keyed, values = _listed(posts, view.shared_entities(on), "value")
         hits = values.join(members, "value").groupBy(_KEY).agg(F.collect_set("set_name").alias(_MEMBER_OF))
@@ -233,6 +247,31 @@ def attach_memberships(
     return marked.withColumnRenamed(_MEMBER_OF, name)
 
 
+def _are_few(members: DataFrame) -> bool:
+    """Whether members may be broadcast, by their counted number: their table's size says little.
+    Sessions that turn automatic broadcasts off get none."""
+    allowed = members.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return not allowed.startswith("-") and members.count() <= MEMBERS
+
+
+def _literal_sets(members: DataFrame, needs: list[SetNeed]) -> dict[str, list[str]] | None:
+    """The values of each set, or None if there are more than ``INLINE_LIMIT`` in all."""
+    most = entities.INLINE_LIMIT
+    if sum(len(n.literals) for n in needs) > most:
+        return None
+    found = members.select("set_name", "value").limit(most + 1).collect()
+    if len(found) > most:
+        return None
+    sets: dict[str, set[str]] = {}
+    for row in found:
+        sets.setdefault(row["set_name"], set()).add(row["value"])
+    return {name: sorted(values) for name, values in sets.items()}
+
+
+def _meets(own: Column, values: list[str]) -> Column:
+    return F.coalesce(F.arrays_overlap(own, F.array(*[F.lit(v) for v in values])), F.lit(False))
+
+
 def _attach_sets(posts, view: PostView, on: str, needs: list[SetNeed], catalog: Catalog) -> DataFrame:
     marked = attach_memberships(posts, view, on, needs, catalog, _MEMBER_OF)
     flags = {
@@ -249,7 +288,12 @@ def keep_members(posts: DataFrame, view: PostView, need: SetNeed, negated: bool,
     posts = view.with_shared(posts)
     members = set_members(posts.sparkSession, [need], catalog, lower=need.on != "did")
     if need.on == "did":
+        members = F.broadcast(members) if _are_few(members) else members
         return posts.join(members, posts[view.did_column] == members["value"], how)
+    literal = _literal_sets(members, [need])
+    if literal is not None:
+        inside = _meets(view.shared_entities(need.on), literal.get(need.column, [])) if literal else F.lit(False)
+        return posts.where(~inside if negated else inside)
     keyed, values = _listed(posts, view.shared_entities(need.on), "value")
     hits = values.join(members, "value", "left_semi").select(_KEY).distinct()
     return lookup(keyed, hits, _KEY, how, spread_by=view.key).drop(_KEY)
