@@ -20,16 +20,28 @@ from postsieve.llm.common import typed, written
 RUN = "[A-Za-z0-9+/_=.@:-]"
 #: Tried only where a run starts, so that a very long run is read once.
 CANDIDATE = f"(?<!{RUN})(?=[A-Za-z+/_=.@:-]*+[0-9]){RUN}{{12,}}|[A-Za-z0-9+/_=-]{{16,}}"
-#: Name and value, or a run alone; in a word with a candidate every one of them is looked at.
+#: Names that secrets are given, and words near things that only look like secrets.
+SECRET = "pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
+SECRET_NAME = f"(?i)(?:{SECRET})$"
+#: The value of such a name may hold any characters but these; in an address it ends where the next name begins.
+ANY = "(?:(?!&[A-Za-z_]+=)[^\\s\"',;<>])"
+#: In a text, and in a word: such a name and a value, which isn't of letters alone.
+NAMED = f"(?i)(?:{SECRET})[\"']?\\s*[=:]"
+NAMED_VALUE = f"(?i)(?:{SECRET})[\"']?[=:]+[\"']?(?=[A-Za-z]*+[^A-Za-z\\s\"',;<>]){ANY}{{8}}"
+#: A whole word after such a name and a colon, if it isn't a run.
+WHOLE = f"^[\"']?((?={RUN}*+[^\\s\"',;<>])(?=[A-Za-z]*+[^A-Za-z\\s\"',;<>])[^\\s\"',;<>]{{8,}}+)[\"',;]*$"
+#: Name and value, or a run alone; in a word with a candidate every one of them is looked at.  Parts:
+#: a name of secrets and its value, any name and its run, a run.
 FINDING = (
-    rf"(?<!{RUN})(?:[+/=.@:-]*+([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?[=:]+[\"']?({RUN}{{8,}}+)|({RUN}{{8,}}+))"
+    rf"(?<!{RUN})(?:[+/=.@:-]*+(?:((?i:[A-Za-z0-9_.-]*?(?:{SECRET})))[\"']?[=:]+[\"']?({ANY}{{8,}}+)"
+    rf"|([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?[=:]+[\"']?({RUN}{{8,}}+))|({RUN}{{8,}}+))"
 )
-#: Names that secrets are given, and words near things that only look like secrets.
-SECRET_NAME = "(?i)(pass(word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)$"
 INNOCENT = "(?i)^(example|sample|dummy|test|placeholder|version|license|isbn|doi|sha|md5|commit|checksum|hash|uuid)"
 PATHLIKE = "(?i)(test|example|sample|doc|mock|fixture)"
 #: Words in fewer documents are no dictionary words.
 COMMON = 3
+#: Values of the hash that samples are drawn by; they are counted in 1024 parts.
+SLOTS = 1 << 30
 #: Broadcast only so many letter runs; more are joined by a shuffle.
 RUNS = 200_000
 
@@ -41,13 +53,29 @@ def share(pattern: str, text: Column) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
 
 
+def _outer(before: Column, second: Column) -> Column:
+    """The name that the words before give to a word."""
+    return F.when(before.isin("=", ":", ":="), second).when(before.rlike("[=:]$"), before)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``source``, ``pos`` (word number), ``nth`` (in the word), ``name``, ``candidate``, words around, ``quoted``."""
-    rows = typed(docs, doc_id="long", source="string", text="string").where(F.col("text").rlike(CANDIDATE))
+    rows = typed(docs, doc_id="long", source="string", text="string")
+    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED))
     rows = rows.withColumn("words", F.split(F.btrim("text", F.lit(" \t\r\n\f\x0b")), r"[ \t\r\n\f\x0b]+"))
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE)
-    )
+
+    def whole(word: Column, before: Column, second: Column) -> Column:
+        """The word as a value of any characters, after a name of secrets; empty if it is none."""
+        name = F.regexp_replace(_outer(before, second), "[\"':=]+", "")
+        value = F.regexp_extract(word, WHOLE, 1)
+        return F.when(F.coalesce(name.rlike(SECRET_NAME), F.lit(False)), value).otherwise("")
+
+    def is_place(i: Column) -> Column:
+        word = F.get("words", i)
+        value = whole(word, F.coalesce(F.get("words", i - 1), F.lit("")), F.coalesce(F.get("words", i - 2), F.lit("")))
+        return word.rlike(CANDIDATE) | word.rlike(NAMED_VALUE) | (value != "")
+
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), is_place)
     rows = rows.select("doc_id", "source", "words", F.explode(places).alias("pos"))
     word = F.get("words", F.col("pos"))
     before = F.coalesce(F.get("words", F.col("pos") - 1), F.lit(""))
@@ -60,14 +88,17 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.coalesce(F.get("words", F.col("pos") - 2), F.lit("")).alias("second"),
         F.coalesce(F.get("words", F.col("pos") + 1), F.lit("")).alias("after"),
     )
-    found = F.arrays_zip(*[
-        F.regexp_extract_all("word", F.lit(FINDING), k).alias(part) for k, part in enumerate(("own", "value", "bare"), 1)
+    parts = F.arrays_zip(*[
+        F.regexp_extract_all("word", F.lit(FINDING), k).alias(f"p{k}") for k in range(1, 6)
     ])
+    found = F.transform(parts, lambda m: F.struct(
+        F.concat(m["p1"], m["p3"]).alias("own"), F.concat(m["p2"], m["p4"]).alias("value"), m["p5"].alias("bare")
+    ))
     found = F.filter(found, lambda m: (m["value"] != "") | m["bare"].rlike(CANDIDATE))
-    rows = rows.select("*", F.posexplode(found).alias("nth", "m"))
-    outer = F.when(F.col("before").isin("=", ":", ":="), F.col("second")).when(
-        F.col("before").rlike("[=:]$"), F.col("before")
-    )
+    value = whole(F.col("word"), F.col("before"), F.col("second"))
+    one = F.array(F.struct(F.lit("").alias("own"), value.alias("value"), F.lit("").alias("bare")))
+    rows = rows.select("*", F.posexplode(F.when(value != "", one).otherwise(found)).alias("nth", "m"))
+    outer = _outer(F.col("before"), F.col("second"))
     # The words before name the first finding of a word alone.
     name = F.when(F.col("m.own") != "", F.col("m.own")).when(F.col("nth") == 0, F.coalesce(outer, F.lit(""))).otherwise("")
     bare = F.regexp_extract("m.bare", f"([A-Za-z0-9+/_]{RUN}{{7,}})", 1)
@@ -77,7 +108,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "pos",
         F.col("nth").cast("long").alias("nth"),
         F.regexp_replace(name, "[\"':=]+", "").alias("name"),
-        F.rtrim(F.when(F.col("m.value") != "", F.col("m.value")).otherwise(bare), F.lit(".:-")).alias("candidate"),
+        F.rtrim(F.when(F.col("m.value") != "", F.col("m.value")).otherwise(bare), F.lit(".:-)]}")).alias("candidate"),
         "before",
         "second",
         "after",
@@ -135,9 +166,19 @@ def train(labelled: DataFrame, sample: int = 4000, trees: int = 30, depth: int =
 
     At most ``sample`` findings of each label, chosen by a hash.  None unless both labels are there.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos", "nth")
-    chosen = labelled.where(F.col("label").isin(0, 1)).withColumn("n", F.row_number().over(order))
-    chosen = chosen.where(F.col("n") <= sample)
+    known = labelled.where(F.col("label").isin(0, 1)).withColumn("h", F.pmod(F.xxhash64("doc_id", "pos", "nth"), F.lit(SLOTS)))
+    # Hashes up to the first that reaches the sample: only those few rows are ranked, however many there are.
+    counted = known.groupBy("label", (F.col("h") / (SLOTS // 1024)).cast("int").alias("slot")).count().collect()
+    bounds = {0: 0, 1: 0}
+    for label in bounds:
+        n = 0
+        for r in sorted((r for r in counted if r["label"] == label), key=lambda r: r["slot"]):
+            if n >= sample:
+                break
+            n, bounds[label] = n + r["count"], (r["slot"] + 1) * (SLOTS // 1024)
+    near = F.col("h") < F.when(F.col("label") == 1, bounds[1]).otherwise(bounds[0])
+    order = Window.partitionBy("label").orderBy("h", "doc_id", "pos", "nth", "candidate")
+    chosen = known.where(near).withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
     chosen = written(chosen.select(F.col("label").cast("double").alias("label"), *FEATURES), "training")
     counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(counts) < 2:
