@@ -16,6 +16,8 @@ from postsieve.sources.snapshots import Snapshots
 #: What tells events apart; an event without one of these can't be recognised.
 EVENT_KEY = ("did", "collection", "rkey", "operation", "time_us")
 KEY_TYPE = "did string, collection string, rkey string, operation string, time_us long"
+#: How the keys of a batch are cut and sorted.
+ORDER = ("time_us", "did", "rkey")
 #: Sets that become one.
 SETTLE = 20
 DAY_US = 86_400_000_000
@@ -61,7 +63,9 @@ class ProcessedEvents:
         if span["first"] is None:
             self.table.change(lambda entry: _without(entry, number))
         else:
-            folder = self.table.write(keys.coalesce(1).sortWithinPartitions("time_us"))
+            # The adaptive planner makes one file of the keys of a small batch; times many events share are cut too.
+            ordered = keys.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+            folder = self.table.write(ordered)
             new = {"folder": folder, "first": span["first"], "last": span["last"]}
             self.table.change(lambda entry: {**entry, "batches": {**entry.get("batches", {}), number: new}})
         self.settle(batch_id)
