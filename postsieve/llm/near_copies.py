@@ -2,7 +2,9 @@
 
 A text's set of word shingles gets a SimHash of 256 bits.  Tables of a few bits each, chosen at
 random, bring together fingerprints that agree on a table's bits; inside a group those of like size
-within ``RADIUS`` are candidates.  The number of tables follows from their bits, so that a pair just
+within ``RADIUS`` are candidates.  They are compared bit-sliced, as in ``simhash``: a plane holds one
+bit of 64 fingerprints, and a tree of carry-save adders counts 64 differences at once, with as many
+counter planes as ``RADIUS`` needs.  The number of tables follows from their bits, so that a pair just
 at the similarity asked for is in no group with a chance of ``MISSED``; more similar ones are missed
 less.  Candidates become components, and inside a component the exact Jaccard similarity of the
 shingle sets decides which texts are linked.
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from postsieve.llm.common import checkpoint, typed
 from postsieve.llm.graph import components, forest
-from postsieve.llm.simhash import keep_named
+from postsieve.llm.simhash import above, keep_named
 
 PLANES = ("p0", "p1", "p2", "p3")
 BITS = 64 * len(PLANES)
@@ -30,6 +32,10 @@ MISSED = 0.001
 RADIUS = 72
 #: Of the first 64 bits alone, looked at before the rest.
 FIRST = 24
+#: Words of one comparison, of 64 pairs each.
+BLOCK = 4096
+#: Pairs whose whole fingerprints are compared at a time.
+PAIRS = 1 << 14
 #: Fingerprints of a group on average at most; groups of over twice as many are dealt into parts.
 GROUP = 4096
 #: Shingles and texts of one part of a component, and of a bundle of small components.
@@ -114,28 +120,86 @@ def tables(count: int, least: float, seed: int = 42) -> list[list[int]]:
     return [rng.sample(range(BITS), need) for _ in range(number)]
 
 
+def sliced(planes):
+    """Bit planes of fingerprints: row ``b`` holds their bit ``b``, 64 to a word (zeros fill the last)."""
+    import numpy as np
+
+    padded = np.zeros((-(-len(planes) // 64) * 64, planes.shape[1]), np.uint64)
+    padded[: len(planes)] = planes
+    lanes = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
+    return np.packbits(lanes.T.copy(), axis=1, bitorder="little").view("<u8")
+
+
+def counted(slices):
+    """In how many ``slices`` (first axis) each lane is set: the bits of the counts, the lowest first.
+
+    Carry-save adders take three slices of one weight to one of that weight and one of the next.
+    """
+    import numpy as np
+
+    weights = [[slices]]
+    for k, parts in enumerate(weights):  # grows while it is walked through
+        rows = np.concatenate(parts) if len(parts) > 1 else parts[0]
+        while len(rows) > 1:
+            if k + 1 == len(weights):
+                weights.append([])
+            third = len(rows) // 3
+            if third:
+                a, b, c = rows[:third], rows[third : 2 * third], rows[2 * third : 3 * third]
+                odd = a ^ b
+                weights[k + 1].append((a & b) | (odd & c))
+                rows = np.concatenate([odd ^ c, rows[3 * third :]])
+            else:
+                weights[k + 1].append(rows[:1] & rows[1:])
+                rows = rows[:1] ^ rows[1:]
+        weights[k] = rows[0]
+    return weights
+
+
+def lanes_of(words):
+    """Row and lane of each bit set in rows of ``words``."""
+    import numpy as np
+
+    return np.nonzero(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"))
+
+
 def close_pairs(left, right, least: float, same: bool):
     """Index arrays of the candidates among ``left`` and ``right``: pairs of sizes and planes.
 
     Sizes whose ratio is under ``least`` can't be similar.  With ``same``, each pair is given once.
+    Pairs that differ in over ``FIRST`` of the first 64 bits are abandoned; the others are dealt to
+    lanes of their own, for all bits.
     """
     import numpy as np
 
     orders = [np.argsort(sizes, kind="stable") for sizes, _ in (left, right)]
     (na, a), (nb, b) = [(sizes[o], planes[o]) for (sizes, planes), o in zip((left, right), orders)]
     found = [np.zeros((0, 2), np.int64)]
-    for first in range(0, len(na), 256):
-        last = min(first + 256, len(na))
-        low = first if same else np.searchsorted(nb, math.floor(na[first] * least), "left")
-        high = np.searchsorted(nb, math.ceil(na[last - 1] / least), "right")
-        near = np.bitwise_count(a[first:last, :1] ^ b[low:high, 0][None, :]) <= FIRST
-        i, j = np.nonzero(near)
-        i, j = i + first, j + low
+    across = sliced(b[:, :1])
+    signs = np.unpackbits(a[:, :1].copy().view(np.uint8), axis=1, bitorder="little")
+    signs = np.uint64(0) - signs.T.astype(np.uint64)
+    first = 0
+    while first < len(na):
+        # As many queries as make, with the words of like size, a block that stays in the cache.
+        low = first if same else int(np.searchsorted(nb, math.floor(na[first] * least), "left"))
+        high = int(np.searchsorted(nb, math.ceil(na[first] / least), "right"))
+        last = min(len(na), first + max(1, min(256, BLOCK // max(1, (high - low) // 64 + 1))))
+        high = int(np.searchsorted(nb, math.ceil(na[last - 1] / least), "right"))
+        start, stop = low // 64, -(-high // 64)
+        first, here = last, first
+        if start >= stop:
+            continue
+        counters = counted(across[:, None, start:stop] ^ signs[:, here:last, None])
+        i, j = lanes_of(~above(counters, FIRST))
+        i, j = i + here, j + start * 64
+        inside = j < len(nb)
+        i, j = i[inside], j[inside]
         fit = (np.minimum(na[i], nb[j]) >= least * np.maximum(na[i], nb[j]) - 1e-9) & ((i < j) | (not same))
         i, j = i[fit], j[fit]
-        for k in range(0, len(i), 1 << 20):
-            x, y = i[k : k + (1 << 20)], j[k : k + (1 << 20)]
-            ok = np.bitwise_count(a[x] ^ b[y]).sum(axis=1, dtype=np.int64) <= RADIUS
+        for k in range(0, len(i), PAIRS):
+            x, y = i[k : k + PAIRS], j[k : k + PAIRS]
+            _, ok = lanes_of(~above(counted(sliced(a[x] ^ b[y])), RADIUS)[None])
+            ok = ok[ok < len(x)]
             found.append(np.stack([orders[0][x[ok]], orders[1][y[ok]]], axis=1))
     pairs = np.concatenate(found)
     return pairs[:, 0], pairs[:, 1]

@@ -122,7 +122,7 @@ def close_pairs(left, right, radius: int):
                 twos, carry = twos ^ carry, twos & carry
                 fours, carry = fours ^ carry, fours & carry
                 over |= carry
-            alive = ~(over | above(ones, twos, fours, radius))
+            alive = ~(over | above((ones, twos, fours), radius))
             keep = np.flatnonzero(alive)
             if len(keep) < len(q):
                 q, w, over, alive = q[keep], w[keep], over[keep], alive[keep]
@@ -138,17 +138,19 @@ def close_pairs(left, right, radius: int):
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
-def above(ones, twos, fours, radius: int):
-    """The lanes whose three-bit count is over ``radius``."""
+def above(counters, radius: int):
+    """The lanes whose count is over ``radius``; ``counters`` hold the counts' bits, the lowest first."""
     import numpy as np
 
-    more, equal = np.zeros_like(ones), ~np.zeros_like(ones)
-    for plane, bit in ((fours, 4), (twos, 2), (ones, 1)):
-        if radius & bit:
-            equal &= plane
+    more, equal = np.zeros_like(counters[0]), ~np.zeros_like(counters[0])
+    if radius >> len(counters):
+        return more
+    for bit, plane in reversed(list(enumerate(counters))):
+        if radius >> bit & 1:
+            equal = equal & plane
         else:
-            more |= equal & plane
-            equal &= ~plane
+            more = more | (equal & plane)
+            equal = equal & ~plane
     return more
 
 

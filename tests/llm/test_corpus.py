@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -583,6 +584,43 @@ def test_near_copies(spark, empty, monkeypatch, group):
     assert corpus_pipeline.simhash_dedup(spark, empty, "").count() == 0
 
 
+def test_wide_bit_sliced_comparison(monkeypatch):
+    """Carry-save counters of more planes find the same pairs as distances counted one by one."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 64, 256):  # slices
+        slices = rng.integers(0, 2**63, (n, 3), dtype=np.uint64)
+        counters = near_copies.counted(slices.copy())
+        bits = lambda x: np.unpackbits(x.view(np.uint8), bitorder="little").reshape(-1, 192).astype(int)
+        assert (sum(bits(c)[0] << k for k, c in enumerate(counters)) == bits(slices).sum(axis=0)).all()
+        for radius in (0, 2, n // 2, n, 300):
+            over = bits(simhash.above(counters, radius))[0]
+            assert (over == (bits(slices).sum(axis=0) > radius)).all()
+    used = []
+    monkeypatch.setattr(near_copies, "above", lambda counters, radius: used.append(radius) or simhash.above(counters, radius))
+    for n, m, block, pairs in [(0, 3, 1, 5), (90, 200, 1, 7), (200, 90, 4096, 1 << 14)]:
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        monkeypatch.setattr(near_copies, "PAIRS", pairs)
+        base = rng.integers(0, 2**63, (20, 4), dtype=np.uint64)
+        sides = []
+        for count in (n, m):
+            planes = base[rng.integers(0, 20, count)]
+            for row in planes:
+                for bit in rng.choice(256, rng.integers(0, 60), replace=False):
+                    row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+            sides.append((rng.integers(1, 12, count).astype(np.int32), planes))
+        for (sa, pa_), (sb, pb), same in [(*sides, False), (sides[1], sides[1], True)]:
+            want = set()
+            for i in range(len(sa)):
+                for j in range(i + 1 if same else 0, len(sb)):
+                    apart = [int(x).bit_count() for x in pa_[i] ^ pb[j]]
+                    if apart[0] <= near_copies.FIRST and sum(apart) <= near_copies.RADIUS and min(sa[i], sb[j]) >= 0.8 * max(sa[i], sb[j]) - 1e-9:
+                        want.add((i, j))
+            i, j = near_copies.close_pairs((sa, pa_), (sb, pb), 0.8, same)
+            got = [tuple(sorted(p)) if same else p for p in zip(i.tolist(), j.tolist())]
+            assert len(got) == len(set(got)) and set(got) == want
+    assert set(used) == {near_copies.FIRST, near_copies.RADIUS}
+
+
 def test_many_secrets_in_a_word(spark):
     """Every pair and run of a word is a candidate with its own name."""
     texts = [
