@@ -1,7 +1,10 @@
 """The live job's memory of events, tables with snapshots, and deletes as of a time."""
 
+import os
 import random
+from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from postsieve.sources import posts as P
@@ -9,6 +12,8 @@ from postsieve.sources.replays import EVENT_KEY, KEY_TYPE, ProcessedEvents, fres
 from postsieve.sources.snapshots import Conflict, Snapshots
 from postsieve.streaming.live import FeedSet, event_stream, run_live
 from tests.posts import event
+from workloads import ingest
+from workloads.registry import QUERIES
 
 ALL = FeedSet({1: {"filter": {"and": []}}}, {})
 
@@ -59,6 +64,24 @@ def test_batches_are_settled_by_day(spark, tmp_path):
     assert {f.split("/")[1] for f in held} <= left and store.table.versions()[0] > 1
 
 
+def test_keys_of_a_large_batch_are_cut_by_time(spark, tmp_path):
+    """No task holds all keys of a batch; files are apart in time, and times many events share are cut too."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    store = ProcessedEvents(spark, str(tmp_path / "k"))
+    frame = spark.createDataFrame(keys([(k, 7 if k % 2 else k) for k in range(4000)]), KEY_TYPE)
+    store.add(frame, 0)
+    spark.conf.set(coalesce, "false")  # as if each partition were large
+    try:
+        store.add(frame, 1)
+    finally:
+        spark.conf.unset(coalesce)
+    small, large = ([p for p in (tmp_path / "k" / s).iterdir() if p.suffix == ".parquet"] for s in store.sets(0, 9, None))
+    assert len(small) == 1 and len(large) == 4
+    spans = sorted((r["time_us"].min(), r["time_us"].max(), len(r)) for r in map(pd.read_parquet, large))
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and max(n for *_, n in spans) < 2000
+    assert {tuple(r) for r in store.between(0, 10**9).collect()} == {tuple(r) for r in frame.collect()}
+
+
 def test_events_without_a_key_pass(spark, tmp_path):
     store = ProcessedEvents(spark, str(tmp_path / "k"))
     rows = [("d", "c", "1", "create", 5), ("d", None, "1", "create", 5), (None, "c", "1", "create", 5), ("d", "c", "1", "create", None)]
@@ -105,3 +128,28 @@ def test_deletes_reach_older_rows_alone(spark):
     assert P.apply_deletes(left, spark.createDataFrame([], kind)).count() == 4
     untimed = P.apply_deletes(spark.createDataFrame(stored, kind), spark.createDataFrame(deletes, kind), time=None)
     assert {tuple(r) for r in untimed.collect()} == {("b", "1", 1), (None, "1", 1)}
+
+
+def test_more_messages_are_more_files(spark, tmp_path, monkeypatch):
+    """Events are dealt out before they become messages, and written to as many files as they need; batches stay."""
+    rows = [(n, datetime(2024, 1, 1 + n % 28, 1, n % 60), n % 7, ["view", "click", "error", "signup", "purchase"][n % 5], n % 40 / 1.0, f'{{"k": {n % 9}}}') for n in range(400)]
+    frame = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    os.mkdir(tmp_path / "in")
+    frame.toPandas().to_parquet(tmp_path / "in" / "events.parquet", coerce_timestamps="us")
+    # A split of stored events is many times as large as messages.
+    streamed = ingest._event_rows(spark, str(tmp_path / "in"))
+    assert streamed.isStreaming and "RepartitionByExpression" in streamed._jdf.queryExecution().analyzed().toString()
+    names = ["stream_late_events", "stream_recreated_posts", "stream_collections", "stream_quarantine"]
+    found = []
+    for size in (250_000, 20):
+        monkeypatch.setattr(ingest, "_PER_FILE", size)
+        for name in names:
+            out = tmp_path / f"{name}-{size}"
+            monkeypatch.setattr(ingest, "shared_folder", lambda *_, out=out: str(out))
+            got = sorted(map(str, QUERIES[name].run(spark, str(tmp_path / "in")).collect()))
+            files = {str(p.parent): 0 for p in (out / "in").rglob("part-*")}
+            for p in (out / "in").rglob("part-*"):
+                files[str(p.parent)] += 1
+                assert size > 20 or len(p.read_text().splitlines()) <= 25
+            found.append((name, got, len(files), len(list((out / "matches").glob("batch_id=*")))))
+    assert found[:4] == found[4:] and all(batches > 1 for *_, batches in found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -249,6 +250,25 @@ def backtest_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---------------------------------------------------------------- stream
 
+#: Messages of one file of a stream, on average at most.
+_PER_FILE = 250_000
+
+
+def _event_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream.
+
+    A message is many times as long as the stored event it is made of, so events are dealt out before
+    they become messages: a task of the live job then holds as many as a shuffle partition.
+    """
+    schema = B.table(spark, folder, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return source.repartition(*schema.names)
+
+
+def _fold(messages: int, files: int) -> int:
+    """How many times ``files`` hold so many messages; a batch takes as many times more, so batches stay as they are."""
+    return max(1, math.ceil(messages / (files * _PER_FILE)))
+
 
 _STREAM_SQL = """SELECT event_id::VARCHAR AS rkey, 1::BIGINT AS algorithm_id FROM events WHERE event_type NOT IN ('error', 'signup') AND value > 15
        UNION ALL SELECT event_id::VARCHAR, 2 FROM events WHERE event_type = 'click'"""
@@ -257,9 +277,7 @@ _STREAM_SQL = """SELECT event_id::VARCHAR AS rkey, 1::BIGINT AS algorithm_id FRO
 @query("stream_ingest", _STREAM_SQL)
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The live job over the events table as a stream: validate, parse, deduplicate, match, store."""
-    schema = B.table(spark, folder, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    events = prepare_stream(raw_events(source).drop("event_id"))
+    events = prepare_stream(raw_events(_event_rows(spark, folder)).drop("event_id"))
     return _streamed(spark, events, shared_folder(spark, "stream"))
 
 
@@ -272,8 +290,6 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
     """Answers of the live job for a feed that matches, a silent, an inoperable and a broken one."""
-    schema = B.table(spark, folder, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     out = shared_folder(spark, "answers")
     feeds = FeedSet(
         {
@@ -284,7 +300,7 @@ def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
         },
         {},
     )
-    events = prepare_stream(raw_events(source).drop("event_id"))
+    events = prepare_stream(raw_events(_event_rows(spark, folder)).drop("event_id"))
     paths = f"{out}/matches", f"{out}/deletes", f"{out}/state"
     run_live(events, lambda: feeds, *paths, available_now=True, responses_path=f"{out}/answers").awaitTermination()
     per_feed = spark.read.parquet(f"{out}/answers").groupBy("algorithm_id")
@@ -301,11 +317,12 @@ def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark, "late")
     events = B.table(spark, folder, "events")
     week = F.date_trunc("week", "ts")
-    weeks = [r["week"] for r in events.select(week.alias("week")).distinct().orderBy(F.desc("week")).collect()]
+    counted = events.groupBy(week.alias("week")).agg(F.count("*").alias("n")).orderBy(F.desc("week")).collect()
+    weeks, fold = [r["week"] for r in counted], _fold(max([r["n"] for r in counted], default=0), 2)
     for k, start in enumerate([*weeks, *weeks]):
         messages = raw_events(events.where(week == F.lit(start).cast("timestamp_ntz"))).select("raw")
-        messages.repartition(2).write.text(f"{out}/in/{k:03d}")
-    return _streamed(spark, event_stream(spark, f"{out}/in/*", max_files_per_trigger=4), out)
+        messages.repartition(2 * fold).write.text(f"{out}/in/{k:03d}")
+    return _streamed(spark, event_stream(spark, f"{out}/in/*", max_files_per_trigger=4 * fold), out)
 
 
 _GATE = "app.bsky.feed.threadgate"
@@ -320,9 +337,10 @@ def stream_recreated_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Posts created again and again under their key, days apart, and every file twice: each once."""
     out = shared_folder(spark, "again")
     events = B.table(spark, folder, "events")
+    fold = _fold(events.count(), 3)
     for k in (0, 1):
-        raw_events(events, rkey=F.col("props")).select("raw").repartition(3).write.text(f"{out}/in/{k}")
-    _streamed(spark, event_stream(spark, f"{out}/in/*", max_files_per_trigger=2), out)
+        raw_events(events, rkey=F.col("props")).select("raw").repartition(3 * fold).write.text(f"{out}/in/{k}")
+    _streamed(spark, event_stream(spark, f"{out}/in/*", max_files_per_trigger=2 * fold), out)
     seen = spark.read.parquet(f"{out}/matches").where("algorithm_id = 1")
     times = F.unix_micros(F.to_timestamp("bluesky_created_at"))
     return seen.select(F.substring_index("uri", "/", -1).alias("rkey"), times.alias("time_us"))
@@ -338,9 +356,11 @@ def stream_collections(spark: SparkSession, folder: str) -> DataFrame:
     """Records of another collection share the keys of posts, and displace none."""
     out = shared_folder(spark, "gates")
     gate = F.when(F.col("event_type") == "click", _GATE).otherwise(P.POST_COLLECTION)
-    events = raw_events(B.table(spark, folder, "events"), F.floor(F.col("event_id") / 4).cast("string"), gate)
-    events.select("raw").repartition(4).write.text(f"{out}/in")
-    _streamed(spark, event_stream(spark, f"{out}/in", max_files_per_trigger=2), out)
+    events = B.table(spark, folder, "events")
+    fold = _fold(events.count(), 4)
+    messages = raw_events(events, F.floor(F.col("event_id") / 4).cast("string"), gate).select("raw")
+    messages.repartition(4 * fold).write.text(f"{out}/in")
+    _streamed(spark, event_stream(spark, f"{out}/in", max_files_per_trigger=2 * fold), out)
     seen = spark.read.parquet(f"{out}/matches").where("algorithm_id = 1")
     return seen.groupBy("uri").agg(F.count("*").alias("n"))
 
@@ -384,8 +404,10 @@ def _quarantined(spark: SparkSession, folder: str) -> tuple[str, CommittedBatche
     pad = F.concat(F.substring_index("raw", "}", 1), F.lit(',"pad":"'), F.repeat(F.lit("x"), 1_000), F.lit('"}}}'))
     broken = F.when(n == 0, F.substring("raw", 1, 40)).when(n == 1, F.lit('{"commit": [1, 2]}')).otherwise(pad)
     sent = F.when(F.col("raw").contains("a purchase event"), broken).otherwise(F.col("raw"))
-    _raw(spark, folder).select(sent.alias("raw")).repartition(4).write.text(f"{out}/in")
-    events = event_stream(spark, f"{out}/in", max_files_per_trigger=2, max_chars=900, rejects=True)
+    raw = _raw(spark, folder)
+    fold = _fold(raw.count(), 4)
+    raw.select(sent.alias("raw")).repartition(4 * fold).write.text(f"{out}/in")
+    events = event_stream(spark, f"{out}/in", max_files_per_trigger=2 * fold, max_chars=900, rejects=True)
     feeds = FeedSet({1: {"filter": {"attribute_compare": ["value", ">", 15]}}, 2: {"filter": {"regex_any": ["text", ["no such"]]}}}, {})
     paths = {f"{kind}_path": f"{out}/{kind}" for kind in ("matches", "deletes", "responses", "rejects", "metrics")}
     run_live(events, lambda: feeds, **paths, checkpoint_location=f"{out}/state", available_now=True).awaitTermination()
